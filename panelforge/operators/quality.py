@@ -20,6 +20,14 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """Fail fast on an empty input (a job that would silently publish an
+    empty dataset).  Costs one ``LIMIT 1`` probe, not a count."""
+    if df.isEmpty():
+        raise ValueError(f"no usable rows in {what}")
+    return df
+
+
 def grain_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key combinations occurring more than once (expected: none),
     most duplicated first, keys as tie-break."""
@@ -91,7 +99,7 @@ def missing_periods(candidates: DataFrame, present: DataFrame,
     """Candidate (entity, period, ...) combinations absent from ``present``:
     a distinct left-anti join, so nothing already landed is redone."""
     return (candidates.select(*keys).distinct()
-            .join(present.select(*keys), list(keys), "left_anti"))
+            .join(present.select(*keys).distinct(), list(keys), "left_anti"))
 
 
 def overlap_dedup_counts(loaded: DataFrame, key: str, ts: str) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import safe_cast
+from ..sources.files import pack_payload_docs
 from ..operators.clean import complaints_clean
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -212,14 +213,10 @@ def population_docs(spark: SparkSession, sf_dir: str,
     rows = per.select(
         "data_year",
         F.floor(F.col("c_nationkey") / rows_per_doc).alias("chunk"),
-        F.array(F.col("n_name"), F.col("n").cast("string"),
-                F.col("c_nationkey").cast("string")).alias("row"))
-    docs = rows.groupBy("data_year", "chunk").agg(F.collect_list("row").alias("data"))
-    return docs.select(
-        "data_year", "chunk",
-        F.to_json(F.struct(F.col("data_year").alias("year"),
-                           F.array(*[F.lit(h) for h in POP_HEADER]).alias("header"),
-                           F.col("data"))).alias("value"))
+        F.col("n_name").alias(POP_HEADER[0]),
+        F.col("n").cast("string").alias(POP_HEADER[1]),
+        F.col("c_nationkey").cast("string").alias(POP_HEADER[2]))
+    return pack_payload_docs(rows, "data_year", POP_HEADER, ["chunk"])
 
 
 CUSTOMER_FIELDS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal",

@@ -267,13 +267,10 @@ def socio_clean_q(spark, sf_dir):
     one glob (the year comes from the file name), renamed and typed."""
     raw = B.socio_raw_strings(spark, sf_dir)
     header = ["NAME", *[v for k, v in SOCIO_COLUMNS.items() if k != "NAME"]]
-    rows = raw.select("data_year", F.floor(F.col("l_orderkey") / 1000).alias("chunk"),
-                      F.array(*[F.col(f"`{h}`") for h in header]).alias("row"))
-    docs = (rows.groupBy("data_year", "chunk")
-                .agg(F.collect_list("row").alias("data"))
-                .select("data_year",
-                        F.to_json(F.concat(F.array(F.array(*[F.lit(h) for h in header])),
-                                           F.col("data"))).alias("value")))
+    docs = files.pack_matrix_docs(
+        raw, header,
+        ["data_year", F.floor(F.col("l_orderkey") / 1000).alias("chunk")])
+    docs = docs.select("data_year", "value")
     path = scratch_path(spark, "socio_docs")
     # one folder per year: the per-period file template
     docs.write.mode("overwrite").partitionBy("data_year").text(path)
@@ -366,9 +363,8 @@ def signal_product(spark, sf_dir):
 
 @query("period_mean")
 def period_mean(spark, sf_dir):
-    """Period means in the window form (compare: signals_panel uses the
-    aggregate-and-join form)."""
-    return build_panel(spark, sf_dir, upto="mean", mean_method="window")
+    """Period means (grouped aggregate joined back on the period)."""
+    return build_panel(spark, sf_dir, upto="mean")
 
 
 @query("demean")
@@ -378,7 +374,7 @@ def demean(spark, sf_dir):
 
 @query("adjusted_signal")
 def adjusted_signal(spark, sf_dir):
-    return build_panel(spark, sf_dir, upto="adjusted", mean_method="window")
+    return build_panel(spark, sf_dir, upto="adjusted")
 
 
 @query("signals_panel")

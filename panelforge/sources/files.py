@@ -197,6 +197,18 @@ def load_by_name(spark: SparkSession, path: str | Sequence[str],
     return spark.read.schema(schema).parquet(*paths)
 
 
+def read_parquet_tolerant(spark: SparkSession, path: str | Sequence[str],
+                          schema: T.StructType | None = None) -> DataFrame:
+    """Parquet load that skips unreadable files instead of failing the job
+    (continue-on-error loading); combine with ``flag_rejects`` for rows."""
+    r = spark.read.option("ignoreCorruptFiles", "true") \
+                  .option("ignoreMissingFiles", "true")
+    if schema is not None:
+        r = r.schema(schema)
+    paths = [path] if isinstance(path, str) else list(path)
+    return r.parquet(*paths)
+
+
 def read_slices(spark: SparkSession, base: str, pattern: str) -> DataFrame:
     """Parquet slices whose folder/file names match a glob under ``base``
     (e.g. ``part_2024-01-15*``).  For partitioned tables prefer a filter on
@@ -209,6 +221,41 @@ def refresh(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+# --------------------------------------------------------------- documents --
+
+def pack_matrix_docs(df: DataFrame, header: Sequence[str],
+                     doc_keys: Sequence[Column | str]) -> DataFrame:
+    """Rows -> matrix documents ``[[header], [row], ...]`` (JSON text), one
+    per distinct ``doc_keys`` value.  Choose keys that bound the rows per
+    document (e.g. period plus a key range): a document is built by one task.
+    Output: the doc keys and ``value``."""
+    keys = [F.col(k) if isinstance(k, str) else k for k in doc_keys]
+    rows = df.select(*keys, F.array(*[F.col(f"`{h}`").cast("string")
+                                      for h in header]).alias("__row"))
+    names = rows.columns[:len(keys)]
+    docs = rows.groupBy(*names).agg(F.collect_list("__row").alias("__data"))
+    head = F.array(F.array(*[F.lit(h) for h in header]))
+    return docs.select(*names, F.to_json(F.concat(head, F.col("__data")))
+                       .alias("value"))
+
+
+def pack_payload_docs(df: DataFrame, period: str, header: Sequence[str],
+                      doc_keys: Sequence[Column | str] = ()) -> DataFrame:
+    """Rows -> payload documents ``{"year", "header", "data"}`` (JSON text),
+    one per period (and extra ``doc_keys`` that bound the document size)."""
+    keys = [F.col(k) if isinstance(k, str) else k for k in doc_keys]
+    rows = df.select(F.col(period).alias("__period"), *keys,
+                     F.array(*[F.col(f"`{h}`").cast("string")
+                               for h in header]).alias("__row"))
+    names = rows.columns[:1 + len(keys)]
+    docs = rows.groupBy(*names).agg(F.collect_list("__row").alias("__data"))
+    payload = F.struct(F.col("__period").alias("year"),
+                       F.array(*[F.lit(h) for h in header]).alias("header"),
+                       F.col("__data").alias("data"))
+    return docs.select(F.col("__period").alias(period), *names[1:],
+                       F.to_json(payload).alias("value"))
+
+
 # ----------------------------------------------------------------- rejects --
 
 def flag_rejects(df: DataFrame, casts: Mapping[str, str],
