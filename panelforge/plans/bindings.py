@@ -24,6 +24,7 @@ population     customers with orders per nation and order year, as payload
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +38,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = \
+    weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, resolved once per session (like a catalog table): the
+    file listing and Parquet footer read happen once, not per query.  The
+    test tables are read-only, so the cached listing never goes stale."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _TABLES.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 # ------------------------------------------------------------------ prices --
