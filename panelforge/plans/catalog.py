@@ -403,8 +403,11 @@ def grain_check(spark, sf_dir):
 
 @query("table_counts")
 def table_counts(spark, sf_dir):
-    p, s, c = _facts(spark, sf_dir)
-    by_type = model.fct_complaints_by_type(B.complaints(spark, sf_dir))
+    cmp = B.complaints(spark, sf_dir)   # one source frame for both facts
+    p = model.fct_price(B.prices_long(spark, sf_dir))
+    s = model.fct_socio(B.socio(spark, sf_dir))
+    c = model.fct_complaints_total(cmp)
+    by_type = model.fct_complaints_by_type(cmp)
     return quality.table_counts({
         "fct_price": p, "fct_socio": s, "fct_complaints_total": c,
         "fct_complaints_by_type": by_type,
