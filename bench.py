@@ -20,7 +20,8 @@ from panelforge.plans.catalog import REGISTRY  # noqa: E402
 from panelforge.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "signals_panel", "period_mean", "fct_complaints_total",
+    "signals_panel", "signals_panel_monthly", "period_mean",
+    "fct_complaints_total",
     "fct_complaints_by_type", "fct_socio", "fct_price", "unpivot_months",
     "prices_clean", "complaints_clean", "socio_clean", "json_matrix",
     "type_distribution", "table_counts", "full_load_dedup",

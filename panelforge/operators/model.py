@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import guarded_ratio, trimmed_key
+from ..functions import guarded_ratio, period_of, trimmed_key
 
 ColumnOrName = Column | str
 
@@ -87,7 +87,8 @@ def fct_socio(socio: DataFrame, key: str = "zip_code",
               measures: Sequence[str] = SOCIO_MEASURES,
               rate_parts: Sequence[str] = EDU_PARTS,
               rate_den: str = "total_pop_over_25",
-              rate_out: str = "higher_edu_count_per_1k_population") -> DataFrame:
+              rate_out: str = "higher_edu_count_per_1k_population",
+              out_key: str = "zip_code", out_period: str = "year") -> DataFrame:
     """MAX of the name and every measure per (trimmed key, period) – collapses
     duplicate rows – plus a per-thousand rate built from the maxima.
 
@@ -95,8 +96,8 @@ def fct_socio(socio: DataFrame, key: str = "zip_code",
     ANSI integer overflow.
     """
     grouped = (socio.filter(F.col(key).isNotNull() & F.col(period).isNotNull())
-                    .groupBy(trimmed_key(key).alias("zip_code"),
-                             F.col(period).alias("year"))
+                    .groupBy(trimmed_key(key).alias(out_key),
+                             F.col(period).alias(out_period))
                     .agg(F.max(name).alias("area_name"),
                          *[F.max(m).alias(m) for m in measures]))
     num = reduce(lambda a, b: a + b,
@@ -108,8 +109,10 @@ def fct_distinct_count(df: DataFrame, key: str, ts: str, uid: str,
                        extra_keys: Sequence[str] = (),
                        out: str = "complaint_count",
                        out_key: str = "zip_code",
-                       out_period: str = "year") -> DataFrame:
-    """COUNT(DISTINCT uid) per (trimmed key, YEAR(ts), extra keys).
+                       out_period: str = "year",
+                       grain: str = "year") -> DataFrame:
+    """COUNT(DISTINCT uid) per (trimmed key, period of ts, extra keys);
+    ``grain`` is ``year`` (int), ``month`` (first day, date) or ``day``.
 
     Overlapping loads (a row present in a daily and a yearly file) are
     counted once.  NULL keys, timestamps and extra keys are ignored.
@@ -119,7 +122,7 @@ def fct_distinct_count(df: DataFrame, key: str, ts: str, uid: str,
         cond = cond & F.col(k).isNotNull()
     return (df.filter(cond)
               .groupBy(trimmed_key(key).alias(out_key),
-                       F.year(ts).alias(out_period), *extra_keys)
+                       period_of(ts, grain).alias(out_period), *extra_keys)
               .agg(F.countDistinct(uid).alias(out)))
 
 

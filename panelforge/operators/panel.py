@@ -158,34 +158,42 @@ PANEL_COLUMNS = [
 ]
 
 
+def panel_columns(entity: str = ENTITY, period: str = PERIOD) -> list[str]:
+    """The 30 output columns, with the given entity/period column names."""
+    return [entity, period, *PANEL_COLUMNS[2:]]
+
+
 def signals_panel(price: DataFrame, socio: DataFrame, complaints: DataFrame,
                   how: str = "inner", lag_mode: str = "row",
                   mean_method: str = "aggregate",
-                  upto: str | None = None) -> DataFrame:
+                  upto: str | None = None, entity: str = ENTITY,
+                  period: str = PERIOD) -> DataFrame:
     """The full 30-column (entity, period) signals panel.
 
-    ``upto`` cuts the pipeline after a named step (``join``, ``rate``,
-    ``lag``, ``delta``, ``signal``, ``mean``, ``demean``) – used to check
-    each step on its own.
+    The three facts must carry ``entity`` and ``period`` columns (any grain:
+    zip x year, supplier x month, ...).  ``upto`` cuts the pipeline after a
+    named step (``join``, ``rate``, ``lag``, ``delta``, ``signal``, ``mean``,
+    ``demean``) – used to check each step on its own.
     """
     steps = ["join", "rate", "lag", "delta", "signal", "mean", "demean",
              "adjusted"]
     stop = steps.index(upto) if upto else len(steps) - 1
-    df = join_facts(price, socio, complaints, how=how)
+    df = join_facts(price, socio, complaints, how=how, entity=entity,
+                    period=period)
     if stop >= 1:
         df = add_complaint_rate(df)
     if stop >= 2:
-        df = lag_metrics(df, mode=lag_mode)
+        df = lag_metrics(df, entity=entity, period=period, mode=lag_mode)
     if stop >= 3:
         df = add_relative_changes(df)
     if stop >= 4:
         df = add_signal(df)
     if stop >= 5:
-        df = period_mean(df, method=mean_method)
+        df = period_mean(df, period=period, method=mean_method)
     if stop >= 6:
         df = demean(df)
     if stop >= 7:
         df = add_signal(df, "adjusted_correlation_signal",
                         "adjusted_delta_p", "adjusted_delta_c")
-        df = df.select(*PANEL_COLUMNS)
+        df = df.select(*panel_columns(entity, period))
     return df

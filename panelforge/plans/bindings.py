@@ -174,8 +174,11 @@ def socio_raw_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def complaints_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw complaint rows, all strings (as read from CSV)."""
+def complaints_raw(spark: SparkSession, sf_dir: str,
+                   zip_from: str = "s_nationkey") -> DataFrame:
+    """Raw complaint rows, all strings (as read from CSV).  The entity
+    (``incident_zip``) is the supplier's nation, or ``zip_from`` (e.g. the
+    supplier key for the supplier x month panel)."""
     g = _lines_geo(spark, sf_dir)
     return g.select(
         F.col("l_orderkey").cast("string").alias("unique_key"),
@@ -183,16 +186,49 @@ def complaints_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("created_date"),
         F.concat("l_returnflag", "l_linestatus").alias("complaint_type"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
-         .otherwise(F.col("s_nationkey").cast("string")).alias("incident_zip"),
+         .otherwise(F.col(zip_from).cast("string")).alias("incident_zip"),
         F.when(F.col("l_returnflag") == "N", F.lit(None).cast("string"))
          .otherwise(F.col("l_returnflag")).alias("community_board"),
         F.col("s_name").alias("borough"),
     )
 
 
-def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
+def complaints(spark: SparkSession, sf_dir: str,
+               zip_from: str = "s_nationkey") -> DataFrame:
     """Clean complaint rows."""
-    return complaints_clean(complaints_raw(spark, sf_dir))
+    return complaints_clean(complaints_raw(spark, sf_dir, zip_from))
+
+
+# ------------------------------------------- supplier x month panel inputs --
+
+def _supplier_month(g: DataFrame) -> list:
+    return [F.col("l_suppkey").cast("string").alias("entity"),
+            F.trunc("l_shipdate", "month").alias("period")]
+
+
+def supplier_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-unit line amount of every line, keyed by supplier and ship month.
+
+    Integer-valued prices keep every sum exact, so the per-group mean is the
+    same double in any engine (a fractional price lets summation order decide
+    6th-decimal rounding ties)."""
+    g = _lines_geo(spark, sf_dir)
+    return g.select(*_supplier_month(g),
+                    F.floor("l_extendedprice").cast("double").alias("price"))
+
+
+def supplier_socio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The socio measures of ``socio`` keyed by supplier and ship month."""
+    g = _lines_geo(spark, sf_dir)
+    return g.select(
+        F.col("s_name").alias("NAME"),
+        F.floor("l_extendedprice").cast("int").alias("median_income"),
+        F.col("l_partkey").cast("int").alias("total_pop_over_25"),
+        F.col("l_linenumber").cast("int").alias("bachelors_degree"),
+        F.floor("l_quantity").cast("int").alias("masters_degree"),
+        F.col("l_suppkey").cast("int").alias("professional_degree"),
+        F.lit(1).cast("int").alias("doctorate_degree"),
+        *_supplier_month(g))
 
 
 def event_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -382,6 +382,21 @@ def signals_panel(spark, sf_dir):
     return build_panel(spark, sf_dir)
 
 
+@query("signals_panel_monthly")
+def signals_panel_monthly(spark, sf_dir):
+    """The same 30-column panel at a grain that grows with the data:
+    entity = supplier, period = ship month (first day of the month)."""
+    keys = {"out_key": "entity", "out_period": "period"}
+    p = model.fct_mean(B.supplier_prices(spark, sf_dir), "entity", "period",
+                       "price", "avg_home_price", **keys)
+    s = model.fct_socio(B.supplier_socio(spark, sf_dir), key="entity",
+                        period="period", **keys)
+    c = model.fct_distinct_count(B.complaints(spark, sf_dir, "l_suppkey"),
+                                 "incident_zip", "created_date", "unique_key",
+                                 grain="month", **keys)
+    return panel.signals_panel(p, s, c, entity="entity", period="period")
+
+
 @query("signals_view")
 def signals_view(spark, sf_dir):
     sinks.create_view(build_panel(spark, sf_dir), "signals_yearly")

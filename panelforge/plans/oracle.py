@@ -99,7 +99,7 @@ WITH_FACTS = f"WITH {PRICES},\n{SOCIO},\n{COMPLAINTS},\n{FACTS}"
 
 # Panel stages.  j: joined facts; r: + rate; g: + lags; d: + changes;
 # s: + signal; m: + period means; a: + demeaned; x: + adjusted signal.
-PANEL = WITH_FACTS + """,
+_STAGES = """,
 j AS (
   SELECT p.zip_code, p.year, p.avg_home_price, s.median_income,
          s.total_pop_over_25, s.bachelors_degree, s.masters_degree,
@@ -156,6 +156,14 @@ x AS (SELECT *, adjusted_delta_p * adjusted_delta_c
                AS adjusted_correlation_signal FROM a)
 """
 
+
+def panel_stages(entity: str = "zip_code", period: str = "year") -> str:
+    """The panel CTEs j..x over facts fp/fs/ft keyed by (entity, period)."""
+    return _STAGES.replace("zip_code", entity).replace("year", period)
+
+
+PANEL = WITH_FACTS + panel_stages()
+
 _R = "ROUND({0}, 6) AS {0}"
 
 PANEL_DOUBLES = [
@@ -379,6 +387,54 @@ SQL["signals_panel"] = _panel("x")
 SQL["signals_view"] = _panel("x")
 SQL["preview"] = FULL_PANEL + "SELECT * FROM final ORDER BY zip_code, year LIMIT 50"
 
+_MONTH = "CAST(date_trunc('month', {0}) AS DATE)"
+SQL["signals_panel_monthly"] = f"""WITH {LINES},
+sp AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS entity, {_MONTH.format('l_shipdate')} AS period,
+         CAST(FLOOR(l_extendedprice) AS DOUBLE) AS price
+  FROM lines),
+fp AS (
+  SELECT TRIM(entity) AS entity, period, AVG(price) AS avg_home_price
+  FROM sp WHERE entity IS NOT NULL AND period IS NOT NULL AND price IS NOT NULL
+  GROUP BY ALL),
+ss AS (
+  SELECT s_name AS NAME,
+         CAST(FLOOR(l_extendedprice) AS INTEGER) AS median_income,
+         CAST(l_partkey AS INTEGER) AS total_pop_over_25,
+         CAST(l_linenumber AS INTEGER) AS bachelors_degree,
+         CAST(FLOOR(l_quantity) AS INTEGER) AS masters_degree,
+         CAST(l_suppkey AS INTEGER) AS professional_degree,
+         CAST(1 AS INTEGER) AS doctorate_degree,
+         CAST(l_suppkey AS VARCHAR) AS entity,
+         {_MONTH.format('l_shipdate')} AS period
+  FROM lines),
+fs AS (
+  SELECT TRIM(entity) AS entity, period, MAX(NAME) AS area_name,
+         MAX(median_income) AS median_income,
+         MAX(total_pop_over_25) AS total_pop_over_25,
+         MAX(bachelors_degree) AS bachelors_degree,
+         MAX(masters_degree) AS masters_degree,
+         MAX(professional_degree) AS professional_degree,
+         MAX(doctorate_degree) AS doctorate_degree,
+         IF(MAX(total_pop_over_25) > 0,
+            (MAX(bachelors_degree) + MAX(masters_degree)
+             + MAX(professional_degree) + MAX(doctorate_degree))
+            / MAX(total_pop_over_25) * 1000, NULL)
+           AS higher_edu_count_per_1k_population
+  FROM ss WHERE entity IS NOT NULL AND period IS NOT NULL
+  GROUP BY TRIM(entity), period),
+cm AS (
+  SELECT l_orderkey AS unique_key, l_shipdate AS created_date,
+         CASE WHEN l_linenumber = 7 THEN NULL
+              ELSE CAST(l_suppkey AS VARCHAR) END AS incident_zip
+  FROM lines WHERE l_returnflag IS NOT NULL AND l_returnflag <> 'N'),
+ft AS (
+  SELECT TRIM(incident_zip) AS entity,
+         {_MONTH.format('created_date')} AS period,
+         COUNT(DISTINCT unique_key) AS complaint_count
+  FROM cm WHERE incident_zip IS NOT NULL AND created_date IS NOT NULL
+  GROUP BY ALL){panel_stages("entity", "period")}""" + _rounded("x")
+
 # ------------------------------------------------------ quality/analytics --
 
 SQL["grain_check"] = FULL_PANEL + """
