@@ -435,6 +435,13 @@ ft AS (
   FROM cm WHERE incident_zip IS NOT NULL AND created_date IS NOT NULL
   GROUP BY ALL){panel_stages("entity", "period")}""" + _rounded("x")
 
+SQL["stream_ingest"] = """
+SELECT DISTINCT event_id AS unique_key, ts AS created_date,
+       event_type AS complaint_type, CAST(user_id AS VARCHAR) AS incident_zip,
+       event_type AS community_board, 'events' AS borough,
+       CAST(ts AS DATE) AS day
+FROM events"""
+
 # ------------------------------------------------------ quality/analytics --
 
 SQL["grain_check"] = FULL_PANEL + """
