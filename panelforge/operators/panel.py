@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rate_per_k, relative_change, signal_product
+from ..session import ensure_checkpoint_dir
 
 ENTITY, PERIOD = "zip_code", "year"
 
@@ -167,13 +168,20 @@ def signals_panel(price: DataFrame, socio: DataFrame, complaints: DataFrame,
                   how: str = "inner", lag_mode: str = "row",
                   mean_method: str = "aggregate",
                   upto: str | None = None, entity: str = ENTITY,
-                  period: str = PERIOD) -> DataFrame:
+                  period: str = PERIOD, checkpoint: bool = False) -> DataFrame:
     """The full 30-column (entity, period) signals panel.
 
     The three facts must carry ``entity`` and ``period`` columns (any grain:
     zip x year, supplier x month, ...).  ``upto`` cuts the pipeline after a
     named step (``join``, ``rate``, ``lag``, ``delta``, ``signal``, ``mean``,
     ``demean``) – used to check each step on its own.
+
+    ``checkpoint=True`` writes the panel after the signal step to the
+    cluster's shared checkpoint folder (``spark.checkpoint.dir``) before the
+    period-mean self-join: both join branches then read the materialised
+    rows instead of re-evaluating the joined and lagged facts, and a lost
+    executor no longer forces the raw fact aggregations to be recomputed.
+    This runs a job when called (an eager checkpoint).
     """
     steps = ["join", "rate", "lag", "delta", "signal", "mean", "demean",
              "adjusted"]
@@ -189,6 +197,9 @@ def signals_panel(price: DataFrame, socio: DataFrame, complaints: DataFrame,
     if stop >= 4:
         df = add_signal(df)
     if stop >= 5:
+        if checkpoint:
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
         df = period_mean(df, period=period, method=mean_method)
     if stop >= 6:
         df = demean(df)

@@ -62,10 +62,15 @@ def _facts(spark, sf_dir):
 
 
 def build_panel(spark, sf_dir, upto=None, mean_method="aggregate",
-                how="inner", lag_mode="row") -> DataFrame:
+                how="inner", lag_mode="row", checkpoint=True) -> DataFrame:
+    """The bound panel.  Past the signal step the panel is checkpointed to the
+    shared checkpoint folder (see ``panel.signals_panel``): measured faster
+    than re-evaluating it under both branches of the period-mean join, and
+    it cuts the lineage back to the raw scans."""
     p, s, c = _facts(spark, sf_dir)
     return panel.signals_panel(p, s, c, how=how, lag_mode=lag_mode,
-                               mean_method=mean_method, upto=upto)
+                               mean_method=mean_method, upto=upto,
+                               checkpoint=checkpoint)
 
 
 # ----------------------------------------------------------- sources --------
@@ -394,7 +399,8 @@ def signals_panel_monthly(spark, sf_dir):
     c = model.fct_distinct_count(B.complaints(spark, sf_dir, "l_suppkey"),
                                  "incident_zip", "created_date", "unique_key",
                                  grain="month", **keys)
-    return panel.signals_panel(p, s, c, entity="entity", period="period")
+    return panel.signals_panel(p, s, c, entity="entity", period="period",
+                               checkpoint=True)
 
 
 @query("stream_ingest")

@@ -40,6 +40,13 @@ def complaint_file_stream(spark: SparkSession, src_dir: str,
     return r.csv(src_dir)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Path test through the cluster file system (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def merge_into_days(batch: DataFrame, target: str, staging: str,
                     key: str = "unique_key", day: str = "day") -> None:
     """Merge one batch into a day-partitioned table, one row per key.
@@ -55,13 +62,9 @@ def merge_into_days(batch: DataFrame, target: str, staging: str,
     if not days:
         return
     merged = batch
-    try:
+    if _exists(spark, f"{target.rstrip('/')}/_SUCCESS"):
         existing = spark.read.parquet(target).filter(F.col(day).isin(days))
         merged = existing.unionByName(batch.select(*existing.columns))
-    except Exception as exc:  # noqa: BLE001 - first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc) \
-                and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
     merged.dropDuplicates([key]).write.mode("overwrite").parquet(staging)
     overwrite_slices(spark.read.parquet(staging), target, day)
 

@@ -122,3 +122,17 @@ def test_plan_has_no_python_udf(spark):
     p, s, c = facts(spark)
     plan = panel.signals_panel(p, s, c)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_checkpointed_panel_equals_lazy_panel(spark):
+    p, s, c = facts(spark)
+    lazy = rows(panel.signals_panel(p, s, c))
+    cut = panel.signals_panel(p, s, c, checkpoint=True)
+    assert "Scan ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString() or \
+        "LogicalRDD" in cut._jdf.queryExecution().optimizedPlan().toString()
+    got = rows(cut)
+    assert got.keys() == lazy.keys()
+    for k in got:
+        for col in panel.PANEL_COLUMNS:
+            x, y = got[k][col], lazy[k][col]
+            assert (x is None and y is None) or x == pytest.approx(y), (k, col)

@@ -40,8 +40,9 @@ def main():
                           extra={"spark.driver.memory": "16g"})
     print("| variant | median s | rows | hash exchanges | reused |")
     print("|---|---|---|---|---|")
-    measure("signals_panel, period mean = aggregate + join", lambda: build_panel(spark, sf), spark, runs)
-    measure("signals_panel, period mean = window", lambda: build_panel(spark, sf, mean_method="window"), spark, runs)
+    measure("signals_panel, period mean = aggregate + join, checkpointed (default)", lambda: build_panel(spark, sf), spark, runs)
+    measure("signals_panel, period mean = aggregate + join, lazy", lambda: build_panel(spark, sf, checkpoint=False), spark, runs)
+    measure("signals_panel, period mean = window, lazy", lambda: build_panel(spark, sf, mean_method="window", checkpoint=False), spark, runs)
     wide = lambda: B.prices_wide(spark, sf)
     measure("unpivot months (unpivot -> Expand)",
             lambda: reshape.unpivot_periods(wide(), ["RegionName"], value_col="cell")
