@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 # A period column of a wide file is named by its calendar date.
 DATE_COLUMN = r"^\d{4}-\d{2}-\d{2}$"
+# Only 21st-century dates: what a "starts with 20" column pick yields once
+# non-date names are excluded (19xx months are then left out).
+DATE_COLUMN_20XX = r"^20\d{2}-\d{2}-\d{2}$"
 
 
 def period_columns(df: DataFrame, pattern: str = DATE_COLUMN) -> list[str]:

@@ -45,12 +45,9 @@ DAILY_CAP = 350
 PAGE_SIZE, PAGE_OVERLAP = 1000, 50
 PREVIEW_ROWS = 50
 TOP_K = 20
-SOCIO_COLUMNS = {
-    "NAME": "NAME", "median_income": "B19013_001E",
-    "total_pop_over_25": "B15003_001E", "bachelors_degree": "B15003_022E",
-    "masters_degree": "B15003_023E", "professional_degree": "B15003_024E",
-    "doctorate_degree": "B15003_025E", "zip_code": "zip code tabulation area",
-}
+# model column -> source field name (the fixed values live in clean.py)
+SOCIO_COLUMNS = {"NAME": "NAME",
+                 **{v: k for k, v in clean.SOCIO_RENAMES.items()}}
 
 
 # ------------------------------------------------------------- the facts ----

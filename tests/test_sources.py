@@ -13,16 +13,16 @@ from panelforge.sources import files
 
 COMPLAINTS_A = (
     "unique_key,created_date,complaint_type,incident_zip,community_board,borough\n"
-    "1,2024-01-15T10:20:30.000,Noise,07030,01 MANHATTAN,MANHATTAN\n"
-    "2,2024-01-15T23:59:59.500,\"Heat\nHot Water\", 10001 ,   ,BRONX\n"
-    "3,not a date,Noise,N/A,02 BRONX,BRONX\n"
-    "4,2024-01-16T08:00:00.000,Noise,,,QUEENS\n"
+    "1,2024-01-15T10:20:30.000,Noise,07030,01 NORTH,NORTH\n"
+    "2,2024-01-15T23:59:59.500,\"Heat\nHot Water\", 10001 ,   ,EAST\n"
+    "3,not a date,Noise,N/A,02 EAST,EAST\n"
+    "4,2024-01-16T08:00:00.000,Noise,,,WEST\n"
 )
 # same key 1 again, columns in another order
 COMPLAINTS_B = (
     "borough,unique_key,incident_zip,complaint_type,community_board,created_date\n"
-    "MANHATTAN,1,07030,Noise,01 MANHATTAN,2024-01-15T10:20:30.000\n"
-    "BROOKLYN,5,11201,Rodent,03 BROOKLYN,2024-01-17T09:00:00.000\n"
+    "NORTH,1,07030,Noise,01 NORTH,2024-01-15T10:20:30.000\n"
+    "SOUTH,5,11201,Rodent,03 SOUTH,2024-01-17T09:00:00.000\n"
 )
 
 
@@ -46,7 +46,7 @@ def test_csv_by_header_and_complaints_clean(spark, tmp):
     assert out[2].created_date == dt.datetime(2024, 1, 15, 23, 59, 59, 500000)
     assert out[3].created_date is None   # unparsable date -> NULL
     assert out[1].incident_zip == "07030"  # leading zero kept
-    assert out[5].borough == "BROOKLYN" and out[5].incident_zip == "11201"
+    assert out[5].borough == "SOUTH" and out[5].incident_zip == "11201"
 
 
 def test_csv_positional_trap_is_avoided(spark, tmp):
@@ -59,10 +59,10 @@ def test_csv_positional_trap_is_avoided(spark, tmp):
 WIDE = (
     "RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName,"
     "1999-12-31,2020-01-31,2020-02-29,20xx-note\n"
-    "1,5,07030,zip,NJ,NJ,Hoboken,NYC,Hudson,90,100,,a\n"
-    "2,6,10001,zip,NY,NY,New York,NYC,New York,95,200.5,abc,b\n"
-    "3,7,99999,zip,NY,NY,Nowhere,X,Y,1,2,3,c\n"
-    "4,8,10001,zip,NY,NY,Manhattan,NYC,New York,1,300,400,d\n"
+    "1,5,07030,zip,S1,S1,Alpha,M1,C1,90,100,,a\n"
+    "2,6,10001,zip,S2,S2,Beta,M1,C2,95,200.5,abc,b\n"
+    "3,7,99999,zip,S2,S2,Gamma,M2,C3,1,2,3,c\n"
+    "4,8,10001,zip,S2,S2,Delta,M1,C2,1,300,400,d\n"
 )
 
 
@@ -72,13 +72,13 @@ def test_prices_clean_wide_to_long(spark, tmp):
     out = clean.prices_clean(wide, ["07030", "10001"])
     got = sorted((r.zip_code, str(r.date), r.price, r.year, r.month, r.city) for r in out.collect())
     assert got == [
-        ("07030", "1999-12-31", 90.0, 1999, 12, "Hoboken"),
-        ("07030", "2020-01-31", 100.0, 2020, 1, "Hoboken"),
-        ("10001", "1999-12-31", 1.0, 1999, 12, "Manhattan"),
-        ("10001", "1999-12-31", 95.0, 1999, 12, "New York"),
-        ("10001", "2020-01-31", 200.5, 2020, 1, "New York"),
-        ("10001", "2020-01-31", 300.0, 2020, 1, "Manhattan"),
-        ("10001", "2020-02-29", 400.0, 2020, 2, "Manhattan"),
+        ("07030", "1999-12-31", 90.0, 1999, 12, "Alpha"),
+        ("07030", "2020-01-31", 100.0, 2020, 1, "Alpha"),
+        ("10001", "1999-12-31", 1.0, 1999, 12, "Delta"),
+        ("10001", "1999-12-31", 95.0, 1999, 12, "Beta"),
+        ("10001", "2020-01-31", 200.5, 2020, 1, "Beta"),
+        ("10001", "2020-01-31", 300.0, 2020, 1, "Delta"),
+        ("10001", "2020-02-29", 400.0, 2020, 2, "Delta"),
     ]
     assert out.columns == ["RegionID", "SizeRank", "zip_code", "regiontype", "statename",
                            "state", "city", "metro", "countyname", "price", "date",
@@ -165,3 +165,11 @@ def test_slices_glob(spark, tmp):
     for d in ["2024-01-15", "2024-01-16"]:
         spark.createDataFrame([(d,)], "d string").write.parquet(f"{tmp}/t/part_{d}.parquet")
     assert files.read_slices(spark, f"{tmp}/t", "part_2024-01-15*").count() == 1
+
+
+def test_prices_clean_20xx_only_pattern(spark, tmp):
+    from panelforge.operators.reshape import DATE_COLUMN_20XX
+    write(f"{tmp}/wide.csv", WIDE)
+    wide = files.read_csv_strings(spark, f"{tmp}/wide.csv")
+    out = clean.prices_clean(wide, ["07030", "10001"], pattern=DATE_COLUMN_20XX)
+    assert sorted({str(r.date) for r in out.collect()}) == ["2020-01-31", "2020-02-29"]
