@@ -427,6 +427,17 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(table)
 
 
+@query("published_panel")
+def published_panel(spark, sf_dir):
+    """The model published as tables (dims, facts, panel written whole, panel
+    built from the written facts) and read back through its view."""
+    from ..operators.publish import publish_model
+    pub = publish_model(B.prices_long(spark, sf_dir), B.socio(spark, sf_dir),
+                        B.complaints(spark, sf_dir),
+                        scratch_path(spark, "model"), view="signals_published")
+    return spark.table(pub.view)
+
+
 @query("signals_view")
 def signals_view(spark, sf_dir):
     sinks.create_view(build_panel(spark, sf_dir), "signals_yearly")

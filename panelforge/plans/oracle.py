@@ -385,6 +385,7 @@ SQL["demean"] = _panel("a")
 SQL["adjusted_signal"] = _panel("x")
 SQL["signals_panel"] = _panel("x")
 SQL["signals_view"] = _panel("x")
+SQL["published_panel"] = _panel("x")
 SQL["preview"] = FULL_PANEL + "SELECT * FROM final ORDER BY zip_code, year LIMIT 50"
 
 _MONTH = "CAST(date_trunc('month', {0}) AS DATE)"

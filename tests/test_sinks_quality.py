@@ -102,3 +102,20 @@ def test_analytics(spark):
     assert [r.k for r in analytics.preview(df, 2, ["k"]).collect()] == ["a", "b"]
     dist = analytics.distribution(df.fillna({"inc": 0}), "y", "k", "inc").collect()
     assert [(r.y, r.k, r.total_complaints) for r in dist][:2] == [(1, "b", 2), (1, "a", 1)]
+
+
+def test_publish_model_writes_every_table_and_view(spark, tmp):
+    from panelforge.operators.publish import publish_model
+    from panelforge.plans import bindings as B
+    sf = "/root/testdata/sf0.001"
+    pub = publish_model(B.prices_long(spark, sf), B.socio(spark, sf), B.complaints(spark, sf),
+                        f"{tmp}/model", view="pf_published")
+    assert set(pub.tables) == {"dim_entity", "dim_category", "dim_period", "fct_price",
+                               "fct_socio", "fct_complaints_total",
+                               "fct_complaints_by_type", "signals_panel"}
+    n = spark.table("pf_published").count()
+    assert n == pub.read(spark, "signals_panel").count() > 0
+    # re-publishing replaces, never appends
+    publish_model(B.prices_long(spark, sf), B.socio(spark, sf), B.complaints(spark, sf),
+                  f"{tmp}/model", view="pf_published")
+    assert spark.read.parquet(pub.tables["signals_panel"]).count() == n
