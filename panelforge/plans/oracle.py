@@ -52,11 +52,6 @@ COMPLAINTS = """cmp AS (
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   WHERE l.l_returnflag IS NOT NULL AND l.l_returnflag <> 'N')"""
 
-EVENTS = """ev AS (
-  SELECT event_id AS unique_key, ts AS created_date,
-         event_type AS complaint_type
-  FROM events)"""
-
 FACTS = """fp AS (
   SELECT TRIM(zip_code) AS zip_code, year, AVG(price) AS avg_home_price
   FROM prices

@@ -6,7 +6,6 @@ DataFrames.  These helpers exist for tests, the benchmark and the driver entry.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,12 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + f"/panelforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so tests can inspect files with ``os``."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_fs_path(path))

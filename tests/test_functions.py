@@ -46,3 +46,9 @@ def test_round_doubles_only_touches_doubles(spark):
     df = spark.createDataFrame([(1, 0.1234567891, "x")], "a int, b double, c string")
     r = pf.round_doubles(df, 3).collect()[0]
     assert (r.a, r.b, r.c) == (1, 0.123, "x")
+
+
+def test_closed_and_half_open_windows(spark):
+    df = spark.createDataFrame([(1,), (5,), (10,)], "x int")
+    assert df.filter(pf.closed_window("x", 1, 10)).count() == 3
+    assert df.filter(pf.half_open_window("x", 1, 10)).count() == 2

@@ -119,3 +119,26 @@ def test_publish_model_writes_every_table_and_view(spark, tmp):
     publish_model(B.prices_long(spark, sf), B.socio(spark, sf), B.complaints(spark, sf),
                   f"{tmp}/model", view="pf_published")
     assert spark.read.parquet(pub.tables["signals_panel"]).count() == n
+
+
+def test_require_rows(spark):
+    import pytest
+    df = spark.createDataFrame([(1,)], "a int")
+    assert quality.require_rows(df, "x") is df
+    with pytest.raises(ValueError):
+        quality.require_rows(df.filter("a > 1"), "empty input")
+
+
+def test_tolerant_parquet_load_refresh_and_replace_table(spark, tmp):
+    from panelforge.sources import files
+    spark.createDataFrame([(1,), (2,)], "a int").write.parquet(f"{tmp}/p")
+    with open(f"{tmp}/p/part-99999-corrupt.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    schema = spark.createDataFrame([(1,)], "a int").schema
+    assert files.read_parquet_tolerant(spark, f"{tmp}/p", schema).count() == 2
+    files.refresh(spark, f"{tmp}/p")
+    df = spark.createDataFrame([(1, "x")], "k int, v string")
+    sinks.replace_table(df, "pf_replaced")
+    sinks.replace_table(df.union(df), "pf_replaced")
+    assert spark.table("pf_replaced").count() == 2
+    spark.sql("DROP TABLE pf_replaced")
