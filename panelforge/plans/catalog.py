@@ -9,6 +9,7 @@ across engines; the library operators themselves never round.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import (in_day, in_year, round_doubles, safe_cast)
 from ..operators import analytics, clean, model, panel, quality, reshape
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import files, sinks
 from . import bindings as B
 
@@ -459,11 +460,19 @@ def grain_check(spark, sf_dir):
 
 @query("table_counts")
 def table_counts(spark, sf_dir):
+    # Counting a fact needs only its keys, so each lazy count branch would be
+    # pruned into its own aggregate and rescan the raw tables.  Materialise
+    # every fact once (reliable checkpoint: small aggregated tables in the
+    # shared checkpoint folder), count those, build the panel from them.
+    # The four materialisations are independent jobs, submitted together.
+    ensure_checkpoint_dir(spark)
     cmp = B.complaints(spark, sf_dir)   # one source frame for both facts
-    p = model.fct_price(B.prices_long(spark, sf_dir))
-    s = model.fct_socio(B.socio(spark, sf_dir))
-    c = model.fct_complaints_total(cmp)
-    by_type = model.fct_complaints_by_type(cmp)
+    facts = [model.fct_price(B.prices_long(spark, sf_dir)),
+             model.fct_socio(B.socio(spark, sf_dir)),
+             model.fct_complaints_total(cmp),
+             model.fct_complaints_by_type(cmp)]
+    with ThreadPoolExecutor(max_workers=len(facts)) as pool:
+        p, s, c, by_type = pool.map(lambda f: f.checkpoint(), facts)
     return quality.table_counts({
         "fct_price": p, "fct_socio": s, "fct_complaints_total": c,
         "fct_complaints_by_type": by_type,
