@@ -50,6 +50,25 @@ def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
         F.to_date(F.try_to_timestamp(_c(c), F.lit(fmt)))
 
 
+def utc_instant(c: ColumnOrName) -> Column:
+    """A zone-less timestamp's wall clock read as UTC, as a ``TIMESTAMP``.
+
+    Streaming watermarks need ``TIMESTAMP``; a plain cast would read the wall
+    clock in the session time zone (and shift day windows with it).  Built
+    from the wall-clock parts with an explicit UTC zone, the instant – and any
+    window over it – is the same in every session."""
+    x = _c(c)
+    return F.make_timestamp(F.year(x), F.month(x), F.dayofmonth(x), F.hour(x),
+                            F.minute(x), F.date_part(F.lit("SECOND"), x),
+                            F.lit("UTC"))
+
+
+def utc_date(instant: ColumnOrName) -> Column:
+    """Calendar date (UTC) of a ``TIMESTAMP``, independent of the session."""
+    return F.date_from_unix_date(
+        F.floor(F.unix_seconds(_c(instant)) / 86400).cast("int"))
+
+
 def trimmed_key(c: ColumnOrName) -> Column:
     """Entity keys are compared trimmed."""
     return F.trim(_c(c))

@@ -401,6 +401,34 @@ def signals_panel_monthly(spark, sf_dir):
                                checkpoint=True)
 
 
+def _event_feed(spark, sf_dir):
+    """The event table as raw complaint CSV rows (all strings)."""
+    e = B.table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id").cast("string").alias("unique_key"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_date"),
+        F.col("event_type").alias("complaint_type"),
+        F.col("user_id").cast("string").alias("incident_zip"),
+        F.col("event_type").alias("community_board"),
+        F.lit("events").alias("borough"))
+
+
+@query("stream_daily_counts")
+def stream_daily_counts(spark, sf_dir):
+    """Streaming tumbling one-day counts (watermarked event time) over the
+    landed feed plus one re-delivered day.  Raw counts, so the re-delivered
+    day counts twice – the streaming form of the daily load check."""
+    from ..streaming.ingest import daily_counts_available_now
+    feed = _event_feed(spark, sf_dir)
+    base = scratch_path(spark, "stream_daily")
+    feed.write.option("header", "true").csv(f"{base}/landing/all_days")
+    feed.filter(F.col("created_date").startswith(SLICE_DAY)) \
+        .write.option("header", "true").csv(f"{base}/landing/redelivered")
+    daily_counts_available_now(spark, f"{base}/landing/*", f"{base}/counts",
+                               f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/counts")
+
+
 @query("stream_ingest")
 def stream_ingest(spark, sf_dir):
     """Structured Streaming end to end: the event feed lands as complaint
@@ -409,14 +437,7 @@ def stream_ingest(spark, sf_dir):
     files and merging them into the stored day with one row per key.  The
     stored table is returned."""
     from ..streaming.ingest import ingest_available_now
-    e = B.table(spark, sf_dir, "events")
-    feed = e.select(
-        F.col("event_id").cast("string").alias("unique_key"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_date"),
-        F.col("event_type").alias("complaint_type"),
-        F.col("user_id").cast("string").alias("incident_zip"),
-        F.col("event_type").alias("community_board"),
-        F.lit("events").alias("borough"))
+    feed = _event_feed(spark, sf_dir)
     base = scratch_path(spark, "stream_ingest")
     landing = f"{base}/landing"
     table, ckpt = f"{base}/table", f"{base}/checkpoint"

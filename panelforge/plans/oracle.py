@@ -431,6 +431,13 @@ ft AS (
   FROM cm WHERE incident_zip IS NOT NULL AND created_date IS NOT NULL
   GROUP BY ALL){panel_stages("entity", "period")}""" + _rounded("x")
 
+SQL["stream_daily_counts"] = """
+SELECT CAST(ts AS DATE) AS load_date, COUNT(*) AS daily_count
+FROM (SELECT ts FROM events
+      UNION ALL
+      SELECT ts FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15') u
+GROUP BY 1"""
+
 SQL["stream_ingest"] = """
 SELECT DISTINCT event_id AS unique_key, ts AS created_date,
        event_type AS complaint_type, CAST(user_id AS VARCHAR) AS incident_zip,

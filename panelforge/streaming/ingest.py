@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import utc_date, utc_instant
 from ..operators.clean import COMPLAINT_COLUMNS, complaints_clean
 from ..sources.sinks import overwrite_slices
 
@@ -95,22 +96,45 @@ def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
     return q
 
 
+EVENT_TIME = "__event_time"
+
+
 def dedup_stream(df: DataFrame, key: str = "unique_key",
                  ts: str = "created_date", delay: str = "2 days") -> DataFrame:
     """Drop repeats of a key arriving within ``delay`` of each other
-    (bounded state; rows older than the watermark are dropped as late)."""
-    return (df.withColumn(ts, F.col(ts).cast("timestamp"))
-              .withWatermark(ts, delay)
-              .dropDuplicatesWithinWatermark([key]))
+    (bounded state; rows older than the watermark are dropped as late).
+    The zone-less event time is read as UTC, so results do not depend on the
+    session time zone."""
+    return (df.withColumn(EVENT_TIME, utc_instant(ts))
+              .withWatermark(EVENT_TIME, delay)
+              .dropDuplicatesWithinWatermark([key])
+              .drop(EVENT_TIME))
 
 
 def daily_counts_stream(df: DataFrame, ts: str = "created_date",
                         delay: str = "1 day") -> DataFrame:
-    """Rows per calendar day (tumbling window), emitted once the watermark
-    passes the end of the day in append mode."""
-    t = F.col(ts).cast("timestamp")
-    return (df.withColumn(ts, t).withWatermark(ts, delay)
-              .groupBy(F.window(ts, "1 day").alias("w"))
+    """Rows per calendar day (tumbling one-day window over the event time,
+    read as UTC).  In append mode a day is emitted once the watermark passes
+    its end; in complete mode every day is re-emitted each batch."""
+    return (df.withColumn(EVENT_TIME, utc_instant(ts))
+              .withWatermark(EVENT_TIME, delay)
+              .groupBy(F.window(EVENT_TIME, "1 day").alias("w"))
               .agg(F.count(F.lit(1)).alias("daily_count"))
-              .select(F.to_date(F.col("w.start")).alias("load_date"),
+              .select(utc_date(F.col("w.start")).alias("load_date"),
                       "daily_count"))
+
+
+def daily_counts_available_now(spark: SparkSession, src_dir: str, out: str,
+                               checkpoint: str,
+                               ts: str = "created_date") -> StreamingQuery:
+    """Run ``daily_counts_stream`` over every landed file and keep the
+    complete per-day table in ``out`` (each micro-batch rewrites it whole;
+    the table is one row per day, so the rewrite is small)."""
+    cleaned = complaints_clean(complaint_file_stream(spark, src_dir))
+    counts = daily_counts_stream(cleaned, ts)
+    q = (counts.writeStream.outputMode("complete")
+               .foreachBatch(lambda b, _e: b.write.mode("overwrite").parquet(out))
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
