@@ -48,25 +48,44 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    """One row per key: the one with the largest ``order`` value.
+
+    ``max_by`` over a struct of the row is a declarative aggregate, so Spark
+    pre-aggregates map-side: many copies of one key (a re-delivered file, a
+    hot key) collapse inside each task before the shuffle instead of all
+    landing in one task as a window over the key would."""
+    cols = [c for c in df.columns if c not in (key, order)]
+    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order))
+    return (df.groupBy(key).agg(best.alias("__best"))
+              .select(key, *[F.col(f"__best.{c}").alias(c) for c in cols]))
+
+
 def merge_into_days(batch: DataFrame, target: str, staging: str,
-                    key: str = "unique_key", day: str = "day") -> None:
-    """Merge one batch into a day-partitioned table, one row per key.
+                    key: str = "unique_key", day: str = "day",
+                    epoch: int = 0) -> None:
+    """Merge one batch into a day-partitioned table, one row per key; a key
+    delivered again replaces the stored row (latest delivery wins).
 
     The touched days are read back from the target (partition-pruned by an
     ``IN`` list of the batch's days – a list bounded by the calendar, not by
-    the data), unioned with the batch, de-duplicated, staged to a separate
-    folder (never overwrite a path the same plan reads) and then swapped in
-    with a dynamic partition overwrite.
+    the data), unioned with the batch, reduced to the latest row per key,
+    staged to a separate folder (never overwrite a path the same plan reads)
+    and then swapped in with a dynamic partition overwrite.
     """
     spark = batch.sparkSession
     days = [r[0] for r in batch.select(day).distinct().collect()]
     if not days:
         return
-    merged = batch
-    if _exists(spark, f"{target.rstrip('/')}/_SUCCESS"):
+    order = "__delivery"
+    merged = batch.withColumn(order, F.lit(epoch).cast("bigint"))
+    # The table folder exists once a first non-empty batch was stored (a
+    # dynamic partition overwrite leaves no _SUCCESS marker at the root).
+    if _exists(spark, target):
         existing = spark.read.parquet(target).filter(F.col(day).isin(days))
-        merged = existing.unionByName(batch.select(*existing.columns))
-    merged.dropDuplicates([key]).write.mode("overwrite").parquet(staging)
+        merged = (existing.withColumn(order, F.lit(-1).cast("bigint"))
+                  .unionByName(merged.select(*existing.columns, order)))
+    latest_per_key(merged, key, order).write.mode("overwrite").parquet(staging)
     overwrite_slices(spark.read.parquet(staging), target, day)
 
 
@@ -86,7 +105,7 @@ def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         staging = f"{checkpoint.rstrip('/')}/staging/epoch={epoch_id}"
-        merge_into_days(batch, target, staging, key=key)
+        merge_into_days(batch, target, staging, key=key, epoch=epoch_id)
 
     q = (cleaned.writeStream.foreachBatch(each_batch)
                 .option("checkpointLocation", f"{checkpoint.rstrip('/')}/state")

@@ -35,13 +35,17 @@ def test_available_now_merge_keeps_earlier_rows(spark, tmp):
     assert sorted(r.unique_key for r in got.collect()) == [1, 2, 3, 4, 5]
     per_day = {str(r.day): r.n for r in got.groupBy("day").agg(F.count("*").alias("n")).collect()}
     assert per_day == {"2024-01-01": 1, "2024-01-02": 3, "2024-01-03": 1}
+    # a late file that touches day 1 with one new key must keep key 1
+    land(src, "late.csv", [row(6, 1)])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    assert sorted(r.unique_key for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4, 5, 6]
     # nothing new: a rerun changes nothing
     ingest.ingest_available_now(spark, src, target, ckpt)
-    assert spark.read.parquet(target).count() == 5
+    assert spark.read.parquet(target).count() == 6
     # equals the batch distinct count over all landed files
     from panelforge.sources import files
     batch = clean.complaints_clean(files.read_csv_by_header(spark, src, multiline=True))
-    assert batch.select("unique_key").distinct().count() == 5
+    assert batch.select("unique_key").distinct().count() == 6
 
 
 def test_dedup_and_daily_counts_streams(spark, tmp):
@@ -65,3 +69,23 @@ def test_dedup_and_daily_counts_streams(spark, tmp):
     assert got.get("2024-01-01") == 3
     assert got.get("2024-01-02") == 2
     assert "2024-01-05" not in got
+
+
+def test_redelivered_key_replaces_stored_row(spark, tmp):
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    land(src, "a.csv", [row(1, 1), row(2, 1)])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    fixed = ("1", "2024-01-01T10:00:00.000", "Heat", "10001", "B1", "X")
+    land(src, "b.csv", [fixed])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    got = {r.unique_key: r.complaint_type for r in spark.read.parquet(target).collect()}
+    assert got == {1: "Heat", 2: "Noise"}
+
+
+def test_latest_per_key_collapses_copies(spark):
+    df = spark.createDataFrame([(1, "a", 0), (1, "b", 2), (1, "c", 1), (2, "z", 0)] * 50,
+                               "k int, v string, o int")
+    out = ingest.latest_per_key(df, "k", "o")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "b"), (2, "z")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
