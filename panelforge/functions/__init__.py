@@ -133,15 +133,24 @@ def half_open_window(c: ColumnOrName, lo, hi) -> Column:
     return (x >= F.lit(lo)) & (x < F.lit(hi))
 
 
-def day_bounds(day: str, closed: bool = True):
-    """Timestamp bounds of one calendar day as zone-less literals."""
-    lo = F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+def days_ago(n: int) -> Column:
+    """The date ``n`` days before today (e.g. the default load date of a
+    daily run: data of two days ago)."""
+    return F.date_sub(F.current_date(), n)
+
+
+def day_bounds(day: str | Column, closed: bool = True):
+    """Zone-less timestamp bounds of one calendar day (a ``yyyy-MM-dd``
+    string or a date Column): ``[00:00:00, 23:59:59]`` closed, or
+    ``[00:00:00, next midnight)`` half-open."""
+    d = F.lit(day).cast("date") if isinstance(day, str) else day.cast("date")
+    lo = d.cast("timestamp_ntz")
     if closed:
-        return lo, F.lit(f"{day} 23:59:59").cast("timestamp_ntz")
-    return lo, F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz")
+        return lo, lo + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    return lo, F.date_add(d, 1).cast("timestamp_ntz")
 
 
-def in_day(c: ColumnOrName, day: str, closed: bool = True) -> Column:
+def in_day(c: ColumnOrName, day: str | Column, closed: bool = True) -> Column:
     lo, hi = day_bounds(day, closed)
     return _c(c).between(lo, hi) if closed else (_c(c) >= lo) & (_c(c) < hi)
 

@@ -52,3 +52,15 @@ def test_closed_and_half_open_windows(spark):
     df = spark.createDataFrame([(1,), (5,), (10,)], "x int")
     assert df.filter(pf.closed_window("x", 1, 10)).count() == 3
     assert df.filter(pf.half_open_window("x", 1, 10)).count() == 2
+
+
+def test_day_slice_relative_to_today(spark):
+    today = dt.date.today()
+    two = today - dt.timedelta(days=2)
+    rows = [(dt.datetime(two.year, two.month, two.day, 5),),
+            (dt.datetime(two.year, two.month, two.day, 23, 59, 59, 500000),),
+            (dt.datetime(today.year, today.month, today.day, 1),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    assert df.filter(pf.in_day("t", pf.days_ago(2))).count() == 1
+    assert df.filter(pf.in_day("t", pf.days_ago(2), closed=False)).count() == 2
+    assert df.filter(pf.in_day("t", two.isoformat(), closed=False)).count() == 2
