@@ -79,22 +79,43 @@ def add_complaint_rate(df: DataFrame, count: str = "total_complaint_count",
     return df.withColumn(out, rate_per_k(count, den))
 
 
+def _calendar_index(df: DataFrame, period: str, unit: str):
+    """An integer that steps by one per calendar period: the period itself
+    for integer periods (years), ``year*12+month`` for month periods given as
+    dates, days since the epoch for day periods."""
+    p = F.col(period)
+    is_date = dict(df.dtypes)[period] in ("date", "timestamp", "timestamp_ntz")
+    if unit == "auto":
+        unit = "month" if is_date else "number"
+    if unit == "number":
+        return p
+    if unit == "month":
+        return F.year(p) * 12 + F.month(p)
+    if unit == "day":
+        return F.unix_date(p.cast("date"))
+    raise ValueError(f"unknown calendar unit {unit!r}")
+
+
 def lag_metrics(df: DataFrame, metrics: Mapping[str, str] = LAGGED,
                 entity: str = ENTITY, period: str = PERIOD,
-                mode: str = "row") -> DataFrame:
+                mode: str = "row", unit: str = "auto") -> DataFrame:
     """Previous value of each metric within an entity, ordered by period.
 
     ``mode="row"``: the previous *row* (a missing period is skipped over).
-    ``mode="calendar"``: the value at exactly ``period - 1`` (NULL across a
-    gap); needs a numeric period.
+    ``mode="calendar"``: the value of exactly one calendar step earlier
+    (NULL across a gap).  ``unit`` says what a step is: ``number`` (integer
+    periods such as years), ``month`` (date periods, the default for dates)
+    or ``day``.
     All metrics share one window specification, so Spark evaluates them in a
     single Window operator after a single exchange by entity.
     """
-    w = Window.partitionBy(entity).orderBy(F.col(period).asc())
     if mode == "row":
+        w = Window.partitionBy(entity).orderBy(F.col(period).asc())
         cols = {out: F.lag(m, 1).over(w) for m, out in metrics.items()}
     elif mode == "calendar":
-        wr = w.rangeBetween(-1, -1)
+        wr = (Window.partitionBy(entity)
+                    .orderBy(_calendar_index(df, period, unit).asc())
+                    .rangeBetween(-1, -1))
         cols = {out: F.first(m).over(wr) for m, out in metrics.items()}
     else:
         raise ValueError(f"unknown lag mode {mode!r}")

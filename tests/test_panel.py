@@ -136,3 +136,21 @@ def test_checkpointed_panel_equals_lazy_panel(spark):
         for col in panel.PANEL_COLUMNS:
             x, y = got[k][col], lazy[k][col]
             assert (x is None and y is None) or x == pytest.approx(y), (k, col)
+
+
+def test_calendar_lag_for_month_and_day_periods(spark):
+    import datetime as dt
+    rows = [("A", dt.date(2020, 1, 1), 1.0), ("A", dt.date(2020, 2, 1), 2.0),
+            ("A", dt.date(2020, 4, 1), 4.0), ("B", dt.date(2019, 12, 1), 5.0),
+            ("B", dt.date(2020, 1, 1), 6.0)]
+    df = spark.createDataFrame(rows, "zip_code string, year date, x double")
+    got = {(r.zip_code, r.year): r.prev_x for r in
+           panel.lag_metrics(df, {"x": "prev_x"}, mode="calendar").collect()}
+    assert got[("A", dt.date(2020, 2, 1))] == 1.0
+    assert got[("A", dt.date(2020, 4, 1))] is None      # March missing
+    assert got[("B", dt.date(2020, 1, 1))] == 5.0       # across the year end
+    days = spark.createDataFrame([("A", dt.date(2020, 2, 28), 1.0), ("A", dt.date(2020, 2, 29), 2.0),
+                                  ("A", dt.date(2020, 3, 2), 3.0)], "zip_code string, year date, x double")
+    got = {r.year: r.prev_x for r in
+           panel.lag_metrics(days, {"x": "prev_x"}, mode="calendar", unit="day").collect()}
+    assert got[dt.date(2020, 2, 29)] == 1.0 and got[dt.date(2020, 3, 2)] is None
