@@ -173,3 +173,14 @@ def test_prices_clean_20xx_only_pattern(spark, tmp):
     wide = files.read_csv_strings(spark, f"{tmp}/wide.csv")
     out = clean.prices_clean(wide, ["07030", "10001"], pattern=DATE_COLUMN_20XX)
     assert sorted({str(r.date) for r in out.collect()}) == ["2020-01-31", "2020-02-29"]
+
+
+def test_csv_by_header_many_files_three_orders(spark, tmp):
+    orders = [("a", "b", "c"), ("c", "a", "b"), ("b", "c", "a")]
+    for i in range(60):
+        cols = orders[i % 3]
+        vals = {"a": str(i), "b": f"b{i}", "c": f"c{i}"}
+        write(f"{tmp}/many/f{i:03d}.csv",
+              ",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
+    got = sorted((int(r.a), r.b, r.c) for r in files.read_csv_by_header(spark, f"{tmp}/many").collect())
+    assert got == [(i, f"b{i}", f"c{i}") for i in range(60)]
