@@ -3,6 +3,7 @@ count their shuffles.  Usage: python tools/compare_forms.py [sf_dir] [runs]"""
 
 from __future__ import annotations
 
+import re
 import statistics
 import sys
 import time
@@ -16,21 +17,29 @@ from panelforge.plans.catalog import build_panel  # noqa: E402
 from panelforge.session import build_session  # noqa: E402
 
 
-def measure(name, make, spark, runs):
-    make().write.format("noop").mode("overwrite").save()
-    ts = []
-    for _ in range(runs):
-        t0 = time.perf_counter()
-        make().write.format("noop").mode("overwrite").save()
-        ts.append(time.perf_counter() - t0)
+def stats(name, make):
     df = make()
     rows = df.count()
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    ex = plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") \
-        + plan.count("Exchange RoundRobin")
-    print(f"| {name} | {statistics.median(ts):.2f} | {rows} | {ex} | "
-          f"{plan.count('ReusedExchange')} |")
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    ex = len(re.findall(r"Exchange (hashpartitioning|SinglePartition|RoundRobin)", plan))
+    return rows, ex, plan.count("ReusedExchange")
+
+
+def run_all(variants, runs):
+    """Warm every variant up first, then interleave the timed runs
+    round-robin, so JIT warm-up and machine drift hit all variants alike."""
+    for _, make in variants:
+        make().write.format("noop").mode("overwrite").save()
+    times = {name: [] for name, _ in variants}
+    for _ in range(runs):
+        for name, make in variants:
+            t0 = time.perf_counter()
+            make().write.format("noop").mode("overwrite").save()
+            times[name].append(time.perf_counter() - t0)
+    for name, make in variants:
+        rows, ex, reused = stats(name, make)
+        print(f"| {name} | {statistics.median(times[name]):.2f} | {rows} | {ex} | {reused} |")
 
 
 def main():
@@ -40,13 +49,7 @@ def main():
                           extra={"spark.driver.memory": "16g"})
     print("| variant | median s | rows | hash exchanges | reused |")
     print("|---|---|---|---|---|")
-    measure("signals_panel, period mean = aggregate + join, checkpointed (default)", lambda: build_panel(spark, sf), spark, runs)
-    measure("signals_panel, period mean = aggregate + join, lazy", lambda: build_panel(spark, sf, checkpoint=False), spark, runs)
-    measure("signals_panel, period mean = window, lazy", lambda: build_panel(spark, sf, mean_method="window", checkpoint=False), spark, runs)
     wide = lambda: B.prices_wide(spark, sf)
-    measure("unpivot months (unpivot -> Expand)",
-            lambda: reshape.unpivot_periods(wide(), ["RegionName"], value_col="cell")
-            .filter(F.col("cell").isNotNull()), spark, runs)
 
     def stacked():
         w = wide()
@@ -54,18 +57,33 @@ def main():
         args = ", ".join(f"'{m}', `{m}`" for m in months)
         return w.selectExpr("RegionName", f"stack({len(months)}, {args}) as (date_str, cell)") \
                 .filter(F.col("cell").isNotNull())
-    measure("unpivot months (stack -> Generate)", stacked, spark, runs)
+
+    def expand():
+        w = wide()
+        months = reshape.period_columns(w)
+        return w.unpivot(["RegionName"], months, "date_str", "cell") \
+                .filter(F.col("cell").isNotNull())
+
     c = lambda: B.complaints(spark, sf)
-    measure("complaint facts, total and by type, separate scans",
-            lambda: model.fct_complaints_total(c()).select(F.lit("t").alias("f"), "zip_code", "year", "complaint_count")
-            .unionByName(model.fct_complaints_by_type(c()).select(F.lit("b").alias("f"), "zip_code", "year", "complaint_count")),
-            spark, runs)
+
+    def separate():
+        return (model.fct_complaints_total(c()).select(F.lit("t").alias("f"), "zip_code", "year", "complaint_count")
+                .unionByName(model.fct_complaints_by_type(c()).select(F.lit("b").alias("f"), "zip_code", "year", "complaint_count")))
 
     def shared():
         x = c()
         return (model.fct_complaints_total(x).select(F.lit("t").alias("f"), "zip_code", "year", "complaint_count")
                 .unionByName(model.fct_complaints_by_type(x).select(F.lit("b").alias("f"), "zip_code", "year", "complaint_count")))
-    measure("complaint facts, total and by type, one shared source frame", shared, spark, runs)
+
+    run_all([
+        ("signals_panel, aggregate + join, checkpointed (default)", lambda: build_panel(spark, sf)),
+        ("signals_panel, aggregate + join, lazy", lambda: build_panel(spark, sf, checkpoint=False)),
+        ("signals_panel, window, lazy", lambda: build_panel(spark, sf, mean_method="window", checkpoint=False)),
+    ], runs)
+    run_all([("unpivot months, DataFrame.unpivot (Expand)", expand),
+             ("unpivot months, stack (Generate)", stacked)], runs)
+    run_all([("complaint facts total + by type, separate source frames", separate),
+             ("complaint facts total + by type, one shared source frame", shared)], runs)
 
 
 if __name__ == "__main__":
