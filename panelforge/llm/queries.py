@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, quotation, sharding
+from . import quality, quotation, sharding, simhash, topk
 from .common import table
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 40 shards of near equal bytes."""
     out = sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
@@ -18,6 +24,11 @@ def op7_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def op8_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.score(table(spark, sf_dir, "documents")).select(
@@ -31,4 +42,4 @@ def op10_chat_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op7_slot_sharding, op9_quality_rules, op10_chat_quotation)}
+    op4_simhash, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
