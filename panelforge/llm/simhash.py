@@ -128,7 +128,7 @@ def _links(fps: np.ndarray, first: np.ndarray, distance: int) -> tuple[list, lis
                     part[at:at + 256, None] ^ part[None, :]) <= distance)
                 x += at
                 up = low[x] != low[y]
-                low = low[_forest(e - s, low[x[up]], low[y[up]])] if up.any() else low
+                low = _forest(e - s, low[x[up]], low[y[up]])[low] if up.any() else low
             linked = np.flatnonzero(low != np.arange(e - s))
             rows_a.append(s + low[linked])
             rows_b.append(s + linked)
