@@ -107,6 +107,7 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _links(fps: np.ndarray, first: np.ndarray, distance: int) -> tuple[list, list]:
     """Links inside groups; ``first`` marks the first row of each group."""
+    fps = fps.view(np.uint64)  # the bit count of a negative number is another
     n, rows_a, rows_b = len(fps), [], []
     group = np.cumsum(first)
     size = np.bincount(group)[group]
