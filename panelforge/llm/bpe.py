@@ -255,7 +255,8 @@ def vocabulary(path: str) -> Vocabulary:
 def _mapped(rows: DataFrame, source: str, into: str, kind: pa.DataType, sql: str,
             run, step: int = STEP) -> DataFrame:
     """``rows`` with column ``into`` = run(list of values of ``source``)."""
-    at = rows.columns.index(source)
+    names = rows.columns
+    at = names.index(source)
 
     def each(batches):
         for b in batches:
@@ -264,7 +265,7 @@ def _mapped(rows: DataFrame, source: str, into: str, kind: pa.DataType, sql: str
                 got = pa.array(run(part.column(at).to_pylist()), kind)
                 yield pa.RecordBatch.from_arrays(
                     [*(c for i, c in enumerate(part.columns) if i != at), got],
-                    names=[*(n for i, n in enumerate(rows.columns) if i != at), into])
+                    names=[*(n for i, n in enumerate(names) if i != at), into])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
               if f.name != source]

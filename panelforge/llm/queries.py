@@ -5,8 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, quotation, sharding, simhash, topk
-from .common import table
+from . import bpe, orc_tokens, packing, quality, quotation, sharding, simhash, topk
+from .common import stored, table
+
+#: Where the public tokenizers lie; a parameter, never copied.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def tokenizer(name: str) -> str:
+    try:
+        import public_tokenizers
+    except ImportError:
+        return f"{TOKENIZERS}/{name}"
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    path = tokenizer("byte_bpe_50k.json")
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path)
+    return bpe.decode(ids, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op3_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written as ORC and read back."""
+    out = orc_tokens.scratch(spark)
+    orc_tokens.write(table(spark, sf_dir, "documents"), out,
+                     tokenizer("word_bpe_49k.json"), end_id=2)
+    rows = stored(orc_tokens.placed(orc_tokens.read(spark, out)), "placed")
+    return orc_tokens.with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +45,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        tokenizer("word_bpe_49k.json"), end_id=0)
+
+
 def op7_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 40 shards of near equal bytes."""
     out = sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
@@ -42,4 +78,4 @@ def op10_chat_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_simhash, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
+    op2_bpe, op3_orc_tokens, op4_simhash, op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}

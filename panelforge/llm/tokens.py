@@ -26,8 +26,9 @@ class WordTokenizer:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, pre = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]
-        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
+        model = spec["model"]
+        pre = (spec["pre_tokenizer"].get("pretokenizers") or [{}])[0]
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if kinds != ["NFC", "Replace", "Lowercase"] or not model["end_of_word_suffix"] \
                 or pre["behavior"] != "Removed" or not pre["invert"]:
             raise ValueError(f"{path}: not a vocabulary of lower-case words")
