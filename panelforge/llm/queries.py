@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, orc_tokens, packing, quality, quotation, sharding, simhash, topk
+from . import bpe, orc_tokens, packing, quality, quotation, sharding, simhash, substring, topk
 from .common import stored, table
 
 #: Where the public tokenizers lie; a parameter, never copied.
@@ -20,6 +20,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its words of 50-word windows seen earlier."""
+    return substring.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     path = tokenizer("byte_bpe_50k.json")
@@ -78,4 +85,4 @@ def op10_chat_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe, op3_orc_tokens, op4_simhash, op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
+    op1_recompression, op2_bpe, op3_orc_tokens, op4_simhash, op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
