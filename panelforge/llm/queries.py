@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, orc_tokens, packing, quality, quotation, sharding, simhash, substring, topk
+from . import (bpe, orc_tokens, packing, quality, quotation, sharding, simhash,
+               substring, suffixes, topk)
 from .common import stored, table
 
 #: Where the public tokenizers lie; a parameter, never copied.
@@ -52,6 +53,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its bytes of 200-byte strings found elsewhere."""
+    return suffixes.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"),
@@ -85,4 +94,4 @@ def op10_chat_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_recompression, op2_bpe, op3_orc_tokens, op4_simhash, op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
+    op1_recompression, op2_bpe, op3_orc_tokens, op4_simhash, op5_suffix_array, op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
