@@ -27,9 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import spans as S
-from .common import stored
+from .common import fresh, same, stored
 from .recompress import _BYTE, _LETTER, Rolling
 from .substring import _opened, squeezed
 
@@ -234,3 +235,35 @@ def cutter(window: int):
                     names=["doc_id", "n_bytes", "kept", "spans"])
 
     return run
+
+
+def cut(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
+        text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """``docs``, all columns, with the repeated spans cut from their texts; bytes
+    that no longer make a whole character go with them, a null text stays null."""
+    row, runs = fresh(docs, "__row", "__runs")
+    spans = removed_windows(keyed(docs, id_col, text_col), window, hot).groupBy(
+        F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "n")).alias(runs))
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    both = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), text)) \
+        .join(spans, row, "left").drop(row)
+    at, names = docs.columns.index(text_col), docs.columns
+
+    def run(batches):
+        for whole in batches:
+            for s in range(0, whole.num_rows, 256):
+                b = whole.slice(s, 256)
+                texts = b.column(at).cast(pa.binary()).to_pylist()
+                lists = b.column(b.num_columns - 1).to_pylist()
+                out = []
+                for t, found in zip(texts, lists):
+                    if t is not None and found:
+                        lo, n = (np.array([r[f] for r in found], np.int64) for f in ("lo", "n"))
+                        t = kept_bytes(t, lo, n, window)[0]
+                    out.append(None if t is None else t.decode("utf-8", "ignore"))
+                cols = [*b.columns[:-1]]
+                cols[at] = pa.array(out, pa.string())
+                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
+
+    plain = both.select(*same(docs), runs).toDF(*(f"c{i}" for i in range(len(names) + 1)))
+    return plain.mapInArrow(run, StructType(plain.schema.fields[:-1])).toDF(*names)
