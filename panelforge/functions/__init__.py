@@ -139,10 +139,10 @@ def days_ago(n: int) -> Column:
     return F.date_sub(F.current_date(), n)
 
 
-def day_bounds(day: str | Column, closed: bool = True):
+def day_bounds(day: str | Column, closed: bool = False):
     """Zone-less timestamp bounds of one calendar day (a ``yyyy-MM-dd``
-    string or a date Column): ``[00:00:00, 23:59:59]`` closed, or
-    ``[00:00:00, next midnight)`` half-open."""
+    string or a date Column): ``[00:00:00, next midnight)``, or on request the
+    closed ``[00:00:00, 23:59:59]``, which loses the last fractional second."""
     d = F.lit(day).cast("date") if isinstance(day, str) else day.cast("date")
     lo = d.cast("timestamp_ntz")
     if closed:
@@ -150,12 +150,12 @@ def day_bounds(day: str | Column, closed: bool = True):
     return lo, F.date_add(d, 1).cast("timestamp_ntz")
 
 
-def in_day(c: ColumnOrName, day: str | Column, closed: bool = True) -> Column:
+def in_day(c: ColumnOrName, day: str | Column, closed: bool = False) -> Column:
     lo, hi = day_bounds(day, closed)
     return _c(c).between(lo, hi) if closed else (_c(c) >= lo) & (_c(c) < hi)
 
 
-def in_year(c: ColumnOrName, year: int, closed: bool = True) -> Column:
+def in_year(c: ColumnOrName, year: int, closed: bool = False) -> Column:
     lo = F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
     if closed:
         hi = F.lit(f"{year}-12-31 23:59:59").cast("timestamp_ntz")

@@ -58,22 +58,24 @@ def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def complaints_clean(raw: DataFrame, ts_format: str | None = None) -> DataFrame:
+def complaints_clean(raw: DataFrame, ts_format: str | None = None,
+                     keep: Sequence[str] = ()) -> DataFrame:
     """String-typed complaint rows -> typed rows with a known board.
 
     ``created_date`` parses to a zone-less timestamp (junk -> NULL, and such a
     row later drops out of the facts); a row is kept when the board is not
     NULL – an empty CSV cell is NULL, a whitespace-only cell is kept.
-    ``incident_zip`` stays a string so leading zeros survive.
+    ``unique_key`` and ``incident_zip`` stay strings: keys may hold letters,
+    and leading zeros survive.
     """
     return (raw.filter(F.col("community_board").isNotNull())
-               .select(safe_cast("unique_key", "bigint").alias("unique_key"),
+               .select(F.col("unique_key").cast("string"),
                        parse_timestamp("created_date", ts_format)
                        .alias("created_date"),
                        F.col("complaint_type").cast("string"),
                        F.col("incident_zip").cast("string"),
                        F.col("community_board").cast("string"),
-                       F.col("borough").cast("string")))
+                       F.col("borough").cast("string"), *keep))
 
 
 def filter_allowlist(df: DataFrame, col: str | Column,
@@ -91,8 +93,8 @@ def filter_allowlist(df: DataFrame, col: str | Column,
         a = allow_col or allow.columns[0]
         key = "__allow_key"
         left = df.withColumn(key, c)
-        return (left.join(allow.select(F.col(a).alias(key)).distinct(), key,
-                          "left_semi").drop(key))
+        return left.join(allow.select(F.col(a).alias(key)), key,
+                         "left_semi").drop(key)
     return df.filter(c.isin(list(allow)))
 
 
@@ -102,7 +104,7 @@ def prices_clean(wide: DataFrame, allow: Sequence | DataFrame | None = None,
 
     Filter to the allow-list *before* the unpivot (fewer rows to expand),
     discover the month columns from the schema by a strict date pattern,
-    unpivot in one Expand, parse dates and prices tolerantly, drop rows with
+    unpivot in one pass (``stack``), parse dates and prices tolerantly, drop rows with
     no date or no price.
     """
     df = wide

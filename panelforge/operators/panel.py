@@ -12,9 +12,9 @@ Shuffle plan at scale (entity x period facts of any size):
 * the period mean is *not* a window over ``PARTITION BY period`` by default:
   with a handful of periods that puts every entity of a period into a single
   task.  Instead a grouped aggregate (map-side partial sums, one row per
-  period after the shuffle) is joined back; AQE broadcasts that side once its
-  measured size is below the broadcast threshold and falls back to a
-  skew-split sort-merge join otherwise.
+  period after the shuffle) is materialised, counted and broadcast if it is
+  under a stated bound, so the panel is not shuffled; beyond the bound the join
+  is a skew-split sort-merge join.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ from ..session import ensure_checkpoint_dir
 
 ENTITY, PERIOD = "zip_code", "year"
 
+# Period means that may be broadcast (five numbers each: under 1 MB).
+BROADCAST_PERIODS = 10_000
+
 # Metric -> name of its lagged copy, in output order.
 LAGGED = {
     "avg_home_price": "prev_avg_home_price",
@@ -137,7 +140,8 @@ def add_signal(df: DataFrame, out: str = "correlation_signal",
 
 def period_mean(df: DataFrame, cols: Sequence[str] = tuple(DELTAS),
                 period: str = PERIOD, prefix: str = "city_avg_",
-                method: str = "aggregate") -> DataFrame:
+                method: str = "aggregate",
+                materialise: bool = False) -> DataFrame:
     """Unweighted mean of each column over all entities of the same period,
     attached to every row (NULLs ignored; all-NULL period -> NULL).
 
@@ -145,6 +149,11 @@ def period_mean(df: DataFrame, cols: Sequence[str] = tuple(DELTAS),
     ``method="aggregate"`` computes the same numbers as a grouped aggregate
     joined back on the period (null-safe), which keeps partial aggregation and
     never routes a whole period through one task.
+
+    ``materialise=True`` checkpoints the means (one row per period) and counts
+    them first: up to ``BROADCAST_PERIODS`` of them are broadcast, so the frame
+    itself is not shuffled; beyond that the join is an ordinary one, which the
+    adaptive planner splits at hot periods.
     """
     names = {c: f"{prefix}{c}" for c in cols}
     if method == "window":
@@ -155,7 +164,12 @@ def period_mean(df: DataFrame, cols: Sequence[str] = tuple(DELTAS),
     key = "__period_key"
     means = (df.groupBy(F.col(period).alias(key))
                .agg(*[F.avg(c).alias(names[c]) for c in cols]))
-    out = df.join(means, df[period].eqNullSafe(means[key]), "left")
+    if materialise:
+        ensure_checkpoint_dir(df.sparkSession)
+        means = means.checkpoint(eager=True)
+        if means.count() <= BROADCAST_PERIODS:
+            means = F.broadcast(means)
+    out = df.join(means, F.col(period).eqNullSafe(F.col(key)), "left")
     return out.drop(key)
 
 
@@ -221,7 +235,8 @@ def signals_panel(price: DataFrame, socio: DataFrame, complaints: DataFrame,
         if checkpoint:
             ensure_checkpoint_dir(df.sparkSession)
             df = df.checkpoint(eager=True)
-        df = period_mean(df, period=period, method=mean_method)
+        df = period_mean(df, period=period, method=mean_method,
+                         materialise=checkpoint)
     if stop >= 6:
         df = demean(df)
     if stop >= 7:

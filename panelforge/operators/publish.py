@@ -53,6 +53,7 @@ def publish_model(prices: DataFrame, socio: DataFrame, complaints: DataFrame,
     c = put("fct_complaints_total", model.fct_complaints_total(complaints))
     put("fct_complaints_by_type", model.fct_complaints_by_type(complaints))
     out = put("signals_panel", panel.signals_panel(p, s, c, how=how,
-                                                   lag_mode=lag_mode))
+                                                   lag_mode=lag_mode,
+                                                   checkpoint=True))
     sinks.create_view(out, view)
     return Published(root, paths, view)

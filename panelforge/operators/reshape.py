@@ -56,10 +56,15 @@ def pivot_periods(df: DataFrame, ids: Sequence[str], period: str,
     """Long -> wide: one column per listed period value.
 
     The period list is passed in (a calendar range), so Spark does not run a
-    separate job to discover the distinct values on the driver.
+    separate job to discover the distinct values on the driver.  A row of a
+    period outside the list would vanish without a trace, so it is an error.
     """
     fn = getattr(F, agg)
-    return df.groupBy(*ids).pivot(period, list(periods)).agg(fn(value))
+    listed = F.when(F.col(period).isin(list(periods)), F.col(period)).otherwise(
+        F.raise_error(F.concat(F.lit("period outside the listed ones: "),
+                               F.coalesce(F.col(period).cast("string"), F.lit("NULL")))))
+    return (df.withColumn(period, listed).groupBy(*ids)
+              .pivot(period, list(periods)).agg(fn(value)))
 
 
 def union_all_by_name(frames: Iterable[DataFrame],

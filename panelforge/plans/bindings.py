@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from ..functions import safe_cast
 from ..sources.files import pack_payload_docs
 from ..operators.clean import complaints_clean
+from ..operators.reshape import pivot_periods
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
@@ -87,7 +88,7 @@ def prices_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def month_ends(first: str = "1992-01", last: str = "2002-12") -> list[str]:
+def month_ends(first: str, last: str) -> list[str]:
     """Month-end dates ``yyyy-MM-dd`` of a calendar range (the wide file's
     column names)."""
     import calendar
@@ -107,10 +108,14 @@ WIDE_IDS = ("RegionID", "SizeRank", "RegionName", "RegionType", "StateName",
 def prices_wide(spark: SparkSession, sf_dir: str,
                 months: Sequence[str] | None = None) -> DataFrame:
     """Wide raw price file: identity columns plus one string column per
-    month end.  A cell holds the month's average order total, ``n/a`` when
+    month end, by default for every month from the first order to the last (one
+    aggregate row).  A cell holds the month's average order total, ``n/a`` when
     the month has a single order, NULL when it has none."""
-    months = list(months or month_ends())
     g = _orders_geo(spark, sf_dir)
+    if months is None:
+        lo, hi = g.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM"),
+                       F.date_format(F.max("o_orderdate"), "yyyy-MM")).first()
+        months = month_ends(lo, hi) if lo else []
     ids = [F.col("n_nationkey").cast("string").alias("RegionID"),
            F.col("n_regionkey").cast("string").alias("SizeRank"),
            F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("RegionName"),
@@ -127,8 +132,8 @@ def prices_wide(spark: SparkSession, sf_dir: str,
                 .withColumn("cell", F.when(F.col("n") > 1,
                                            F.col("avg_price").cast("string"))
                                      .otherwise(F.lit("n/a"))))
-    return (monthly.groupBy(*WIDE_IDS).pivot("month_end", months)
-                   .agg(F.first("cell")))
+    return pivot_periods(monthly.filter(F.col("month_end").isNotNull()), WIDE_IDS,
+                         "month_end", "cell", list(months), agg="first")
 
 
 # ------------------------------------------------------ socio / complaints --
@@ -140,10 +145,12 @@ def _lines_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(s, li.l_suppkey == s.s_suppkey)
 
 
-def socio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean socio rows (one per line item)."""
+def socio(spark: SparkSession, sf_dir: str,
+          keep: Sequence[str] = ()) -> DataFrame:
+    """Clean socio rows (one per line item), after the line columns ``keep``."""
     g = _lines_geo(spark, sf_dir)
     return g.select(
+        *keep,
         F.col("s_name").alias("NAME"),
         F.floor("l_extendedprice").cast("int").alias("median_income"),
         F.col("l_partkey").cast("int").alias("total_pop_over_25"),
@@ -234,7 +241,7 @@ def supplier_socio(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table seen as a complaint feed (30 days of January 2024)."""
     e = table(spark, sf_dir, "events")
-    return e.select(F.col("event_id").alias("unique_key"),
+    return e.select(F.col("event_id").cast("string").alias("unique_key"),
                     F.col("ts").alias("created_date"),
                     F.col("event_type").alias("complaint_type"),
                     F.col("user_id").cast("string").alias("incident_zip"),

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import (in_day, in_year, round_doubles, safe_cast)
+from ..functions import (half_open_window, in_day, in_year, round_doubles,
+                         safe_cast)
 from ..operators import analytics, clean, model, panel, quality, reshape
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import files, sinks
@@ -41,7 +42,7 @@ ASIA_NATIONS = [2, 7, 12, 17, 22]          # nations of region ASIA
 ALLOWED_ZIPS = [f"{k:05d}" for k in range(20)]  # nations 0..19, as 5-digit ids
 SLICE_DAY = "2024-01-15"
 SLICE_YEAR = 1997
-OVERLAP_FROM, OVERLAP_TO = "1997-06-01 00:00:00", "1997-06-30 23:59:59"
+OVERLAP_FROM, OVERLAP_TO = "1997-06-01 00:00:00", "1997-07-01 00:00:00"
 DAILY_CAP = 350
 PAGE_SIZE, PAGE_OVERLAP = 1000, 50
 PREVIEW_ROWS = 50
@@ -147,17 +148,17 @@ def paged_union(spark, sf_dir):
 
 @query("day_slice")
 def day_slice(spark, sf_dir):
-    """Events of one day (closed 00:00:00..23:59:59 window) per type."""
+    """Events of one day (half-open window) per type."""
     e = B.event_complaints(spark, sf_dir)
-    return (e.filter(in_day("created_date", SLICE_DAY, closed=True))
+    return (e.filter(in_day("created_date", SLICE_DAY))
              .groupBy("complaint_type").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @query("year_slice")
 def year_slice(spark, sf_dir):
-    """Complaints of one year (closed window) per type."""
+    """Complaints of one year (half-open window) per type."""
     c = B.complaints(spark, sf_dir)
-    return (c.filter(in_year("created_date", SLICE_YEAR, closed=True))
+    return (c.filter(in_year("created_date", SLICE_YEAR))
              .groupBy("complaint_type").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -233,19 +234,8 @@ def unpivot_months(spark, sf_dir):
 def union_by_name(spark, sf_dir):
     """Two socio frames with different column order (one with an extra
     column) folded by name."""
-    g = B._lines_geo(spark, sf_dir)
     base = B.socio(spark, sf_dir).columns
-    s = g.select(
-        F.col("l_returnflag"), F.col("l_linestatus"),
-        F.col("s_name").alias("NAME"),
-        F.floor("l_extendedprice").cast("int").alias("median_income"),
-        F.col("l_partkey").cast("int").alias("total_pop_over_25"),
-        F.col("l_linenumber").cast("int").alias("bachelors_degree"),
-        F.floor("l_quantity").cast("int").alias("masters_degree"),
-        F.col("l_suppkey").cast("int").alias("professional_degree"),
-        F.lit(1).cast("int").alias("doctorate_degree"),
-        F.col("s_nationkey").cast("string").alias("zip_code"),
-        F.year("l_shipdate").alias("data_year"))
+    s = B.socio(spark, sf_dir, ("l_returnflag", "l_linestatus"))
     is_r = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
     a = s.filter(is_r).select(*base)
     b = s.filter(~is_r).select(*reversed(base),
@@ -451,6 +441,192 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(table)
 
 
+@query("stream_ingest_edge")
+def stream_ingest_edge(spark, sf_dir):
+    """The ingest fed with what real files do: other column orders and an extra
+    column, junk dates, rows without a key, keys with letters; then a second
+    batch with corrected dates (some move to another day) and, in a later file of
+    the same batch, a second version of some keys."""
+    from ..streaming.ingest import ingest_available_now
+    n = F.col("unique_key").cast("bigint")
+    feed = _event_feed(spark, sf_dir).withColumn("n", n)
+    key = F.when(F.col("n") % 101 == 0, F.lit(None).cast("string")) \
+        .otherwise(F.concat(F.lit("E"), "n"))
+    first = feed.withColumn("unique_key", key).withColumn(
+        "created_date", F.when(F.col("n") % 97 == 0, F.lit("junk"))
+        .otherwise(F.col("created_date"))).withColumn("agency", F.lit("NYPD"))
+    known = feed.withColumn("unique_key", key).filter(F.col("unique_key").isNotNull())
+    moved = known.filter(F.col("n") % 50 == 0).withColumn("created_date", F.date_format(
+        F.col("created_date").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"),
+        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).withColumn("complaint_type", F.lit("moved"))
+    copy = known.filter(F.col("n") % 77 == 0).withColumn("complaint_type", F.lit("copy"))
+    base = scratch_path(spark, "stream_edge")
+    landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    columns = [c for c in feed.columns if c != "n"]
+    first.select("agency", *reversed(columns)).write.option("header", "true") \
+        .csv(f"{landing}/2024/a")
+    ingest_available_now(spark, landing, table, ckpt)
+    for name, df in (("b", moved), ("c", copy)):
+        df.select(*columns).write.option("header", "true").csv(f"{landing}/2024/{name}")
+    ingest_available_now(spark, landing, table, ckpt)
+    return spark.read.schema("unique_key string, created_date timestamp_ntz, "
+                             "complaint_type string, incident_zip string, "
+                             "community_board string, borough string, day date") \
+        .parquet(table)
+
+
+@query("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    """Watermarked streaming de-duplication of a feed that was landed twice."""
+    from ..streaming.ingest import complaint_file_stream, dedup_stream
+    feed = _event_feed(spark, sf_dir)
+    base = scratch_path(spark, "stream_dedup")
+    for name in ("a", "b"):
+        feed.write.option("header", "true").csv(f"{base}/landing/{name}")
+    cleaned = clean.complaints_clean(complaint_file_stream(spark, f"{base}/landing/*"))
+    q = (dedup_stream(cleaned, delay="400 days").writeStream
+         .option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start(f"{base}/table"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
+@query("csv_complaints")
+def csv_complaints(spark, sf_dir):
+    """Complaint CSV files of two column orders, in nested folders, read by
+    header, cleaned, written as Parquet and read back."""
+    raw = B.complaints_raw(spark, sf_dir).withColumn("extra", F.lit("x"))
+    base = scratch_path(spark, "csv_complaints")
+    even = F.col("unique_key").cast("bigint") % 2 == 0
+    raw.filter(even).drop("extra").write.option("header", "true").csv(f"{base}/in/even")
+    raw.filter(~even).select(*reversed(raw.columns)).write.option("header", "true") \
+        .option("compression", "gzip").csv(f"{base}/in/more/odd")
+    rows = clean.complaints_clean(files.read_csv_by_header(spark, f"{base}/in"))
+    sinks.write_parquet(rows, f"{base}/out")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("csv_prices")
+def csv_prices(spark, sf_dir):
+    """The wide price file as CSV, read as strings, cleaned, written as Parquet
+    and read back."""
+    base = scratch_path(spark, "csv_prices")
+    B.prices_wide(spark, sf_dir).write.option("header", "true").csv(f"{base}/in")
+    rows = clean.prices_clean(files.read_csv_strings(spark, f"{base}/in"), ALLOWED_ZIPS)
+    sinks.write_parquet(rows, f"{base}/out")
+    return quality.require_rows(spark.read.parquet(f"{base}/out"), "wide prices")
+
+
+@query("json_rejects")
+def json_rejects(spark, sf_dir):
+    """Documents of which no row could be read, per nation: some are cut in the
+    middle, some hold a header only."""
+    nation = F.split("doc_id", "-")[0].cast("int")
+    docs = B.customer_matrix_docs(spark, sf_dir).withColumn("nation", nation)
+    half = F.floor(F.length("value") / 2).cast("int")
+    spoilt = (F.when(F.col("nation") % 5 == 0, F.substring("value", F.lit(1), half))
+               .when(F.col("nation") % 5 == 1, F.to_json(F.array(F.array(
+                   *[F.lit(c) for c in B.CUSTOMER_FIELDS]))))
+               .otherwise(F.col("value")))
+    bad = files.document_problems(docs.withColumn("value", spoilt), "value",
+                                  B.CUSTOMER_FIELDS, ["nation"])
+    return bad.groupBy("nation", "problem").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@query("page_merge")
+def page_merge(spark, sf_dir):
+    """Overlapping page files of the event feed merged to one row per event."""
+    e = B.table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    pages = F.array_distinct(F.array(
+        F.floor(F.col("event_id") / PAGE_SIZE),
+        F.floor(F.greatest(F.col("event_id") - PAGE_OVERLAP, F.lit(0)) / PAGE_SIZE)))
+    base = scratch_path(spark, "pages")
+    paged = e.select("*", F.explode(pages).alias("page"))
+    paged.repartition("page").write.partitionBy("page").json(base)
+    return files.merge_pages(spark, base, e.schema, "event_id")
+
+
+@query("slice_glob")
+def slice_glob(spark, sf_dir):
+    """Day slices chosen by a folder pattern, after a slice was written again."""
+    e = B.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.to_date("ts").alias("day"))
+    path = scratch_path(spark, "slices")
+    sinks.overwrite_slices(e, path, "day")
+    files.read_slices(spark, path, "day=2024-01-1*").count()
+    again = e.filter(F.col("day") == F.lit(SLICE_DAY).cast("date")) \
+        .withColumn("event_type", F.lit("again"))
+    sinks.overwrite_slices(again, path, "day")
+    files.refresh(spark, path)
+    return (files.read_slices(spark, path, "day=2024-01-1*")
+            .groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("replaced_loads")
+def replaced_loads(spark, sf_dir):
+    """A second load replaces the first: as one file, as a table and by INSERT
+    OVERWRITE; only rows of the second load are left."""
+    c = B.complaints(spark, sf_dir).select("unique_key", "complaint_type")
+    by_type = c.groupBy("complaint_type").agg(F.countDistinct("unique_key").alias("n_keys"))
+    late = by_type.withColumn("n_keys", -F.col("n_keys"))
+    path = scratch_path(spark, "one_file")
+    name = "replaced_" + path.rsplit("-", 1)[1]
+    for df in (by_type, late):
+        sinks.write_parquet(df, path, files=1)
+        sinks.replace_table(df, name)
+    one = spark.read.parquet(path).select(F.lit("file").alias("kind"), "*")
+    table = spark.createDataFrame(spark.table(name).collect(), late.schema) \
+        .select(F.lit("table").alias("kind"), "*")  # as many rows as types
+    sinks.insert_overwrite(by_type.select("n_keys", "complaint_type"), name)
+    return one.unionByName(table).unionByName(
+        spark.table(name).select(F.lit("insert").alias("kind"), "*"))
+
+
+@query("panel_left_join")
+def panel_left_join(spark, sf_dir):
+    """The panel with entity-periods that have no complaints (count 0): one
+    complaint type is left out so that some have none."""
+    p, s, _ = _facts(spark, sf_dir)
+    some = B.complaints(spark, sf_dir).filter(
+        F.col("unique_key").cast("bigint") % 40 == 0)
+    return panel.signals_panel(p, s, model.fct_complaints_total(some), how="left",
+                               upto="rate")
+
+
+@query("panel_calendar_lag")
+def panel_calendar_lag(spark, sf_dir):
+    """Lags to exactly the year before (NULL across a gap): 1997 is left out."""
+    p, s, c = _facts(spark, sf_dir)
+    gap = p.filter(F.col("year") != SLICE_YEAR)
+    return panel.signals_panel(gap, s, c, lag_mode="calendar", upto="lag")
+
+
+@query("grain_check_lines")
+def grain_check_lines(spark, sf_dir):
+    """Orders with several lines of one number of units: a grain that repeats."""
+    return quality.grain_check(B.table(spark, sf_dir, "lineitem"),
+                               ["l_orderkey", "l_quantity"])
+
+
+@query("preview_complaints")
+def preview_complaints(spark, sf_dir):
+    return analytics.preview(B.complaints(spark, sf_dir), 10,
+                             ["unique_key", "created_date", "complaint_type",
+                              "incident_zip", "borough"])
+
+
+@query("preview_socio")
+def preview_socio(spark, sf_dir):
+    s = B.socio(spark, sf_dir)
+    return analytics.preview(s, 10, s.columns)
+
+
+@query("preview_prices")
+def preview_prices(spark, sf_dir):
+    return analytics.preview(B.prices_long(spark, sf_dir), 1000,
+                             ["zip_code", "date", "price", "RegionID", "countyname"])
+
+
 @query("published_panel")
 def published_panel(spark, sf_dir):
     """The model published as tables (dims, facts, panel written whole, panel
@@ -478,7 +654,8 @@ def preview(spark, sf_dir):
 
 @query("grain_check")
 def grain_check(spark, sf_dir):
-    return quality.grain_check(build_panel(spark, sf_dir), ["zip_code", "year"])
+    return quality.grain_check(build_panel(spark, sf_dir, upto="join"),
+                               ["zip_code", "year"])
 
 
 @query("table_counts")
@@ -499,12 +676,13 @@ def table_counts(spark, sf_dir):
     return quality.table_counts({
         "fct_price": p, "fct_socio": s, "fct_complaints_total": c,
         "fct_complaints_by_type": by_type,
-        "signals_panel": panel.signals_panel(p, s, c)})
+        # the later steps add columns, never rows
+        "signals_panel": panel.signals_panel(p, s, c, upto="join")})
 
 
 @query("missingness")
 def missingness(spark, sf_dir):
-    return quality.missingness(build_panel(spark, sf_dir), {
+    return quality.missingness(build_panel(spark, sf_dir, upto="rate"), {
         "rows_with_price": "avg_home_price",
         "rows_with_income": "median_income",
         "rows_with_population": "total_pop_over_25",
@@ -513,7 +691,7 @@ def missingness(spark, sf_dir):
 
 @query("top_rate")
 def top_rate(spark, sf_dir):
-    return analytics.top_k(build_panel(spark, sf_dir),
+    return analytics.top_k(build_panel(spark, sf_dir, upto="rate"),
                            "complaints_per_1k_population", TOP_K,
                            ["zip_code", "year", "total_complaint_count",
                             "total_pop_over_25", "complaints_per_1k_population"],
@@ -523,7 +701,7 @@ def top_rate(spark, sf_dir):
 @query("corr_extract")
 def corr_extract(spark, sf_dir):
     return analytics.complete_cases(
-        build_panel(spark, sf_dir),
+        build_panel(spark, sf_dir, upto="rate"),
         ["zip_code", "year", "avg_home_price", "median_income",
          "higher_edu_count_per_1k_population", "total_complaint_count",
          "complaints_per_1k_population"],
@@ -577,8 +755,8 @@ def full_load_dedup(spark, sf_dir):
     """Every yearly slice plus one overlapping re-load of June 1997:
     raw vs distinct keys per year."""
     c = B.complaints(spark, sf_dir)
-    again = c.filter(F.col("created_date").between(
-        F.lit(OVERLAP_FROM).cast("timestamp_ntz"),
+    again = c.filter(half_open_window(
+        "created_date", F.lit(OVERLAP_FROM).cast("timestamp_ntz"),
         F.lit(OVERLAP_TO).cast("timestamp_ntz")))
     return quality.overlap_dedup_counts(c.unionByName(again), "unique_key",
                                         "created_date")

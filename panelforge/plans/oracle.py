@@ -30,21 +30,41 @@ LINES = """lines AS (
   SELECT l.*, s.s_name, s.s_nationkey
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
 
-SOCIO = LINES + """,
-socio AS (
-  SELECT s_name AS NAME,
+def _socio_rows(*keys: str) -> str:
+    """Socio rows of the lines with the given key columns."""
+    return """SELECT s_name AS NAME,
          CAST(FLOOR(l_extendedprice) AS INTEGER) AS median_income,
          CAST(l_partkey AS INTEGER) AS total_pop_over_25,
          CAST(l_linenumber AS INTEGER) AS bachelors_degree,
          CAST(FLOOR(l_quantity) AS INTEGER) AS masters_degree,
          CAST(l_suppkey AS INTEGER) AS professional_degree,
          CAST(1 AS INTEGER) AS doctorate_degree,
-         CAST(s_nationkey AS VARCHAR) AS zip_code,
-         CAST(YEAR(l_shipdate) AS INTEGER) AS data_year
-  FROM lines)"""
+         """ + ", ".join(keys) + " FROM lines"
+
+
+def _socio_fact(source: str, key: str, period: str, out: str, out_period: str) -> str:
+    """The socio fact of ``source``: largest measures per key and period."""
+    measures = ["median_income", "total_pop_over_25", "bachelors_degree",
+                "masters_degree", "professional_degree", "doctorate_degree"]
+    return f"""SELECT TRIM({key}) AS {out}, {period} AS {out_period},
+         MAX(NAME) AS area_name, {", ".join(f"MAX({m}) AS {m}" for m in measures)},
+         IF(MAX(total_pop_over_25) > 0,
+            (MAX(bachelors_degree) + MAX(masters_degree)
+             + MAX(professional_degree) + MAX(doctorate_degree))
+            / MAX(total_pop_over_25) * 1000, NULL)
+           AS higher_edu_count_per_1k_population
+  FROM {source}
+  WHERE {key} IS NOT NULL AND {period} IS NOT NULL
+  GROUP BY TRIM({key}), {period}"""
+
+
+_SOCIO_KEYS = ("CAST(s_nationkey AS VARCHAR) AS zip_code",
+               "CAST(YEAR(l_shipdate) AS INTEGER) AS data_year")
+SOCIO = LINES + ",\nsocio AS (" + _socio_rows(*_SOCIO_KEYS) + ")"
 
 COMPLAINTS = """cmp AS (
-  SELECT l.l_orderkey AS unique_key, l.l_shipdate AS created_date,
+  SELECT CAST(l.l_orderkey AS VARCHAR) AS unique_key,
+         l.l_shipdate AS created_date,
          l.l_returnflag || l.l_linestatus AS complaint_type,
          CASE WHEN l.l_linenumber = 7 THEN NULL
               ELSE CAST(s.s_nationkey AS VARCHAR) END AS incident_zip,
@@ -57,23 +77,7 @@ FACTS = """fp AS (
   FROM prices
   WHERE zip_code IS NOT NULL AND year IS NOT NULL AND price IS NOT NULL
   GROUP BY ALL),
-fs AS (
-  SELECT TRIM(zip_code) AS zip_code, data_year AS year,
-         MAX(NAME) AS area_name,
-         MAX(median_income) AS median_income,
-         MAX(total_pop_over_25) AS total_pop_over_25,
-         MAX(bachelors_degree) AS bachelors_degree,
-         MAX(masters_degree) AS masters_degree,
-         MAX(professional_degree) AS professional_degree,
-         MAX(doctorate_degree) AS doctorate_degree,
-         IF(MAX(total_pop_over_25) > 0,
-            (MAX(bachelors_degree) + MAX(masters_degree)
-             + MAX(professional_degree) + MAX(doctorate_degree))
-            / MAX(total_pop_over_25) * 1000, NULL)
-           AS higher_edu_count_per_1k_population
-  FROM socio
-  WHERE zip_code IS NOT NULL AND data_year IS NOT NULL
-  GROUP BY TRIM(zip_code), data_year),
+fs AS (""" + _socio_fact("socio", "zip_code", "data_year", "zip_code", "year") + """),
 ft AS (
   SELECT TRIM(incident_zip) AS zip_code,
          CAST(YEAR(created_date) AS INTEGER) AS year,
@@ -245,14 +249,12 @@ FROM paged GROUP BY event_type"""
 
 SQL["day_slice"] = """
 SELECT event_type AS complaint_type, COUNT(*) AS n_rows FROM events
-WHERE ts BETWEEN TIMESTAMP '2024-01-15 00:00:00'
-             AND TIMESTAMP '2024-01-15 23:59:59'
+WHERE CAST(ts AS DATE) = DATE '2024-01-15'
 GROUP BY 1"""
 
 SQL["year_slice"] = f"""WITH {COMPLAINTS}
 SELECT complaint_type, COUNT(*) AS n_rows FROM cmp
-WHERE created_date BETWEEN TIMESTAMP '1997-01-01 00:00:00'
-                       AND TIMESTAMP '1997-12-31 23:59:59'
+WHERE YEAR(created_date) = 1997
 GROUP BY 1"""
 
 SQL["cap_check"] = """
@@ -308,7 +310,7 @@ SQL["unpivot_months"] = _MONTHLY + """
 SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS zip_code,
        month_end AS date, ROUND(avg_price, 6) AS price
 FROM monthly
-WHERE n > 1 AND month_end BETWEEN DATE '1992-01-01' AND DATE '2002-12-31'"""
+WHERE n > 1"""
 
 SQL["prices_clean"] = _MONTHLY + """
 SELECT CAST(n_nationkey AS VARCHAR) AS RegionID,
@@ -321,21 +323,11 @@ SELECT CAST(n_nationkey AS VARCHAR) AS RegionID,
        CAST(YEAR(month_end) AS INTEGER) AS year,
        CAST(MONTH(month_end) AS INTEGER) AS month
 FROM monthly
-WHERE n > 1 AND month_end BETWEEN DATE '1992-01-01' AND DATE '2002-12-31'
-  AND n_nationkey BETWEEN 0 AND 19"""
-
-SQL["union_by_name"] = f"""WITH {LINES}
-SELECT s_name AS NAME,
-       CAST(FLOOR(l_extendedprice) AS INTEGER) AS median_income,
-       CAST(l_partkey AS INTEGER) AS total_pop_over_25,
-       CAST(l_linenumber AS INTEGER) AS bachelors_degree,
-       CAST(FLOOR(l_quantity) AS INTEGER) AS masters_degree,
-       CAST(l_suppkey AS INTEGER) AS professional_degree,
-       CAST(1 AS INTEGER) AS doctorate_degree,
-       CAST(s_nationkey AS VARCHAR) AS zip_code,
-       CAST(YEAR(l_shipdate) AS INTEGER) AS data_year,
-       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linestatus END AS linestatus
-FROM lines"""
+WHERE n > 1 AND n_nationkey BETWEEN 0 AND 19"""
+
+SQL["union_by_name"] = f"WITH {LINES}\n" + _socio_rows(
+    *_SOCIO_KEYS, "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linestatus END "
+                  "AS linestatus")
 
 SQL["complaints_clean"] = f"WITH {COMPLAINTS}\nSELECT * FROM cmp"
 
@@ -393,32 +385,9 @@ fp AS (
   SELECT TRIM(entity) AS entity, period, AVG(price) AS avg_home_price
   FROM sp WHERE entity IS NOT NULL AND period IS NOT NULL AND price IS NOT NULL
   GROUP BY ALL),
-ss AS (
-  SELECT s_name AS NAME,
-         CAST(FLOOR(l_extendedprice) AS INTEGER) AS median_income,
-         CAST(l_partkey AS INTEGER) AS total_pop_over_25,
-         CAST(l_linenumber AS INTEGER) AS bachelors_degree,
-         CAST(FLOOR(l_quantity) AS INTEGER) AS masters_degree,
-         CAST(l_suppkey AS INTEGER) AS professional_degree,
-         CAST(1 AS INTEGER) AS doctorate_degree,
-         CAST(l_suppkey AS VARCHAR) AS entity,
-         {_MONTH.format('l_shipdate')} AS period
-  FROM lines),
-fs AS (
-  SELECT TRIM(entity) AS entity, period, MAX(NAME) AS area_name,
-         MAX(median_income) AS median_income,
-         MAX(total_pop_over_25) AS total_pop_over_25,
-         MAX(bachelors_degree) AS bachelors_degree,
-         MAX(masters_degree) AS masters_degree,
-         MAX(professional_degree) AS professional_degree,
-         MAX(doctorate_degree) AS doctorate_degree,
-         IF(MAX(total_pop_over_25) > 0,
-            (MAX(bachelors_degree) + MAX(masters_degree)
-             + MAX(professional_degree) + MAX(doctorate_degree))
-            / MAX(total_pop_over_25) * 1000, NULL)
-           AS higher_edu_count_per_1k_population
-  FROM ss WHERE entity IS NOT NULL AND period IS NOT NULL
-  GROUP BY TRIM(entity), period),
+ss AS ({_socio_rows("CAST(l_suppkey AS VARCHAR) AS entity",
+                     _MONTH.format("l_shipdate") + " AS period")}),
+fs AS ({_socio_fact("ss", "entity", "period", "entity", "period")}),
 cm AS (
   SELECT l_orderkey AS unique_key, l_shipdate AS created_date,
          CASE WHEN l_linenumber = 7 THEN NULL
@@ -439,7 +408,7 @@ FROM (SELECT ts FROM events
 GROUP BY 1"""
 
 SQL["stream_ingest"] = """
-SELECT DISTINCT event_id AS unique_key, ts AS created_date,
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS unique_key, ts AS created_date,
        event_type AS complaint_type, CAST(user_id AS VARCHAR) AS incident_zip,
        event_type AS community_board, 'events' AS borough,
        CAST(ts AS DATE) AS day
@@ -522,12 +491,97 @@ loaded AS (
   SELECT * FROM cmp
   UNION ALL
   SELECT * FROM cmp
-  WHERE created_date BETWEEN TIMESTAMP '1997-06-01 00:00:00'
-                         AND TIMESTAMP '1997-06-30 23:59:59')
+  WHERE YEAR(created_date) = 1997 AND MONTH(created_date) = 6)
 SELECT CAST(YEAR(created_date) AS INTEGER) AS year, COUNT(*) AS raw_rows,
        COUNT(DISTINCT unique_key) AS distinct_keys
 FROM loaded WHERE created_date IS NOT NULL GROUP BY 1"""
 
 
+# ------------------------------------------------ files, streams, switches --
+
+SQL["csv_complaints"] = SQL["complaints_clean"]
+SQL["csv_prices"] = SQL["prices_clean"]
+
+SQL["json_rejects"] = """
+SELECT c_nationkey AS nation, CASE WHEN c_nationkey % 5 = 0 THEN 'corrupt'
+       ELSE 'no rows' END AS problem, COUNT(DISTINCT c_custkey // 1000) AS n_docs
+FROM customer WHERE c_nationkey % 5 IN (0, 1) GROUP BY ALL"""
+
+SQL["page_merge"] = "SELECT DISTINCT event_id, event_type, user_id FROM events"
+
+SQL["slice_glob"] = """
+SELECT CASE WHEN DAY(ts) = 15 THEN 'again' ELSE event_type END AS event_type,
+       COUNT(*) AS n_rows
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'
+GROUP BY 1"""
+
+SQL["replaced_loads"] = f"""WITH {COMPLAINTS},
+n AS (SELECT complaint_type, COUNT(DISTINCT unique_key) AS n_keys FROM cmp GROUP BY 1)
+SELECT 'file' AS kind, complaint_type, -n_keys AS n_keys FROM n
+UNION ALL SELECT 'table', complaint_type, -n_keys FROM n
+UNION ALL SELECT 'insert', complaint_type, n_keys FROM n"""
+
+SQL["stream_dedup"] = """
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS unique_key, ts AS created_date,
+       event_type AS complaint_type, CAST(user_id AS VARCHAR) AS incident_zip,
+       event_type AS community_board, 'events' AS borough
+FROM events"""
+
+SQL["stream_ingest_edge"] = """
+WITH e AS (
+  SELECT *, CASE WHEN event_id % 101 = 0 THEN NULL ELSE 'E' || event_id END AS k
+  FROM events),
+v AS (
+  SELECT k AS unique_key,
+         CASE WHEN k IS NOT NULL AND event_id % 77 = 0 THEN ts
+              WHEN k IS NOT NULL AND event_id % 50 = 0 THEN ts + INTERVAL 1 DAY
+              WHEN event_id % 97 = 0 THEN NULL ELSE ts END AS created_date,
+         CASE WHEN k IS NOT NULL AND event_id % 77 = 0 THEN 'copy'
+              WHEN k IS NOT NULL AND event_id % 50 = 0 THEN 'moved'
+              ELSE event_type END AS complaint_type,
+         CAST(user_id AS VARCHAR) AS incident_zip, event_type AS community_board,
+         'events' AS borough
+  FROM e)
+SELECT *, CAST(created_date AS DATE) AS day FROM v"""
+
+SQL["panel_left_join"] = (WITH_FACTS + panel_stages()).replace(
+    "  JOIN ft t USING (zip_code, year)),", "  LEFT JOIN ft0 t USING (zip_code, year)),") \
+    .replace(",\nj AS (", """,
+ft0 AS (
+  SELECT TRIM(incident_zip) AS zip_code,
+         CAST(YEAR(created_date) AS INTEGER) AS year,
+         COUNT(DISTINCT unique_key) AS complaint_count
+  FROM cmp WHERE incident_zip IS NOT NULL AND created_date IS NOT NULL
+    AND CAST(unique_key AS BIGINT) % 40 = 0
+  GROUP BY ALL),
+j AS (""") + _rounded("r")
+
+# A calendar lag is the row of exactly the year before, found by a join.
+SQL["panel_calendar_lag"] = WITH_FACTS + panel_stages() + """,
+rg AS (SELECT * FROM r WHERE year <> 1997),
+cal AS (
+  SELECT c.*, q.avg_home_price AS prev_avg_home_price,
+         q.complaints_per_1k_population AS prev_complaints_per_1k_population,
+         q.median_income AS prev_median_income,
+         q.higher_edu_count_per_1k_population
+           AS prev_higher_edu_count_per_1k_population
+  FROM rg c LEFT JOIN rg q ON q.zip_code = c.zip_code AND q.year = c.year - 1)
+""" + _rounded("g").replace("FROM g", "FROM cal")
+
+SQL["grain_check_lines"] = """
+SELECT l_orderkey, l_quantity, COUNT(*) AS row_count FROM lineitem
+GROUP BY ALL HAVING COUNT(*) > 1"""
+
+SQL["preview_complaints"] = f"""WITH {COMPLAINTS}
+SELECT * FROM cmp ORDER BY unique_key, created_date, complaint_type,
+  incident_zip, borough LIMIT 10"""
+SQL["preview_socio"] = f"""WITH {SOCIO}
+SELECT * FROM socio ORDER BY ALL LIMIT 10"""
+SQL["preview_prices"] = f"""WITH {PRICES}
+SELECT RegionID, SizeRank, zip_code, regiontype, statename, state, city, metro,
+       countyname, price, date, year, month
+FROM prices ORDER BY zip_code, date, price, RegionID, countyname LIMIT 1000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

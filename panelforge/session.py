@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
+# Scratch folders made so far, by session.
+_SCRATCH: "weakref.WeakKeyDictionary[SparkSession, list[str]]" = \
+    weakref.WeakKeyDictionary()
+
 # Settings every job wants: AQE re-plans joins/partition counts at runtime from
 # measured sizes, skew-join splitting for hot keys, UTC so that timestamps and
 # calendar functions agree with other engines.
@@ -51,8 +56,9 @@ def build_session(master: str | None = None, app: str = "panelforge",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only fall back to a
-    fresh local folder when nothing is configured (local tests).
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master may
+    do without: it gets a fresh local folder, which other machines could not
+    read, so any other master without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all "
+                             "executors share")
         configured = tempfile.mkdtemp(prefix="panelforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -74,4 +83,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     cluster: it hangs off ``spark.checkpoint.dir``.
     """
     base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + f"/panelforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = base.rstrip("/") + f"/panelforge-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark, []).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the cluster's file system (any scheme)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.delete(p, True)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this session has made so far.
+
+    Results are read lazily, so call it when the DataFrames of earlier queries
+    are done with; the benchmark does so after each run."""
+    paths = _SCRATCH.pop(spark, [])
+    return sum(delete_path(spark, p) for p in paths)

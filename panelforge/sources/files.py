@@ -2,15 +2,12 @@
 by-name Parquet loads, per-period file sets and reject splitting.
 
 All parsing runs on executors (``from_json``, ``try_cast``); nothing is
-collected to the driver.  The only driver-side work is listing files and, for
-CSV folders whose files disagree on column order, reading one header line per
-file.
+collected to the driver but file names and, for CSV folders whose files
+disagree on column order, the distinct header lines.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,59 +40,46 @@ def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
-def _list_files(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(hconf)
-    statuses = fs.globStatus(p) or []
-    out = []
-    for st in statuses:
-        if st.isDirectory():
-            for child in fs.listStatus(st.getPath()):
-                name = child.getPath().getName()
-                if child.isFile() and not name.startswith(("_", ".")):
-                    out.append(child.getPath().toString())
-        else:
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def _first_line(spark: SparkSession, file: str) -> str:
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(file)
-    stream = p.getFileSystem(hconf).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(
-            jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line or ""
-    finally:
-        stream.close()
-
-
-def read_csv_by_header(spark: SparkSession, path: str,
-                       multiline: bool = False, **options) -> DataFrame:
-    """String CSV over a folder whose files may order columns differently.
+def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, header, landed): the first line of every file, nested folders
+    included, found on executors (compressed files are read like any other; a
+    file's lines collapse to its first one inside each task)."""
+    lines = (spark.read.format("text").option("recursiveFileLookup", "true")
+                  .load(path if isinstance(path, str) else list(path))
+                  .select("value", F.col(FILE_PATH).alias("file"),
+                          F.col("_metadata.file_block_start").alias("at"),
+                          F.col("_metadata.file_modification_time").alias("landed")))
+    first = F.min_by("value", "n")
+    return (lines.filter(F.col("at") == 0)
+                 .withColumn("n", F.monotonically_increasing_id()).groupBy("file")
+                 .agg(F.trim(F.regexp_replace(first, "^\ufeff", "")).alias("header"),
+                      F.max("landed").alias("landed")))
+
+
+def read_csv_by_header(spark: SparkSession, path: str | Sequence[str],
+                       multiline: bool = False, with_file: bool = False,
+                       **options) -> DataFrame:
+    """String CSV over folders whose files may order columns differently.
 
     Spark's CSV reader takes the header of one file and binds the others by
-    *position*.  Files are grouped by their header line (one line read per
-    file), each group is read on its own, and the groups are unioned by name
-    (a column missing in a group is NULL there).
+    *position*.  Files are grouped by their header line, each group is read on
+    its own, and the groups are unioned by name (a column missing in a group is
+    NULL there).  What reaches the driver is one row per header with its files'
+    names, like any file listing.  ``with_file`` adds ``__file`` and
+    ``__landed`` (the file's modification time).
     """
-    files = _list_files(spark, path)
-    if not files:
+    groups = (file_headers(spark, path).groupBy("header")
+              .agg(F.sort_array(F.collect_list("file")).alias("files"))
+              .orderBy("header").collect())
+    if not groups:
         raise ValueError(f"no input files under {path}")
-    # One header line per file (metadata, like the listing itself), fetched
-    # concurrently so thousands of landing files cost seconds, not minutes.
-    with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
-        headers = list(pool.map(lambda f: _first_line(spark, f).strip(), files))
-    groups: OrderedDict[str, list[str]] = OrderedDict()
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
-    frames = [read_csv_strings(spark, fs, multiline, **options)
-              for fs in groups.values()]
+    frames = []
+    for g in groups:
+        df = read_csv_strings(spark, g["files"], multiline, **options)
+        if with_file:
+            df = df.select("*", F.col(FILE_PATH).alias("__file"),
+                           F.col("_metadata.file_modification_time").alias("__landed"))
+        frames.append(df)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -104,13 +88,19 @@ def read_csv_by_header(spark: SparkSession, path: str,
 
 # -------------------------------------------------------------------- JSON --
 
-def _lookup(header: Column, row: Column, name: str) -> Column:
-    """Cell of ``row`` under header ``name`` (NULL when the header lacks it).
+def _positions(header: Column, names: Sequence[str]) -> Column:
+    """Array of each name's position in a document's header (0: not there);
+    worked out once per document, so documents may order or extend their
+    columns differently."""
+    return F.array(*[F.coalesce(F.array_position(header, F.lit(n)), F.lit(0)).cast("int")
+                     for n in names])
 
-    Positions are resolved per document, so documents may order or extend
-    their columns differently."""
-    pos = F.array_position(header, F.lit(name)).cast("int")
-    return F.when(pos > 0, F.try_element_at(row, pos))
+
+def _cells(columns: Mapping[str, str]) -> list[Column]:
+    """Cells of ``__row`` at ``__at`` (NULL when the header lacks the name)."""
+    return [F.when(F.get("__at", F.lit(i)) > 0,
+                   F.try_element_at("__row", F.get("__at", F.lit(i)))).alias(out)
+            for i, out in enumerate(columns)]
 
 
 def matrix_rows(docs: DataFrame, doc_col: str, columns: Mapping[str, str],
@@ -118,15 +108,27 @@ def matrix_rows(docs: DataFrame, doc_col: str, columns: Mapping[str, str],
     """Parsed matrix documents (first row = header) -> one row per data row.
 
     ``columns`` maps output column -> header name.  A header-only, empty or
-    unparsable document yields no rows.
+    unparsable document yields no rows; ``document_problems`` names those.
     """
     m = F.col(doc_col)
-    rows = docs.select(*keep, m.getItem(0).alias("__header"),
+    rows = docs.select(*keep, _positions(m.getItem(0), list(columns.values())).alias("__at"),
                        F.explode(F.slice(m, 2, F.greatest(F.size(m), F.lit(1))))
                        .alias("__row"))
-    h, r = F.col("__header"), F.col("__row")
-    return rows.select(*keep, *[_lookup(h, r, name).alias(out)
-                                for out, name in columns.items()])
+    return rows.select(*keep, *_cells(columns))
+
+
+def document_problems(docs: DataFrame, text_col: str,
+                      columns: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Matrix documents that yield no usable rows, with ``problem``: corrupt
+    (not a matrix of strings), no rows, or missing columns."""
+    m = F.from_json(F.col(text_col), MATRIX_TYPE)
+    lacks = F.size(F.array_except(F.array(*[F.lit(c) for c in columns]),
+                                  F.col("__m").getItem(0))) > 0 if columns else F.lit(False)
+    why = (F.when(F.col("__m").isNull() | F.exists("__m", lambda r: r.isNull()), "corrupt")
+            .when(F.size("__m") < 2, "no rows")
+            .when(F.coalesce(lacks, F.lit(True)), "missing columns"))
+    return (docs.select(*keep, m.alias("__m")).withColumn("problem", why)
+                .filter(F.col("problem").isNotNull()).select(*keep, "problem"))
 
 
 def parse_matrix_text(df: DataFrame, text_col: str, columns: Mapping[str, str],
@@ -176,11 +178,9 @@ def parse_payload_text(df: DataFrame, text_col: str,
     p = F.from_json(F.col(text_col), PAYLOAD_TYPE)
     docs = df.select(p.alias("__p"))
     rows = docs.select(F.col("__p.year").alias(period_name),
-                       F.col("__p.header").alias("__header"),
+                       _positions(F.col("__p.header"), list(columns.values())).alias("__at"),
                        F.explode("__p.data").alias("__row"))
-    h, r = F.col("__header"), F.col("__row")
-    return rows.select(*[_lookup(h, r, name).alias(out)
-                         for out, name in columns.items()], period_name)
+    return rows.select(*_cells(columns), period_name)
 
 
 def read_json_payload(spark: SparkSession, path: str,
@@ -226,6 +226,18 @@ def refresh(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def merge_pages(spark: SparkSession, path: str, schema: T.StructType,
+                key: str) -> DataFrame:
+    """JSON-lines page files whose pages overlap -> one row per ``key`` (copies
+    of a row collapse inside each task; unlike versions: the largest one).  Rows
+    without a key are all kept."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+    cols = [c for c in rows.columns if c != key]
+    merged = (rows.filter(F.col(key).isNotNull()).groupBy(key)
+                  .agg(F.max(F.struct(*cols)).alias("__row")).select(key, "__row.*"))
+    return merged.unionByName(rows.filter(F.col(key).isNull())).select(*rows.columns)
+
+
 # --------------------------------------------------------------- documents --
 
 def pack_matrix_docs(df: DataFrame, header: Sequence[str],
@@ -245,9 +257,12 @@ def pack_matrix_docs(df: DataFrame, header: Sequence[str],
 
 
 def pack_payload_docs(df: DataFrame, period: str, header: Sequence[str],
-                      doc_keys: Sequence[Column | str] = ()) -> DataFrame:
+                      doc_keys: Sequence[Column | str]) -> DataFrame:
     """Rows -> payload documents ``{"year", "header", "data"}`` (JSON text),
-    one per period (and extra ``doc_keys`` that bound the document size)."""
+    one per period and ``doc_keys``, which must bound the rows per document:
+    a document is built by one task."""
+    if not doc_keys:
+        raise ValueError("doc_keys must bound the size of a document")
     keys = [F.col(k) if isinstance(k, str) else k for k in doc_keys]
     rows = df.select(F.col(period).alias("__period"), *keys,
                      F.array(*[F.col(f"`{h}`").cast("string")

@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -25,22 +24,19 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def overwrite_slices(df: DataFrame, path: str, period: str | Sequence[str],
-                     files_per_slice: int = 4) -> None:
+def overwrite_slices(df: DataFrame, path: str,
+                     period: str | Sequence[str]) -> None:
     """Replace only the period slices present in ``df`` (dynamic partition
     overwrite); all other slices stay.  Loading the same slice twice equals
     loading it once.
 
-    Rows are clustered by (period, salt) with a deterministic salt of
-    ``files_per_slice`` values taken from a hash of the row: each writer task
-    holds few slices, and a slice holding a third of all rows is still
-    written by ``files_per_slice`` tasks instead of one.  The salt is a pure
-    function of the row, so a retried task sends every row to the same place.
+    Rows are rebalanced by period: each writer task holds few slices, and the
+    adaptive planner splits a slice by its measured size into as many writers
+    as it needs (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each), so
+    a slice holding a third of all rows is no single task's work.
     """
     keys = [period] if isinstance(period, str) else list(period)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
-                  F.lit(max(1, int(files_per_slice))))
-    out = df.repartition(*[F.col(k) for k in keys], salt)
+    out = df.hint("rebalance", *keys)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys).parquet(path))

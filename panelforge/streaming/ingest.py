@@ -1,10 +1,11 @@
 """Incremental, de-duplicated complaint-file ingest with Structured Streaming.
 
 * ``ingest_available_now`` – new CSV files in a landing folder are cleaned and
-  merged into a day-partitioned Parquet table.  Every micro-batch re-writes
-  only the days it touches, from (rows already stored for those days) union
-  (new rows), with one row per key.  A replayed batch produces the same
-  result, so a restarted or retried job never double counts or loses rows.
+  merged into a day-partitioned Parquet table.  Every micro-batch re-writes only
+  the days it touches (also days that hold older versions of its keys) and keeps
+  one row per key, the latest delivery.  A batch is staged before it is swapped
+  in, and a finished stage is used again by a replay, so a job that dies in the
+  middle of a swap loses nothing.
 * ``dedup_stream`` – streaming de-duplication on the event key with a
   watermark (state is bounded by the watermark delay).
 * ``daily_counts_stream`` – tumbling one-day counts with a watermark.
@@ -21,26 +22,47 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import utc_date, utc_instant
 from ..operators.clean import COMPLAINT_COLUMNS, complaints_clean
+from ..session import delete_path
+from ..sources.files import read_csv_by_header
 from ..sources.sinks import overwrite_slices
 
+#: Files of one micro-batch (a first backfill then comes in several batches).
+FILES_PER_BATCH = 1000
+#: Delivery columns that a batch may carry: the later, the better.
+DELIVERY = ("__epoch", "__landed", "__file")
+
 
 def complaint_file_stream(spark: SparkSession, src_dir: str,
                           columns: Sequence[str] = COMPLAINT_COLUMNS,
-                          max_files_per_trigger: int | None = None) -> DataFrame:
+                          max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
     """Streaming read of header CSV files, every column a string.
 
-    A streaming source needs its schema up front, and the CSV reader binds it
-    by position, so landing files must list ``columns`` in this order (the
-    batch reader ``read_csv_by_header`` has no such restriction).
+    A streaming CSV source binds its schema by position; with
+    ``enforceSchema`` off, a file whose header differs fails the query instead
+    of being misread.  ``ingest_available_now`` has no such restriction.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     r = (spark.readStream.schema(schema).option("header", "true")
-              .option("multiLine", "true"))
+              .option("enforceSchema", "false").option("multiLine", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.csv(src_dir)
 
 
+def landed_files(spark: SparkSession, src_dir: str,
+                 max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
+    """Streaming (path, modificationTime) of new files; contents are not read."""
+    schema = T.StructType([T.StructField("path", T.StringType()),
+                           T.StructField("modificationTime", T.TimestampType()),
+                           T.StructField("length", T.LongType()),
+                           T.StructField("content", T.BinaryType())])
+    r = spark.readStream.format("binaryFile").schema(schema) \
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(src_dir).select("path", "modificationTime")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Path test through the cluster file system (any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -48,73 +70,119 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key: the one with the largest ``order`` value.
+def latest_per_key(df: DataFrame, key: str, order: str | Sequence[str]) -> DataFrame:
+    """One row per key: the one with the largest ``order`` values, then the
+    largest content (so ties do not depend on row order).  Rows without a key
+    cannot be told apart and are all kept.
 
     ``max_by`` over a struct of the row is a declarative aggregate, so Spark
     pre-aggregates map-side: many copies of one key (a re-delivered file, a
     hot key) collapse inside each task before the shuffle instead of all
     landing in one task as a window over the key would."""
-    cols = [c for c in df.columns if c not in (key, order)]
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order))
-    return (df.groupBy(key).agg(best.alias("__best"))
-              .select(key, *[F.col(f"__best.{c}").alias(c) for c in cols]))
+    order = [order] if isinstance(order, str) else list(order)
+    cols = [c for c in df.columns if c != key and c not in order]
+    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols])
+    best = F.max_by(F.struct(*[F.col(c) for c in cols]), rank)
+    known = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(best.alias("__best"))
+               .select(key, *[F.col(f"__best.{c}").alias(c) for c in cols]))
+    return known.unionByName(df.filter(F.col(key).isNull()).select(key, *cols))
+
+
+def _in_days(day: str, days: Sequence) -> F.Column:
+    """Partition predicate for some days, of which NULL may be one."""
+    known = [d for d in days if d is not None]
+    hit = F.col(day).isin(known) if known else F.lit(False)
+    return hit | F.col(day).isNull() if len(known) < len(days) else hit
 
 
 def merge_into_days(batch: DataFrame, target: str, staging: str,
                     key: str = "unique_key", day: str = "day",
                     epoch: int = 0) -> None:
     """Merge one batch into a day-partitioned table, one row per key; a key
-    delivered again replaces the stored row (latest delivery wins).
-
-    The touched days are read back from the target (partition-pruned by an
-    ``IN`` list of the batch's days – a list bounded by the calendar, not by
-    the data), unioned with the batch, reduced to the latest row per key,
-    staged to a separate folder (never overwrite a path the same plan reads)
-    and then swapped in with a dynamic partition overwrite.
+    delivered again replaces the stored row, also when its day has changed
+    (latest delivery wins).  Rows without a day are a slice of their own.
+
+    The days that the batch touches and the days that hold its keys so far (found
+    by the key column alone) are read back, reduced to the latest row per key and
+    staged with the list of those days; lists of days are bounded by the calendar.
+    Then the staged days replace the stored ones, and a day that has no row left
+    is removed.  If the staged folder of this ``staging`` path is complete, the
+    batch was staged before: only the swap is done again.
     """
     spark = batch.sparkSession
-    days = [r[0] for r in batch.select(day).distinct().collect()]
-    if not days:
-        return
-    order = "__delivery"
-    merged = batch.withColumn(order, F.lit(epoch).cast("bigint"))
-    # The table folder exists once a first non-empty batch was stored (a
-    # dynamic partition overwrite leaves no _SUCCESS marker at the root).
-    if _exists(spark, target):
-        existing = spark.read.parquet(target).filter(F.col(day).isin(days))
-        merged = (existing.withColumn(order, F.lit(-1).cast("bigint"))
-                  .unionByName(merged.select(*existing.columns, order)))
-    latest_per_key(merged, key, order).write.mode("overwrite").parquet(staging)
-    overwrite_slices(spark.read.parquet(staging), target, day)
+    rows, touched = f"{staging.rstrip('/')}/rows", f"{staging.rstrip('/')}/days"
+    columns = [c for c in batch.columns if c not in DELIVERY]
+    schema = batch.select(*columns).schema
+    if not _exists(spark, f"{touched}/_SUCCESS"):
+        marked = batch.withColumn("__epoch", F.lit(epoch).cast("bigint"))
+        order = [c for c in DELIVERY if c in marked.columns]
+        days = {r[0] for r in batch.select(day).distinct().collect()}
+        if not days:
+            return
+        # The table folder exists once a first non-empty batch was stored (a
+        # dynamic partition overwrite leaves no _SUCCESS marker at the root).
+        if _exists(spark, target):
+            stored = spark.read.schema(schema).parquet(target)
+            days |= {r[0] for r in stored.select(key, day).join(
+                batch.select(key), key, "left_semi").select(day).distinct().collect()}
+            older = stored.filter(_in_days(day, list(days))) \
+                .withColumn("__epoch", F.lit(-1).cast("bigint"))
+            marked = marked.select(*columns, *order).unionByName(
+                older, allowMissingColumns=True)
+        latest_per_key(marked, key, order).select(*columns) \
+            .write.mode("overwrite").parquet(rows)
+        spark.createDataFrame([(d,) for d in days], T.StructType([schema[day]])) \
+            .coalesce(1).write.mode("overwrite").parquet(touched)
+    staged = spark.read.schema(schema).parquet(rows)
+    overwrite_slices(staged, target, day)
+    left = {r[0] for r in staged.select(day).distinct().collect()}
+    for (d,) in spark.read.parquet(touched).collect():
+        if d not in left:
+            name = "__HIVE_DEFAULT_PARTITION__" if d is None else d
+            delete_path(spark, f"{target.rstrip('/')}/{day}={name}")
 
 
 def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
                          checkpoint: str, key: str = "unique_key",
                          ts: str = "created_date",
-                         max_files_per_trigger: int | None = None,
+                         max_files_per_trigger: int | None = FILES_PER_BATCH,
                          wait: bool = True) -> StreamingQuery:
     """Process every file not yet seen (``availableNow``) and stop.
 
+    The stream delivers file names; a batch reads its files by their own headers,
+    so files may order their columns differently or carry more of them.
     Progress (which files were consumed) lives in ``checkpoint``; run it
     again after new files land and only those are read.
     """
-    stream = complaint_file_stream(spark, src_dir,
-                                   max_files_per_trigger=max_files_per_trigger)
-    cleaned = complaints_clean(stream).withColumn("day", F.to_date(ts))
-
-    def each_batch(batch: DataFrame, epoch_id: int) -> None:
+    def each_batch(files: DataFrame, epoch_id: int) -> None:
         staging = f"{checkpoint.rstrip('/')}/staging/epoch={epoch_id}"
-        merge_into_days(batch, target, staging, key=key, epoch=epoch_id)
-
-    q = (cleaned.writeStream.foreachBatch(each_batch)
-                .option("checkpointLocation", f"{checkpoint.rstrip('/')}/state")
-                .trigger(availableNow=True).start())
+        paths = [r.path for r in files.select("path").collect()]
+        if not paths:
+            return
+        raw = read_csv_by_header(files.sparkSession, paths, multiline=True, with_file=True)
+        merge_into_days(landed_complaints(raw, ts), target, staging, key=key, epoch=epoch_id)
+
+    q = (landed_files(spark, src_dir, max_files_per_trigger)
+         .writeStream.foreachBatch(each_batch)
+         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/state")
+         .trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()
     return q
 
 
+def landed_complaints(raw: DataFrame, ts: str = "created_date") -> DataFrame:
+    """Clean complaint rows of landed files with their day and delivery.
+
+    ``raw`` has the columns of ``read_csv_by_header(..., with_file=True)``;
+    source columns that no file has are NULL."""
+    have = {c: (F.col(c) if c in raw.columns else F.lit(None).cast("string"))
+            for c in COMPLAINT_COLUMNS}
+    rows = raw.select(*[x.alias(c) for c, x in have.items()], "__file", "__landed")
+    return (complaints_clean(rows, keep=("__file", "__landed"))
+            .withColumn("day", F.to_date(ts)))
+
+
 EVENT_TIME = "__event_time"
 
 
@@ -134,7 +202,9 @@ def daily_counts_stream(df: DataFrame, ts: str = "created_date",
                         delay: str = "1 day") -> DataFrame:
     """Rows per calendar day (tumbling one-day window over the event time,
     read as UTC).  In append mode a day is emitted once the watermark passes
-    its end; in complete mode every day is re-emitted each batch."""
+    its end; in complete mode every day is re-emitted each batch.  A row without
+    an event time belongs to no window (``daily_counts_available_now`` counts
+    those as well)."""
     return (df.withColumn(EVENT_TIME, utc_instant(ts))
               .withWatermark(EVENT_TIME, delay)
               .groupBy(F.window(EVENT_TIME, "1 day").alias("w"))
@@ -146,11 +216,14 @@ def daily_counts_stream(df: DataFrame, ts: str = "created_date",
 def daily_counts_available_now(spark: SparkSession, src_dir: str, out: str,
                                checkpoint: str,
                                ts: str = "created_date") -> StreamingQuery:
-    """Run ``daily_counts_stream`` over every landed file and keep the
-    complete per-day table in ``out`` (each micro-batch rewrites it whole;
-    the table is one row per day, so the rewrite is small)."""
+    """Count every landed file's rows per day and keep the complete per-day
+    table in ``out`` (each micro-batch rewrites it whole; the table is one row
+    per day, so the rewrite is small).  Days are grouped without a window, so
+    rows without a date are counted too, under a NULL day, as the batch check
+    does."""
     cleaned = complaints_clean(complaint_file_stream(spark, src_dir))
-    counts = daily_counts_stream(cleaned, ts)
+    counts = cleaned.groupBy(F.to_date(ts).alias("load_date")) \
+        .agg(F.count(F.lit(1)).alias("daily_count"))
     q = (counts.writeStream.outputMode("complete")
                .foreachBatch(lambda b, _e: b.write.mode("overwrite").parquet(out))
                .option("checkpointLocation", checkpoint)

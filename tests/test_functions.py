@@ -61,6 +61,6 @@ def test_day_slice_relative_to_today(spark):
             (dt.datetime(two.year, two.month, two.day, 23, 59, 59, 500000),),
             (dt.datetime(today.year, today.month, today.day, 1),)]
     df = spark.createDataFrame(rows, "t timestamp_ntz")
-    assert df.filter(pf.in_day("t", pf.days_ago(2))).count() == 1
-    assert df.filter(pf.in_day("t", pf.days_ago(2), closed=False)).count() == 2
+    assert df.filter(pf.in_day("t", pf.days_ago(2), closed=True)).count() == 1
+    assert df.filter(pf.in_day("t", pf.days_ago(2))).count() == 2
     assert df.filter(pf.in_day("t", two.isoformat(), closed=False)).count() == 2

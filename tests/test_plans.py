@@ -56,3 +56,18 @@ def test_no_python_udfs(spark, key):
     plan = physical(REGISTRY[key](spark, SF))
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"):
         assert node not in plan
+
+
+@pytest.mark.parametrize("key", ["signals_panel", "signals_panel_monthly"])
+def test_panel_is_not_shuffled_for_the_period_mean(spark, key):
+    """After the checkpoint the means are broadcast: no exchange on the panel."""
+    df = REGISTRY[key](spark, SF)
+    df.collect()
+    plan = physical(df).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning" not in plan
+
+
+def test_extracts_do_not_build_the_whole_panel(spark):
+    for key in ("corr_extract", "top_rate", "missingness"):
+        assert "lag(" not in physical(REGISTRY[key](spark, SF)), key

@@ -58,3 +58,27 @@ def test_hot_period_mean_is_split_and_correct(spark):
     for y in expect:
         assert got[y] == pytest.approx(expect[y])
     assert "SortMergeJoin" in plan and "skew=true" in plan, plan[:3000]
+
+
+def test_hot_slice_has_several_writers(spark, tmp):
+    """A day that holds a third of all rows is split by size among writers."""
+    import os
+    from panelforge.sources import sinks
+    n = 60_000
+    day = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(1 + F.col("id") % 50)
+    df = spark.range(0, n, 1, 24).select("id", F.xxhash64("id").alias("x"),
+                               F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")).alias("day"))
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+                      "spark.sql.shuffle.partitions": "16"}):
+        sinks.overwrite_slices(df, f"{tmp}/t", "day")
+    hot = [f for f in os.listdir(f"{tmp}/t/day=2024-01-01") if f.startswith("part-")]
+    assert len(hot) > 4
+    assert spark.read.parquet(f"{tmp}/t").count() == n
+
+
+def test_period_means_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(panel, "BROADCAST_PERIODS", 3)
+    with conf(spark, SKEW_CONF):
+        out = panel.period_mean(hot_panel(spark), ["delta_p"], materialise=True)
+        out.collect()
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()

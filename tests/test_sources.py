@@ -40,13 +40,13 @@ def test_csv_by_header_and_complaints_clean(spark, tmp):
     out = {r.unique_key: r for r in clean.complaints_clean(raw).collect()}
     rows = clean.complaints_clean(raw).count()
     assert rows == 5                      # key 4 (empty board) dropped, key 1 twice
-    assert 4 not in out
-    assert out[2].community_board == "   "  # whitespace-only board is kept
-    assert out[2].complaint_type == "Heat\nHot Water"
-    assert out[2].created_date == dt.datetime(2024, 1, 15, 23, 59, 59, 500000)
-    assert out[3].created_date is None   # unparsable date -> NULL
-    assert out[1].incident_zip == "07030"  # leading zero kept
-    assert out[5].borough == "SOUTH" and out[5].incident_zip == "11201"
+    assert "4" not in out
+    assert out["2"].community_board == "   "  # whitespace-only board is kept
+    assert out["2"].complaint_type == "Heat\nHot Water"
+    assert out["2"].created_date == dt.datetime(2024, 1, 15, 23, 59, 59, 500000)
+    assert out["3"].created_date is None   # unparsable date -> NULL
+    assert out["1"].incident_zip == "07030"  # leading zero kept
+    assert out["5"].borough == "SOUTH" and out["5"].incident_zip == "11201"
 
 
 def test_csv_positional_trap_is_avoided(spark, tmp):
@@ -184,3 +184,51 @@ def test_csv_by_header_many_files_three_orders(spark, tmp):
               ",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
     got = sorted((int(r.a), r.b, r.c) for r in files.read_csv_by_header(spark, f"{tmp}/many").collect())
     assert got == [(i, f"b{i}", f"c{i}") for i in range(60)]
+
+
+def test_nested_folders_and_compressed_files(spark, tmp):
+    import gzip
+    os.makedirs(f"{tmp}/in/2024/jan")
+    with open(f"{tmp}/in/a.csv", "w") as f:
+        f.write("a,b\n1,2\n")
+    for i in range(3):
+        with gzip.open(f"{tmp}/in/2024/jan/b{i}.csv.gz", "wt") as f:
+            f.write("b,a\n4,3\n")
+    df = files.read_csv_by_header(spark, f"{tmp}/in", with_file=True)
+    assert sorted((r.a, r.b) for r in df.collect()) == [("1", "2")] + [("3", "4")] * 3
+    # one relation per header, not per file
+    assert df._jdf.queryExecution().analyzed().toString().count("Relation") == 2
+
+
+def test_corrupt_documents_are_reported(spark):
+    docs = spark.createDataFrame(
+        [(2020, '[["a","b"],["1","2"]]'), (2021, '[["a","b"],["1",'), (2022, '[["a","b"]]'),
+         (2023, '[["a"],["1"]]'), (2024, None), (2025, "[]")], "year int, value string")
+    bad = files.document_problems(docs, "value", ["a", "b"], ["year"])
+    assert {r.year: r.problem for r in bad.collect()} == {
+        2021: "corrupt", 2022: "no rows", 2023: "missing columns", 2024: "corrupt", 2025: "no rows"}
+
+
+def test_a_pivot_refuses_unlisted_periods(spark):
+    import pytest
+    from panelforge.operators import reshape
+    df = spark.createDataFrame([("x", "2020", 1.0), ("x", "2021", 2.0)], "id string, p string, v double")
+    assert reshape.pivot_periods(df, ["id"], "p", "v", ["2020", "2021"]).first()["2021"] == 2.0
+    with pytest.raises(Exception, match="outside"):
+        reshape.pivot_periods(df, ["id"], "p", "v", ["2020"]).collect()
+
+
+def test_keys_with_letters_survive(spark):
+    raw = spark.createDataFrame([(k, "2024-01-01", "t", "1", "b", "x") for k in ("A1", "A2", "007")],
+                                "unique_key string, created_date string, complaint_type string, "
+                                "incident_zip string, community_board string, borough string")
+    assert sorted(r.unique_key for r in clean.complaints_clean(raw).collect()) == ["007", "A1", "A2"]
+
+
+def test_scratch_is_dropped(spark):
+    from panelforge.session import drop_scratch, scratch_path
+    drop_scratch(spark)
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert drop_scratch(spark) == 1
+    assert not os.path.exists(path.removeprefix("file:"))

@@ -27,18 +27,18 @@ def test_available_now_merge_keeps_earlier_rows(spark, tmp):
     land(src, "day_01.csv", [row(1, 1), row(2, 2), row(3, 2), row(9, 2, board="")])
     ingest.ingest_available_now(spark, src, target, ckpt)
     first = sorted(r.unique_key for r in spark.read.parquet(target).collect())
-    assert first == [1, 2, 3]                       # empty board dropped
+    assert first == ["1", "2", "3"]                       # empty board dropped
     # overlapping yearly file: keys 2 and 3 again, plus new keys on day 2 and 3
     land(src, "year_2024.csv", [row(2, 2), row(3, 2), row(4, 2), row(5, 3)])
     ingest.ingest_available_now(spark, src, target, ckpt)
     got = spark.read.parquet(target)
-    assert sorted(r.unique_key for r in got.collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.unique_key for r in got.collect()) == list("12345")
     per_day = {str(r.day): r.n for r in got.groupBy("day").agg(F.count("*").alias("n")).collect()}
     assert per_day == {"2024-01-01": 1, "2024-01-02": 3, "2024-01-03": 1}
     # a late file that touches day 1 with one new key must keep key 1
     land(src, "late.csv", [row(6, 1)])
     ingest.ingest_available_now(spark, src, target, ckpt)
-    assert sorted(r.unique_key for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.unique_key for r in spark.read.parquet(target).collect()) == list("123456")
     # nothing new: a rerun changes nothing
     ingest.ingest_available_now(spark, src, target, ckpt)
     assert spark.read.parquet(target).count() == 6
@@ -58,7 +58,7 @@ def test_dedup_and_daily_counts_streams(spark, tmp):
          .queryName(name).option("checkpointLocation", f"{tmp}/c1").start())
     q.processAllAvailable()
     q.stop()
-    assert sorted(r.unique_key for r in spark.table(name).collect()) == [1, 2, 3, 4]
+    assert sorted(r.unique_key for r in spark.table(name).collect()) == list("1234")
     name2 = "daily_" + uuid.uuid4().hex[:8]
     q2 = (ingest.daily_counts_stream(cleaned, delay="1 day").writeStream.format("memory")
           .outputMode("append").queryName(name2)
@@ -79,7 +79,7 @@ def test_redelivered_key_replaces_stored_row(spark, tmp):
     land(src, "b.csv", [fixed])
     ingest.ingest_available_now(spark, src, target, ckpt)
     got = {r.unique_key: r.complaint_type for r in spark.read.parquet(target).collect()}
-    assert got == {1: "Heat", 2: "Noise"}
+    assert got == {"1": "Heat", "2": "Noise"}
 
 
 def test_latest_per_key_collapses_copies(spark):
@@ -89,3 +89,84 @@ def test_latest_per_key_collapses_copies(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, "b"), (2, "z")]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def stored(spark, target):
+    return sorted((str(r.unique_key), str(r.day), r.complaint_type) for r in
+                  spark.read.schema("unique_key string, created_date timestamp_ntz, "
+                                    "complaint_type string, incident_zip string, "
+                                    "community_board string, borough string, day date")
+                  .parquet(target).collect())
+
+
+def test_junk_dates_missing_keys_and_moved_days(spark, tmp):
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    junk = ("A1", "not a date", "Noise", "10001", "B1", "X")
+    nokey = ("", "2024-01-03T10:00:00.000", "Noise", "10001", "B1", "X")
+    land(src, "a.csv", [junk, row("A2", 2), nokey, nokey])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    # another junk date, a corrected one and a key that moves off its only day
+    land(src, "b.csv", [("A3", "?", "Noise", "1", "B1", "X"), row("A1", 1), row("A2", 5), nokey])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    assert stored(spark, target) == [
+        ("A1", "2024-01-01", "Noise"), ("A2", "2024-01-05", "Noise"), ("A3", "None", "Noise"),
+        *[("None", "2024-01-03", "Noise")] * 3]
+    assert not os.path.exists(f"{target}/day=2024-01-02")
+
+
+def test_files_with_other_columns_are_read_by_header(spark, tmp):
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    land(src, "a.csv", [row(1, 1)])
+    os.makedirs(f"{src}/2024", exist_ok=True)
+    with open(f"{src}/2024/b.csv", "w") as f:
+        f.write("agency,borough,created_date,unique_key,complaint_type,community_board\n"
+                "NYPD,Queens,2024-01-09T00:00:00.000,K2,Heat,B7\n")
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    assert stored(spark, target) == [("1", "2024-01-01", "Noise"), ("K2", "2024-01-09", "Heat")]
+
+
+def test_replay_after_half_a_swap(spark, tmp):
+    target, staging = f"{tmp}/clean", f"{tmp}/staging/epoch=1"
+    schema = "unique_key string, v string, day date"
+    make = lambda rows: spark.createDataFrame(rows, "unique_key string, v string, day string") \
+        .selectExpr("unique_key", "v", "cast(day as date) as day")
+    ingest.merge_into_days(make([("1", "old", "2024-01-01"), ("2", "old", "2024-01-02")]),
+                           target, f"{tmp}/staging/epoch=0")
+    batch = make([("3", "new", "2024-01-01"), ("2", "new", "2024-01-03")])
+    ingest.merge_into_days(batch, target, staging, epoch=1)
+    done = sorted(tuple(r) for r in spark.read.schema(schema).parquet(target).collect())
+    # the job died in the swap: a day is gone from the target; the epoch runs again
+    import shutil
+    shutil.rmtree(f"{target}/day=2024-01-01")
+    ingest.merge_into_days(batch, target, staging, epoch=1)
+    assert sorted(tuple(r) for r in spark.read.schema(schema).parquet(target).collect()) == done
+    assert [r[:2] for r in done] == [("1", "old"), ("2", "new"), ("3", "new")]
+
+
+def test_two_versions_in_one_batch(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "b"), (None, 1, "n"),
+                                (None, 1, "n")], "k string, o int, v string")
+    got = ingest.latest_per_key(df, "k", ["o"]).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(
+        map(str, [("a", "y"), (None, "n"), (None, "n")]))
+
+
+def test_a_file_of_another_header_fails_the_plain_stream(spark, tmp):
+    src = f"{tmp}/landing"
+    os.makedirs(src)
+    with open(f"{src}/a.csv", "w") as f:
+        f.write("borough,unique_key,created_date,complaint_type,incident_zip,community_board\n"
+                "X,1,2024-01-01T00:00:00.000,Heat,1,B\n")
+    q = (ingest.complaint_file_stream(spark, src).writeStream.format("noop")
+         .option("checkpointLocation", f"{tmp}/c").trigger(availableNow=True).start())
+    import pytest
+    with pytest.raises(Exception):
+        q.awaitTermination()
+
+
+def test_rows_without_a_date_are_counted(spark, tmp):
+    src = f"{tmp}/landing"
+    land(src, "a.csv", [row(1, 1), ("2", "junk", "Noise", "1", "B", "X")])
+    ingest.daily_counts_available_now(spark, src, f"{tmp}/out", f"{tmp}/c")
+    assert {str(r.load_date): r.daily_count for r in spark.read.parquet(f"{tmp}/out").collect()} \
+        == {"2024-01-01": 1, "None": 1}
