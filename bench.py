@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from panelforge.plans.catalog import REGISTRY  # noqa: E402
-from panelforge.session import build_session  # noqa: E402
+from panelforge.session import build_session, drop_scratch  # noqa: E402
 
 HEADLINE = [
     "signals_panel", "signals_panel_monthly", "period_mean",
@@ -32,7 +32,9 @@ HEADLINE = [
 def run_once(spark, fn, sf_dir) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    took = time.perf_counter() - t0
+    drop_scratch(spark)
+    return took
 
 
 def main() -> None:
