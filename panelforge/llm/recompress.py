@@ -34,7 +34,7 @@ _LETTER = mix(np.arange(1, 257, dtype=U) * U(_BYTE))
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     if base not in _POWERS or len(_POWERS[base][0]) < n:
-        size = 1 << max(20, int(n - 1).bit_length())
+        size = 1 << max(16, int(n - 1).bit_length())
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, U)

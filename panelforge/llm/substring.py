@@ -26,27 +26,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from . import recompress as R
 from .common import stored
+from .texts import keyed, opened_texts, squeezed
 
 WINDOW = 50
 #: Bytes of text and words that the numpy kernels take at a time.
-BYTES, WORDS = 1 << 21, 1 << 19
+BYTES, WORDS = 1 << 19, 1 << 17
 #: Unlike surroundings of one symbol that are compared in one group.
 HOT = 2000
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    return rows.withColumn("row", F.xxhash64("doc_id", "text"))
-
-
 def _pieces(texts: list[bytes]):
     """Lists of (text number, bytes) of about BYTES; longer texts are cut."""
     group, size = [], 0
@@ -99,15 +93,11 @@ def block_rows(texts: list[bytes], window: int):
     return [np.concatenate(c) for c in zip(*out)]
 
 
-def _flat(column: pa.Array) -> list[bytes]:
-    return column.to_pylist()
-
-
 def blocks(rows: DataFrame, window: int) -> DataFrame:
     """(name, context, row, doc_id, lo, n) of every block."""
     def run(batches):
         for b in batches:
-            name, ctx, t, lo, n = block_rows(_flat(b.column("text")), window)
+            name, ctx, t, lo, n = block_rows(b.column("text").to_pylist(), window)
             pick = pa.array(t)
             yield pa.record_batch(
                 [pa.array(name.astype(R.U).view(np.int64)), pa.array(ctx.astype(R.U).view(np.int64)),
@@ -119,30 +109,13 @@ def blocks(rows: DataFrame, window: int) -> DataFrame:
         run, "name long, context long, row long, doc_id long, lo int, n int")
 
 
-def squeezed(rows: DataFrame) -> DataFrame:
-    """Texts compressed for the way to their spans."""
-    def run(batches):
-        z = zstandard.ZstdCompressor(level=3)
-        for b in batches:
-            at = b.schema.get_field_index("text")
-            small = pa.array([z.compress(t) for t in b.column("text").to_pylist()], pa.binary())
-            yield b.set_column(at, "text", small)
-
-    return rows.mapInArrow(run, rows.schema)
-
-
-def _opened(column: pa.Array) -> list[bytes]:
-    z = zstandard.ZstdDecompressor()
-    return [z.decompress(t) for t in column.to_pylist()]
-
-
 def window_hashes(asked: DataFrame, window: int) -> DataFrame:
     """(name, doc_id, row, lo, hot, windows) from texts joined with ``want``."""
     def run(batches):
         for whole in batches:
             for s in range(0, whole.num_rows, 64):
                 b = whole.slice(s, 64)
-                names, size = named_words(_opened(b.column("text")))
+                names, size = named_words(opened_texts(b.column("text")))
                 start, roll = np.cumsum(size) - size, R.Rolling(names)
                 want = b.column("want")
                 per = np.diff(want.offsets.to_numpy())
@@ -166,15 +139,19 @@ def window_hashes(asked: DataFrame, window: int) -> DataFrame:
 def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(row, lo, n): runs of removed window starts of every row key."""
     found = blocks(rows, window)
-    names = found.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")) \
-        .where("a < b").select("name")
+    # aggregates are stored before they are joined: only a join of two plain
+    # exchanges is split where a key is hot
+    names = stored(found.groupBy("name").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        .where("a < b").select("name"), "shared-names")
     shared = stored(found.join(names, "name", "left_semi"), "shared-blocks")
     classes = stored(shared.groupBy("name", "context").agg(
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row", "lo", "n")))
         .alias("first")).where("first is not null"), "block-classes")
     whole = shared.join(classes.select("name", "context", F.col("first.doc_id").alias("least")),
                         ["name", "context"]).where("doc_id > least").select("row", "lo", "n")
-    unlike = classes.groupBy("name").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    unlike = stored(classes.groupBy("name").agg(F.count(F.lit(1)).alias("k"))
+                    .where("k > 1"), "unlike-names")
     edge = classes.join(unlike, "name").select(
         "first.row", F.struct("name", "first.doc_id", "first.lo", "first.n",
                               (F.col("k") > hot).alias("hot")).alias("w"))
@@ -194,8 +171,9 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Da
         .agg(F.min("at").alias("at"), F.count(F.lit(1)).cast("int").alias("n")) \
         .select("row", (F.col("lo") + F.col("at")).alias("lo"), "n")
     many = opened(single.where("hot"))
-    least = many.groupBy("name", "w").agg(F.min("doc_id").alias("least"),
-                                          F.max("doc_id").alias("most")).where("least < most")
+    least = stored(many.groupBy("name", "w").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        .where("least < most"), "hot-windows")
     many = many.join(least, ["name", "w"]).where("doc_id > least") \
         .select("row", (F.col("lo") + F.col("at")).alias("lo"), F.lit(1).alias("n"))
     return whole.unionByName(cold).unionByName(many)
@@ -233,7 +211,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                 flat = spans.flatten()
                 lo, n = flat.field("lo").to_numpy(), flat.field("n").to_numpy()
                 out = [kept_words(t, lo[i:j], n[i:j], window) for t, i, j in
-                       zip(_opened(b.column("text")), per[:-1].tolist(), per[1:].tolist())]
+                       zip(opened_texts(b.column("text")), per[:-1].tolist(), per[1:].tolist())]
                 yield pa.record_batch(
                     [b.column("doc_id"), pa.array([o[0] for o in out], pa.int64()),
                      pa.array([o[1] for o in out], pa.int64()),

@@ -32,23 +32,17 @@ from pyspark.sql.types import StructType
 from . import spans as S
 from .common import fresh, same, stored
 from .recompress import _BYTE, _LETTER, Rolling
-from .substring import _opened, squeezed
+from .texts import keyed, opened_texts, squeezed
 
 WINDOW = 200
 #: Bytes of text that the numpy kernels take at a time.
-BYTES = 1 << 21
+BYTES = 1 << 19
 #: Bytes of strings in one suffix array (whole groups; one group may be more).
 ARRAY = 1 << 18
 #: Unlike strings around one kind of place that share a suffix array.
 HOT = 2000
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    return rows.withColumn("row", F.xxhash64("doc_id", "text"))
-
-
 def block_rows(texts: list[bytes], window: int):
     """Columns name, context, text number, first window, width, copies, place."""
     out, group, size = [], [], 0
@@ -96,7 +90,7 @@ def strings(asked: DataFrame, window: int) -> DataFrame:
                 want = b.column("want")
                 w = want.flatten()
                 of = np.repeat(np.arange(b.num_rows), np.diff(want.offsets.to_numpy()))
-                texts = _opened(b.column("text"))
+                texts = opened_texts(b.column("text"))
                 lo, width, hot = (w.field(f).to_numpy(zero_copy_only=False)
                                   for f in ("lo", "width", "hot"))
                 cut, hashes = [], []
@@ -156,12 +150,15 @@ def by_suffix_array(grouped: DataFrame, window: int) -> DataFrame:
 def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(row, lo, n): runs of repeated window starts of every row key."""
     found = blocks(rows, window)
-    names = found.groupBy("name").agg(F.sum("copies").alias("k")).where("k > 1").select("name")
+    # aggregates are stored before they are joined: only a join of two plain
+    # exchanges is split where a key is hot
+    names = stored(found.groupBy("name").agg(F.sum("copies").alias("k"))
+                   .where("k > 1").select("name"), "shared-names")
     shared = stored(found.join(names, "name", "left_semi"), "shared-blocks")
     classes = stored(shared.groupBy("name", "context").agg(
         F.sum("copies").alias("copies"), F.min(F.struct("row", "lo", "width", "place"))
         .alias("first")), "block-classes")
-    kinds = classes.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"))
+    kinds = stored(classes.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")), "name-kinds")
     known = classes.join(kinds, "name")
     whole = known.where("kinds = 1").select(
         "name", "context", F.lit(0).alias("at"), F.col("first.width").alias("n"))
@@ -174,8 +171,8 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Da
                            .sortWithinPartitions("name"), window)
     many = found.where("hot").select(
         "name", "context", "copies", F.posexplode("windows").alias("at", "w"))
-    twice = many.groupBy("name", "w").agg(F.sum("copies").alias("k")).where("k > 1") \
-        .select("name", "w")
+    twice = stored(many.groupBy("name", "w").agg(F.sum("copies").alias("k"))
+                   .where("k > 1").select("name", "w"), "hot-windows")
     many = many.join(twice, ["name", "w"], "left_semi") \
         .select("name", "context", "at", F.lit(1).alias("n"))
     answers = whole.unionByName(cold).unionByName(many)
@@ -225,7 +222,7 @@ def cutter(window: int):
                     pa.compute.list_value_length(runs).to_numpy(zero_copy_only=False)))].astype(int)
                 flat = runs.flatten()
                 lo, n = (flat.field(f).to_numpy().astype(np.int64) for f in ("lo", "n"))
-                texts = _opened(b.column("text"))
+                texts = opened_texts(b.column("text"))
                 out = [kept_bytes(t, lo[i:j], n[i:j], window) for t, i, j in
                        zip(texts, per[:-1].tolist(), per[1:].tolist())]
                 yield pa.record_batch(
