@@ -40,7 +40,7 @@ BYTES = 1 << 19
 #: Bytes of strings in one suffix array (whole groups; one group may be more).
 ARRAY = 1 << 18
 #: Unlike strings around one kind of place that share a suffix array.
-HOT = 2000
+HOT = 8192
 
 
 def block_rows(texts: list[bytes], window: int):
@@ -147,6 +147,27 @@ def by_suffix_array(grouped: DataFrame, window: int) -> DataFrame:
         .mapInArrow(run, "name long, context long, at int, n int")
 
 
+def _beside_unique(hot: DataFrame) -> DataFrame:
+    """(name, context, at, n): the repeated windows of hot places, as what lies
+    between the windows that are found once.  A window found once is its group's
+    only row, so the count itself says where it is and nothing is joined window
+    by window."""
+    windows = hot.select("name", "context", "copies", F.posexplode("windows").alias("at", "w"))
+    once = windows.groupBy("name", "w").agg(
+        F.sum("copies").alias("k"), F.min(F.struct("context", "at")).alias("one")) \
+        .where("k = 1").select("name", "one.*")
+    stops = stored(once.groupBy("name", "context").agg(
+        F.sort_array(F.collect_list("at")).alias("stops")), "unique-windows")
+    edges = F.concat(F.array(F.lit(-1)), F.coalesce("stops", F.array().cast("array<int>")),
+                     F.array("width"))
+    gaps = F.transform(F.sequence(F.lit(1), F.size("edges") - 1), lambda i: F.struct(
+        (F.get("edges", i - 1) + 1).alias("at"),
+        (F.get("edges", i) - F.get("edges", i - 1) - 1).alias("n")))
+    return hot.join(stops, ["name", "context"], "left").withColumn("edges", edges) \
+        .select("name", "context", F.explode(F.filter(gaps, lambda g: g["n"] > 0)).alias("g")) \
+        .select("name", "context", "g.*")
+
+
 def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(row, lo, n): runs of repeated window starts of every row key."""
     found = blocks(rows, window)
@@ -169,12 +190,7 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Da
     found = stored(strings(asked.select("row", "text", "want"), window), "edge-strings")
     cold = by_suffix_array(found.where(~F.col("hot")).repartition("name")
                            .sortWithinPartitions("name"), window)
-    many = found.where("hot").select(
-        "name", "context", "copies", F.posexplode("windows").alias("at", "w"))
-    twice = stored(many.groupBy("name", "w").agg(F.sum("copies").alias("k"))
-                   .where("k > 1").select("name", "w"), "hot-windows")
-    many = many.join(twice, ["name", "w"], "left_semi") \
-        .select("name", "context", "at", F.lit(1).alias("n"))
+    many = _beside_unique(found.where("hot"))
     answers = whole.unionByName(cold).unionByName(many)
     return shared.join(answers, ["name", "context"]).select(
         "row", (F.col("lo") + F.col("at")).alias("lo"),
