@@ -1,21 +1,24 @@
 """Token ids by the tokenizers library, a word at a time.
 
 The library spends most of its time on words it has met before.  Here a text is
-brought into the vocabulary's normal form and cut by its word pattern, words not
-met before go through the library together, and the others come from memory.
+cut at white space; of chunks not met before, the normal form is cut by the
+vocabulary's word pattern, and words not met before go through the library
+together.  Everything else comes from memory.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 
 import numpy as np
 import regex
 
-#: Words that a task remembers; beyond that it starts afresh.
+#: Chunks, and words, that a task remembers; beyond that it starts afresh.
 REMEMBERED = 400_000
+_CONTROL = re.compile("[\x1c-\x1f]")
 
 
 class WordTokenizer:
@@ -42,7 +45,9 @@ class WordTokenizer:
         ends = model["end_of_word_suffix"]
         self.is_end = np.zeros(max(model["vocab"].values()) + 1 + len(self.special), bool)
         self.is_end[[i for t, i in model["vocab"].items() if t.endswith(ends)]] = True
+        self.spaced = regex.compile(r"\s+")
         self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def _cut(self, text: str) -> list[str]:
         if "<" in text and self.cut.search(text):
@@ -73,13 +78,30 @@ class WordTokenizer:
                 self.known[w] = raw[start:end]
                 start = end
 
+    def _chunks(self, text: str) -> list[str]:
+        """What lies between white space; no word reaches across it."""
+        if _CONTROL.search(text):  # Python's white space that is none here
+            return self.spaced.split(text)
+        return text.split()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
-        cut = [self._cut(t) for t in texts]
-        new = {w for ws in cut for w in ws if w not in self.known}
+        cut = [self._chunks(t) for t in texts]
+        new = {c for cs in cut for c in cs if c not in self.chunks}
+        if len(self.chunks) + len(new) > REMEMBERED:
+            self.chunks.clear()
+            new = {c for cs in cut for c in cs}
+        if new:
+            self._learn_chunks(sorted(new))
+        get = self.chunks.__getitem__
+        return [np.frombuffer(b"".join(map(get, cs)), "<u4") for cs in cut]
+
+    def _learn_chunks(self, chunks: list[str]) -> None:
+        words = [self._cut(c) for c in chunks]
+        new = {w for ws in words for w in ws if w not in self.known}
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = {w for ws in cut for w in ws}
+            new = {w for ws in words for w in ws}
         if not self.known:
             self.known.update({t: np.array([i], "<u4").tobytes()
                                for t, i in self.special.items()})
@@ -87,7 +109,8 @@ class WordTokenizer:
         if new:
             self._learn(sorted(new))
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in cut]
+        for c, ws in zip(chunks, words):
+            self.chunks[c] = b"".join(map(get, ws))
 
 
 @functools.lru_cache(maxsize=2)
