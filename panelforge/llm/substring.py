@@ -10,7 +10,7 @@ of all its words.  Then Spark
 2. groups equal blocks (symbol and words): all but those of the smallest id go,
 3. and only where one symbol stands in unlike surroundings (the edges of a
    repeat) compares single windows, by their hashes, among the blocks' first
-   documents.
+   documents, and takes the answers back to every equal block of that id.
 
 Counts and minima are pre-aggregated and joins are left to the adaptive skew
 split, so a passage that a third of all documents share is no task's burden; the
@@ -110,7 +110,7 @@ def blocks(rows: DataFrame, window: int) -> DataFrame:
 
 
 def window_hashes(asked: DataFrame, window: int) -> DataFrame:
-    """(name, doc_id, row, lo, hot, windows) from texts joined with ``want``."""
+    """(name, context, doc_id, hot, windows) from texts joined with ``want``."""
     def run(batches):
         for whole in batches:
             for s in range(0, whole.num_rows, 64):
@@ -126,14 +126,13 @@ def window_hashes(asked: DataFrame, window: int) -> DataFrame:
                 at = np.repeat(start[of] + lo - (ends - n), n) + np.arange(n.sum())
                 hashes = roll.of(at, at + window).view(np.int64)
                 yield pa.record_batch(
-                    [w.field("name"), w.field("doc_id"), b.column("row").take(pa.array(of)),
-                     w.field("lo"), w.field("hot"),
+                    [*(w.field(f) for f in ("name", "context", "doc_id", "hot")),
                      pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)),
                                               pa.array(hashes))],
-                    names=["name", "doc_id", "row", "lo", "hot", "windows"])
+                    names=["name", "context", "doc_id", "hot", "windows"])
 
     return asked.mapInArrow(
-        run, "name long, doc_id long, row long, lo int, hot boolean, windows array<long>")
+        run, "name long, context long, doc_id long, hot boolean, windows array<long>")
 
 
 def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
@@ -153,30 +152,33 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Da
     unlike = stored(classes.groupBy("name").agg(F.count(F.lit(1)).alias("k"))
                     .where("k > 1"), "unlike-names")
     edge = classes.join(unlike, "name").select(
-        "first.row", F.struct("name", "first.doc_id", "first.lo", "first.n",
+        "first.row", F.struct("name", "context", "first.doc_id", "first.lo", "first.n",
                               (F.col("k") > hot).alias("hot")).alias("w"))
     wanted = edge.groupBy("row").agg(F.collect_list("w").alias("want"))
     asked = squeezed(rows.select("row", "text")).join(wanted, "row")
     single = stored(window_hashes(asked.select("row", "text", "want"), window), "edge-windows")
 
     def opened(df):
-        return df.select("name", "doc_id", "row", "lo", F.posexplode("windows").alias("at", "w"))
+        return df.select("name", "context", "doc_id", F.posexplode("windows").alias("at", "w"))
 
     same = W.Window.partitionBy("name", "w")
     cold = opened(single.where(~F.col("hot")).repartition("name")) \
         .withColumn("least", F.min("doc_id").over(same)).where("doc_id > least")
-    order = W.Window.partitionBy("name", "row", "lo").orderBy("at")
+    order = W.Window.partitionBy("name", "context").orderBy("at")
     cold = cold.withColumn("run", F.col("at") - F.row_number().over(order)) \
-        .groupBy("name", "row", "lo", "run") \
-        .agg(F.min("at").alias("at"), F.count(F.lit(1)).cast("int").alias("n")) \
-        .select("row", (F.col("lo") + F.col("at")).alias("lo"), "n")
+        .groupBy("name", "context", "doc_id", "run") \
+        .agg(F.min("at").alias("at"), F.count(F.lit(1)).cast("int").alias("n")).drop("run")
     many = opened(single.where("hot"))
     least = stored(many.groupBy("name", "w").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .where("least < most"), "hot-windows")
     many = many.join(least, ["name", "w"]).where("doc_id > least") \
-        .select("row", (F.col("lo") + F.col("at")).alias("lo"), F.lit(1).alias("n"))
-    return whole.unionByName(cold).unionByName(many)
+        .select("name", "context", "doc_id", "at", F.lit(1).alias("n"))
+    # the class's other blocks of its least id have the first one's answers
+    answers = stored(cold.unionByName(many), "edge-answers")
+    edges = shared.drop("n").join(answers, ["name", "context", "doc_id"]) \
+        .select("row", (F.col("lo") + F.col("at")).alias("lo"), "n")
+    return whole.unionByName(edges)
 
 
 def kept_words(text: bytes, lo: np.ndarray, n: np.ndarray, window: int) -> tuple[int, int, bytes]:

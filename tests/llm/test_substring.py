@@ -85,3 +85,22 @@ def test_equal_windows_hang_on_equal_symbols():
 
 def test_empty(no_rows):
     assert substring.dedup(no_rows).count() == 0
+
+
+def passages(seed, *sizes):
+    """Lists of words that are found nowhere else."""
+    rng = random.Random(seed)
+    return [[f"s{seed}p{i}w{k}x{rng.getrandbits(20)}" for k in range(n)]
+            for i, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_every_block_of_the_least_document_is_judged(make_docs, hot):
+    rows = []
+    for seed in range(6):
+        a, b, c, d, e, p = passages(seed, 70, 70, 70, 70, 9, 60)
+        t = a + p + b
+        rows += [(100 * seed + 10, " ".join(t + t)), (100 * seed + 5, " ".join(c + p + d)),
+                 (100 * seed + 10, " ".join(e + t)), (100 * seed + 10, " ".join(e + t))]
+    got = substring.dedup(make_docs(rows), hot=hot).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 50)
