@@ -155,7 +155,8 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Da
         "first.row", F.struct("name", "context", "first.doc_id", "first.lo", "first.n",
                               (F.col("k") > hot).alias("hot")).alias("w"))
     wanted = edge.groupBy("row").agg(F.collect_list("w").alias("want"))
-    asked = squeezed(rows.select("row", "text")).join(wanted, "row")
+    # rows equal in id and text share a key: their text is fetched once
+    asked = squeezed(rows.select("row", "text")).dropDuplicates(["row"]).join(wanted, "row")
     single = stored(window_hashes(asked.select("row", "text", "want"), window), "edge-windows")
 
     def opened(df):
@@ -199,7 +200,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     """(doc_id, n_words, n_removed, kept) of every row."""
     rows = keyed(docs, id_col, text_col)
     spans = removed_windows(rows, window, hot) \
-        .groupBy("row").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
+        .groupBy("row").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
     both = squeezed(rows.select("row", "doc_id", "text")).join(spans, "row", "left") \
         .select("doc_id", "text", "spans")
 

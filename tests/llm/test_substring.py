@@ -104,3 +104,27 @@ def test_every_block_of_the_least_document_is_judged(make_docs, hot):
                  (100 * seed + 10, " ".join(e + t)), (100 * seed + 10, " ".join(e + t))]
     got = substring.dedup(make_docs(rows), hot=hot).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows, 50)
+
+
+def test_repeated_rows_keep_gaps_between_removed_windows(make_docs):
+    rows = []
+    for seed in range(6):
+        x, a, b, c, d = passages(seed, 52, 60, 60, 60, 60)
+        whole = " ".join(a + x + b)
+        rows += [(100 * seed + 1, " ".join(c + x[:50] + d)),
+                 (100 * seed + 2, " ".join(d + x[2:] + c))] + [(100 * seed + 9, whole)] * 2
+    got = substring.dedup(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 50)
+
+
+def test_repeated_rows_are_fetched_and_cut_once(make_docs, spark, monkeypatch):
+    x, a, b, c = passages(1, 60, 60, 60, 60)
+    seen, docs = [], make_docs([(1, " ".join(c + x + a))] + [(2, " ".join(a + x + b))] * 40)
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow",
+                        lambda self, *args: (seen.append(self), real(self, *args))[1])
+    assert substring.dedup(docs).count() == 41
+    asked = [d for d in seen if "want" in d.columns]
+    cut = [d for d in seen if "spans" in d.columns]
+    assert [d.count() - d.select("row").distinct().count() for d in asked] == [0]
+    assert [d.where("size(spans) > size(array_distinct(spans))").count() for d in cut] == [0]
