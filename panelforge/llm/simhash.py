@@ -26,8 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh, stored
 from .components import components
+from .texts import keyed
 
 #: Fixed by the contract.
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -60,17 +61,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    """(doc_id, row, fp) of every row: its key (see ``keyed``) and fingerprint, a
+    signed long."""
+    rows = keyed(docs, id_col, text_col)
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t, shingle) for t in b.column("t").to_pylist()]
-            yield pa.record_batch([b.column("doc_id"), pa.array(fps, pa.int64())],
-                                  names=["doc_id", "fp"])
+            fps = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
+            yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(fps, pa.int64())],
+                                  names=["doc_id", "row", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -179,9 +180,9 @@ def candidate_links(reps: DataFrame, distance: int = DISTANCE,
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
+def _named(docs: DataFrame, id_col: str, text_col: str, shingle: int,
+           distance: int) -> DataFrame:
+    """(doc_id, row, fp, root, component_id) of every row."""
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     reps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "fp-classes")
     edges = stored(candidate_links(reps.select("fp"), distance), "fp-links")
@@ -189,16 +190,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     names = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = stored(classes.join(names, "root").select("fp", "component_id"), "fp-components")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stored(classes.join(names, "root").select("fp", "root", "component_id"),
+                   "fp-components")
+    return prints.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fp, component_id) of every row."""
+    return _named(docs, id_col, text_col, shingle, distance) \
+        .select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of smallest id of each component, with all their columns;
-    of rows that repeat such an id one stays."""
-    found = stored(near_duplicates(docs, id_col, text_col), "near-duplicates")
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    out = docs.join(ids, docs[id_col].eqNullSafe(ids["doc_id"]), "left_semi")
-    repeated = ids.where("n > 1").isEmpty()
-    return out if repeated else out.dropDuplicates([id_col])
+    """One row of each component, with all its columns: that of smallest id, null
+    ids last, and of rows that share this id the one of smallest key."""
+    found = stored(_named(docs, id_col, text_col, SHINGLE, DISTANCE), "near-duplicates")
+    rows = found.groupBy("root", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
+    stay = stored(rows.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", "row", "n")).alias("one"))
+        .select("one.row", "one.n"), "survivors")
+    (row,) = fresh(docs, "__row")
+    key = F.xxhash64(F.col(id_col).cast("long"),
+                     F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    # only rows that repeat a survivor are moved once more
+    have = docs.withColumn(row, key)
+    once, more = (have.join(stay.where(c).select(F.col("row").alias(row)), row, "left_semi")
+                  for c in ("n = 1", "n > 1"))
+    return once.unionByName(more.dropDuplicates([row])).drop(row)

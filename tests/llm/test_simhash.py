@@ -90,3 +90,18 @@ def test_keep_one(make_docs, no_rows):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "7", "None"]
     assert simhash.keep_one(no_rows).count() == 0
+
+
+def test_keep_one_chooses_rows(make_docs):
+    rng = random.Random(2)
+    clean = [" ".join(f"t{i}w{k}x{rng.getrandbits(20)}" for k in range(90)) for i in range(24)]
+    rows = [(None, t) for t in clean[:20]] + [(None, clean[3])]  # null ids, unlike texts
+    rows += [(8, clean[20]), (None, clean[20]), (None, clean[20])]  # copies of a row with an id
+    rows += [(5, clean[21]), (5, clean[22])]  # one id, unlike texts
+    rows += [(4, clean[23]), (5, clean[23]), (4, clean[23])]  # 5 is a copy of 4 here
+    prints = [(i, brute_print(t)) for i, t in enumerate(clean)]
+    assert len(set(brute_components(prints))) == len(clean)
+    got = simhash.keep_one(make_docs(rows)).collect()
+    want = [(None, t) for t in clean[:20]] + [(8, clean[20]), (5, clean[21]), (5, clean[22]),
+                                              (4, clean[23])]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
