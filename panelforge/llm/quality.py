@@ -9,8 +9,9 @@ and a hot source is pre-aggregated before any shuffle.  A group with fewer than
 ``MIN_GROUP`` documents takes the merged sketch of its language.
 
 Only DataFrame functions are used.  Defined cases: a null text has no words and
-fails the base rules; a null language or source is a group of its own; ties and
-repeated rows get one verdict each; an empty table gives no rows.
+fails the base rules; a null language or source counts as the empty string and
+shares its group; ties and repeated rows get one verdict each; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
