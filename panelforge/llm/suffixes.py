@@ -186,7 +186,9 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> Da
     wanted = known.where("kinds > 1").groupBy("first.row").agg(F.collect_list(F.struct(
         "name", "context", "copies", "first.lo", "first.width", "first.place",
         (F.col("kinds") > hot).alias("hot"))).alias("want"))
-    asked = squeezed(rows.select("row", "text")).join(wanted, "row")
+    # rows equal in id and text share a key: their text is fetched once, and so
+    # are their spans (collect_set), or M such rows would make M * M
+    asked = squeezed(rows.select("row", "text")).dropDuplicates(["row"]).join(wanted, "row")
     found = stored(strings(asked.select("row", "text", "want"), window), "edge-strings")
     cold = by_suffix_array(found.where(~F.col("hot")).repartition("name")
                            .sortWithinPartitions("name"), window)
@@ -217,7 +219,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     """(doc_id, n_bytes, kept binary, spans array of removed (start, end))."""
     rows = keyed(docs, id_col, text_col)
     spans = removed_windows(rows, window, hot) \
-        .groupBy("row").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
+        .groupBy("row").agg(F.collect_set(F.struct("lo", "n")).alias("runs"))
     both = squeezed(rows.select("row", "doc_id", "text")).join(spans, "row", "left") \
         .select("doc_id", "text", "runs")
     return both.mapInArrow(
@@ -256,7 +258,7 @@ def cut(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     that no longer make a whole character go with them, a null text stays null."""
     row, runs = fresh(docs, "__row", "__runs")
     spans = removed_windows(keyed(docs, id_col, text_col), window, hot).groupBy(
-        F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "n")).alias(runs))
+        F.col("row").alias(row)).agg(F.collect_set(F.struct("lo", "n")).alias(runs))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     both = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), text)) \
         .join(spans, row, "left").drop(row)

@@ -79,3 +79,23 @@ def test_runs_of_kept_bytes():
 
 def test_empty(no_rows):
     assert suffixes.dedup(no_rows).count() == 0
+
+
+def test_repeated_rows_are_fetched_and_cut_once(make_docs, monkeypatch):
+    rng = random.Random(3)
+    a, b, c, x = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (300, 300, 300, 500))
+    rows = [(1, c + x + a)] + [(2, a + x + b)] * 40 + [(None, b + x + c)] * 40
+    seen, docs = [], make_docs(rows)
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow",
+                        lambda self, *args: (seen.append(self), real(self, *args))[1])
+    got = suffixes.dedup(docs).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, bytes(r.kept), len(r.spans)) for r in got) \
+        == brute(rows, 200)
+    assert suffixes.cut(docs).count() == 81
+    asked = [d for d in seen if "want" in d.columns]
+    runs = [d.columns[-1] for d in seen if d.columns[-1] in ("runs", "c5")]
+    cut = [d.select(d[d.columns[-1]].alias("r")) for d in seen if d.columns[-1] in ("runs", "c5")]
+    assert len(runs) == 2
+    assert [d.count() - d.select("row").distinct().count() for d in asked] == [0, 0]
+    assert [d.where("size(r) > size(array_distinct(r))").count() for d in cut] == [0, 0]
