@@ -39,7 +39,10 @@ WINDOW = 200
 BYTES = 1 << 19
 #: Bytes of strings in one suffix array (whole groups; one group may be more).
 ARRAY = 1 << 18
-#: Unlike strings around one kind of place that share a suffix array.
+#: Unlike strings around one kind of place that share a suffix array.  It bounds
+#: a task's memory: a string has under 2 * WINDOW bytes, so a group has 3.3 MB of
+#: them at most and some 400,000 cells, whatever the size of the input.  Places
+#: above it are dealt window by window, rows in proportion to their strings.
 HOT = 8192
 
 
