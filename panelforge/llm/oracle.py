@@ -121,5 +121,49 @@ select b.conv_id, b.turn, b.role, t.parent_turn, coalesce(t.root_turn, b.turn) a
 from b left join tree t on t.conv_id = b.conv_id and t.turn = b.turn"""
 
 
+def exact_dedup_sql() -> str:
+    return r"""with t as (select doc_id, length(coalesce(text, '')) as n,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as bare from documents)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from (
+    select doc_id, bare, count(*) over (partition by bare)::bigint as group_size,
+        first_value(doc_id) over (partition by bare order by n desc, doc_id) as keep_id from t)"""
+
+
+def audit_sql() -> str:
+    return rf"""with
+d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, {_WORDS} as w
+    from documents),
+f as (select part, coalesce(l.quality = 1, false) as good, coalesce(l.toxic = 1, false) as toxic,
+    [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+     100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text),
+     regexp_matches(text, '[#$%&*|]'),
+     d.doc_id > min(d.doc_id) over (partition by text)] as fails
+    from d left join labels l on d.doc_id = l.doc_id),
+cell as (select part, fails, count(*) as n, count(*) filter (where good) as good,
+    count(*) filter (where toxic) as toxic from f group by all),
+abc as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (select a.x || b.x || c.x || d.x || e.x as filter_order
+    from abc a join abc b on b.x <> a.x join abc c on c.x not in (a.x, b.x)
+    join abc d on d.x not in (a.x, b.x, c.x) join abc e on e.x not in (a.x, b.x, c.x, d.x)),
+step as (select filter_order, s::int as step, filter_order[s] as letter,
+    ascii(filter_order[s]) - 64 as i from orders, generate_series(1, 5) as g(s)),
+walk as (select part, fails, n, good, toxic, filter_order, step, letter, fails[i] as here,
+    coalesce(sum(fails[i]::int) over (partition by part, fails, filter_order order by step
+        rows between unbounded preceding and 1 preceding), 0) as earlier,
+    len(list_filter(fails, lambda z: z)) as n_fails
+    from cell, step),
+sums as (select part, filter_order, step, letter,
+    sum(case when earlier = 0 and not here then n else 0 end)::bigint as kept,
+    sum(case when earlier = 0 and here then n else 0 end)::bigint as removed,
+    sum(case when earlier > 0 and here then n else 0 end)::bigint as redundant,
+    sum(case when here and n_fails = 1 then n else 0 end)::bigint as unique_fails,
+    sum(case when earlier = 0 and here then good else 0 end)::bigint as good_lost,
+    sum(case when earlier = 0 and here then toxic else 0 end)::bigint as toxic_lost
+    from walk group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) over (partition by part, letter))::bigint as shapley from sums"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": quality_rules_sql(), "op10_chat_quotation": chat_sql()}
+    return {"op9_quality_rules": quality_rules_sql(), "op10_chat_quotation": chat_sql(),
+            "op11_tree_merge": exact_dedup_sql(), "op12_filter_audit": audit_sql()}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, orc_tokens, packing, quality, quotation, sharding, simhash,
-               substring, suffixes, topk)
+from . import (audit, bpe, exact_dedup, orc_tokens, packing, quality, quotation, sharding,
+               simhash, substring, suffixes, topk, whitening)
 from .common import stored, table
 
 #: Where the public tokenizers lie; a parameter, never copied.
@@ -93,5 +93,24 @@ def op10_chat_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotation.format_chat(table(spark, sf_dir, "conversations"))
 
 
+def op11_tree_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its equal texts."""
+    return exact_dedup.classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept",
+        F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the 120 orders of five filters removes, per source."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on their sixteen first components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_recompression, op2_bpe, op3_orc_tokens, op4_simhash, op5_suffix_array, op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation)}
+    op1_recompression, op2_bpe, op3_orc_tokens, op4_simhash, op5_suffix_array,
+    op6_best_fit, op7_slot_sharding, op8_kd_top_k, op9_quality_rules, op10_chat_quotation,
+    op11_tree_merge, op12_filter_audit, op13_whitening)}

@@ -25,9 +25,13 @@ COLUMNS = {
     "op8_kd_top_k": "query_id rank vec_id score",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words"
                          " base_failed kept",
+    "op11_tree_merge": "doc_id keep_id group_size kept text_sha256",
+    "op12_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost"
+                         " toxic_lost shapley",
+    "op13_whitening": "vec_id component n deviation whitened explained identity_error",
     "op10_chat_quotation": "conv_id turn role parent_turn root_turn depth n_quoted body chat",
 }
-INTS = {"piece", "rank", "shard", "grown_shard"}
+INTS = {"piece", "rank", "shard", "grown_shard", "step", "component"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -52,4 +56,4 @@ def test_columns_and_rows(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
