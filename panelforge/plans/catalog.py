@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions import (half_open_window, in_day, in_year, round_doubles,
                          safe_cast)
 from ..operators import analytics, clean, model, panel, quality, reshape
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import delete_path, ensure_checkpoint_dir, scratch_path
 from ..sources import files, sinks
 from . import bindings as B
 
@@ -446,7 +446,9 @@ def stream_ingest_edge(spark, sf_dir):
     """The ingest fed with what real files do: other column orders and an extra
     column, junk dates, rows without a key, keys with letters; then a second
     batch with corrected dates (some move to another day) and, in a later file of
-    the same batch, a second version of some keys."""
+    the same batch, a second version of some keys; then the stream's state is lost
+    and the next run reads all files again, with a last one that moves more keys.
+    Folder and file names hold blanks, percent signs and glob characters."""
     from ..streaming.ingest import ingest_available_now
     n = F.col("unique_key").cast("bigint")
     feed = _event_feed(spark, sf_dir).withColumn("n", n)
@@ -464,11 +466,17 @@ def stream_ingest_edge(spark, sf_dir):
     landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
     columns = [c for c in feed.columns if c != "n"]
     first.select("agency", *reversed(columns)).write.option("header", "true") \
-        .csv(f"{landing}/2024/a")
+        .csv(f"{landing}/2024/a 100%")
     ingest_available_now(spark, landing, table, ckpt)
-    for name, df in (("b", moved), ("c", copy)):
+    for name, df in (("b%20", moved), ("c+", copy)):
         df.select(*columns).write.option("header", "true").csv(f"{landing}/2024/{name}")
     ingest_available_now(spark, landing, table, ckpt)
+    delete_path(spark, f"{ckpt}/state")
+    last = known.filter(F.col("n") % 89 == 0).withColumn("created_date", F.date_format(
+        F.col("created_date").cast("timestamp_ntz") + F.expr("INTERVAL 2 DAY"),
+        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).withColumn("complaint_type", F.lit("after reset"))
+    last.select(*columns).write.option("header", "true").csv(f"{landing}/2024/d")
+    ingest_available_now(spark, landing, table, ckpt)
     return spark.read.schema("unique_key string, created_date timestamp_ntz, "
                              "complaint_type string, incident_zip string, "
                              "community_board string, borough string, day date") \
@@ -498,9 +506,9 @@ def csv_complaints(spark, sf_dir):
     raw = B.complaints_raw(spark, sf_dir).withColumn("extra", F.lit("x"))
     base = scratch_path(spark, "csv_complaints")
     even = F.col("unique_key").cast("bigint") % 2 == 0
-    raw.filter(even).drop("extra").write.option("header", "true").csv(f"{base}/in/even")
+    raw.filter(even).drop("extra").write.option("header", "true").csv(f"{base}/in/even 100%")
     raw.filter(~even).select(*reversed(raw.columns)).write.option("header", "true") \
-        .option("compression", "gzip").csv(f"{base}/in/more/odd")
+        .option("compression", "gzip").csv(f"{base}/in/more/odd%20")
     rows = clean.complaints_clean(files.read_csv_by_header(spark, f"{base}/in"))
     sinks.write_parquet(rows, f"{base}/out")
     return spark.read.parquet(f"{base}/out")
@@ -584,21 +592,21 @@ def replaced_loads(spark, sf_dir):
 
 @query("panel_left_join")
 def panel_left_join(spark, sf_dir):
-    """The panel with entity-periods that have no complaints (count 0): one
-    complaint type is left out so that some have none."""
-    p, s, _ = _facts(spark, sf_dir)
-    some = B.complaints(spark, sf_dir).filter(
-        F.col("unique_key").cast("bigint") % 40 == 0)
-    return panel.signals_panel(p, s, model.fct_complaints_total(some), how="left",
-                               upto="rate")
+    """The panel with entity-periods that have no complaints (count 0).  Whole
+    tables; the complaints are looked up a year later than they were made, so
+    the first years of the panel have none."""
+    p, s, c = _facts(spark, sf_dir)
+    later = c.withColumn("year", F.col("year") + 1)
+    return panel.signals_panel(p, s, later, how="left", upto="rate")
 
 
 @query("panel_calendar_lag")
 def panel_calendar_lag(spark, sf_dir):
-    """Lags to exactly the year before (NULL across a gap): 1997 is left out."""
-    p, s, c = _facts(spark, sf_dir)
-    gap = p.filter(F.col("year") != SLICE_YEAR)
-    return panel.signals_panel(gap, s, c, lag_mode="calendar", upto="lag")
+    """Lags to exactly the year before (NULL across a gap).  Whole tables; from
+    1997 on the years count one more in every fact, so 1997 is a gap."""
+    gap = F.when(F.col("year") >= SLICE_YEAR, F.col("year") + 1).otherwise(F.col("year"))
+    p, s, c = (f.withColumn("year", gap) for f in _facts(spark, sf_dir))
+    return panel.signals_panel(p, s, c, lag_mode="calendar", upto="lag")
 
 
 @query("grain_check_lines")

@@ -533,32 +533,32 @@ WITH e AS (
   FROM events),
 v AS (
   SELECT k AS unique_key,
-         CASE WHEN k IS NOT NULL AND event_id % 77 = 0 THEN ts
+         CASE WHEN k IS NOT NULL AND event_id % 89 = 0 THEN ts + INTERVAL 2 DAY
+              WHEN k IS NOT NULL AND event_id % 77 = 0 THEN ts
               WHEN k IS NOT NULL AND event_id % 50 = 0 THEN ts + INTERVAL 1 DAY
               WHEN event_id % 97 = 0 THEN NULL ELSE ts END AS created_date,
-         CASE WHEN k IS NOT NULL AND event_id % 77 = 0 THEN 'copy'
+         CASE WHEN k IS NOT NULL AND event_id % 89 = 0 THEN 'after reset'
+              WHEN k IS NOT NULL AND event_id % 77 = 0 THEN 'copy'
               WHEN k IS NOT NULL AND event_id % 50 = 0 THEN 'moved'
               ELSE event_type END AS complaint_type,
          CAST(user_id AS VARCHAR) AS incident_zip, event_type AS community_board,
          'events' AS borough
-  FROM e)
-SELECT *, CAST(created_date AS DATE) AS day FROM v"""
+  FROM e),
+-- the stream that starts over reads every file again: rows without a key cannot
+-- be told apart and are kept once more
+twice AS (SELECT * FROM v UNION ALL SELECT * FROM v WHERE unique_key IS NULL)
+SELECT *, CAST(created_date AS DATE) AS day FROM twice"""
 
 SQL["panel_left_join"] = (WITH_FACTS + panel_stages()).replace(
     "  JOIN ft t USING (zip_code, year)),", "  LEFT JOIN ft0 t USING (zip_code, year)),") \
     .replace(",\nj AS (", """,
-ft0 AS (
-  SELECT TRIM(incident_zip) AS zip_code,
-         CAST(YEAR(created_date) AS INTEGER) AS year,
-         COUNT(DISTINCT unique_key) AS complaint_count
-  FROM cmp WHERE incident_zip IS NOT NULL AND created_date IS NOT NULL
-    AND CAST(unique_key AS BIGINT) % 40 = 0
-  GROUP BY ALL),
+ft0 AS (SELECT zip_code, CAST(year + 1 AS INTEGER) AS year, complaint_count FROM ft),
 j AS (""") + _rounded("r")
 
 # A calendar lag is the row of exactly the year before, found by a join.
 SQL["panel_calendar_lag"] = WITH_FACTS + panel_stages() + """,
-rg AS (SELECT * FROM r WHERE year <> 1997),
+rg AS (SELECT * REPLACE (CAST(CASE WHEN year >= 1997 THEN year + 1 ELSE year END AS INTEGER)
+                         AS year) FROM r),
 cal AS (
   SELECT c.*, q.avg_home_price AS prev_avg_home_price,
          q.complaints_per_1k_population AS prev_complaints_per_1k_population,

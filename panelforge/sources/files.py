@@ -8,7 +8,11 @@ disagree on column order, the distinct header lines.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +28,10 @@ FILE_PATH = "_metadata.file_path"
 # --------------------------------------------------------------------- CSV --
 
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
-                     multiline: bool = False, **options) -> DataFrame:
-    """Header CSV read with every column as a string (no inference pass).
+                     multiline: bool = False, columns: Sequence[str] | None = None,
+                     **options) -> DataFrame:
+    """Header CSV read with every column as a string (no inference pass);
+    ``columns``, where known, are the header's names in order.
 
     Typing happens afterwards with tolerant casts by column *name*.
     ``multiline`` keeps quoted newlines inside one record at the cost of
@@ -37,23 +43,64 @@ def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
                    .option("mode", "PERMISSIVE"))
     for k, v in options.items():
         reader = reader.option(k, v)
+    if columns:
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+def literal_path(path: str) -> str:
+    """A file's path as a reader's argument (readers take paths for globs)."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def path_of(uri: str) -> str:
+    """The path of a ``_metadata.file_path``, which is an encoded URI."""
+    return unquote(uri)
+
+
+#: Files up to this many bytes are scanned for their first line together; of
+#: larger ones a task each reads the first buffer.
+SMALL_FILE = 8 << 20
+
+
 def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, header, landed): the first line of every file, nested folders
-    included, found on executors (compressed files are read like any other; a
-    file's lines collapse to its first one inside each task)."""
-    lines = (spark.read.format("text").option("recursiveFileLookup", "true")
-                  .load(path if isinstance(path, str) else list(path))
+    included, found on executors (compressed files are read like any other).
+    Small files are scanned in one job, in which a file's lines collapse to the
+    first inside each task; a large file's first line is a limited read of its
+    own, so no file costs more than ``SMALL_FILE`` bytes."""
+    paths = path if isinstance(path, str) else list(path)
+    large = F.col("_metadata.file_size") > SMALL_FILE
+    lines = (spark.read.format("text").option("recursiveFileLookup", "true").load(paths)
+                  .filter(~large & (F.col("_metadata.file_block_start") == 0))
                   .select("value", F.col(FILE_PATH).alias("file"),
-                          F.col("_metadata.file_block_start").alias("at"),
                           F.col("_metadata.file_modification_time").alias("landed")))
-    first = F.min_by("value", "n")
-    return (lines.filter(F.col("at") == 0)
-                 .withColumn("n", F.monotonically_increasing_id()).groupBy("file")
-                 .agg(F.trim(F.regexp_replace(first, "^\ufeff", "")).alias("header"),
-                      F.max("landed").alias("landed")))
+    small = (lines.withColumn("n", F.monotonically_increasing_id()).groupBy("file")
+                  .agg(F.min_by("value", "n").alias("header"), F.max("landed").alias("landed")))
+    rest = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+                 .filter(large).select(F.col(FILE_PATH).alias("file"), "modificationTime").collect())
+
+    def first(file):
+        row = spark.read.text(literal_path(path_of(file["file"]))).first()
+        return file["file"], row[0] if row else "", file["modificationTime"]
+
+    out = small
+    if rest:
+        with ThreadPoolExecutor(16) as pool:
+            found = list(pool.map(first, rest))
+        out = small.unionByName(spark.createDataFrame(found, small.schema))
+    return out.withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
+
+
+def header_columns(header: str, sep: str = ",", quote: str = '"') -> list[str] | None:
+    """Column names of a header line; empty and repeated ones get their position,
+    as Spark's reader names them.  None if the header goes on in a next line."""
+    if header.count(quote) % 2:
+        return None
+    names = next(csv.reader([header], delimiter=sep, quotechar=quote), [])
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n
+            for i, n in enumerate(names)]
 
 
 def read_csv_by_header(spark: SparkSession, path: str | Sequence[str],
@@ -64,18 +111,21 @@ def read_csv_by_header(spark: SparkSession, path: str | Sequence[str],
     Spark's CSV reader takes the header of one file and binds the others by
     *position*.  Files are grouped by their header line, each group is read on
     its own, and the groups are unioned by name (a column missing in a group is
-    NULL there).  What reaches the driver is one row per header with its files'
+    NULL there).  File names may hold any character.  What reaches the driver is one row per header with its files'
     names, like any file listing.  ``with_file`` adds ``__file`` and
     ``__landed`` (the file's modification time).
     """
     groups = (file_headers(spark, path).groupBy("header")
-              .agg(F.sort_array(F.collect_list("file")).alias("files"))
+              .agg(F.sort_array(F.collect_set("file")).alias("files"))
               .orderBy("header").collect())
     if not groups:
         raise ValueError(f"no input files under {path}")
     frames = []
     for g in groups:
-        df = read_csv_strings(spark, g["files"], multiline, **options)
+        # the names are known, so no file is read for them once more
+        names = header_columns(g["header"], options.get("sep", ","), options.get("quote", '"'))
+        df = read_csv_strings(spark, [literal_path(path_of(f)) for f in g["files"]],
+                              multiline, names, **options)
         if with_file:
             df = df.select("*", F.col(FILE_PATH).alias("__file"),
                            F.col("_metadata.file_modification_time").alias("__landed"))

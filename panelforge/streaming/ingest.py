@@ -3,9 +3,10 @@
 * ``ingest_available_now`` – new CSV files in a landing folder are cleaned and
   merged into a day-partitioned Parquet table.  Every micro-batch re-writes only
   the days it touches (also days that hold older versions of its keys) and keeps
-  one row per key, the latest delivery.  A batch is staged before it is swapped
-  in, and a finished stage is used again by a replay, so a job that dies in the
-  middle of a swap loses nothing.
+  one row per key, the latest delivery; which days those are, an index bucketed
+  by key hash says.  A batch is staged before it is swapped in, and a finished
+  stage is used again by a replay of that batch, so a job that dies in the middle
+  of a swap loses nothing.
 * ``dedup_stream`` – streaming de-duplication on the event key with a
   watermark (state is bounded by the watermark delay).
 * ``daily_counts_stream`` – tumbling one-day counts with a watermark.
@@ -13,6 +14,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +26,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import utc_date, utc_instant
 from ..operators.clean import COMPLAINT_COLUMNS, complaints_clean
 from ..session import delete_path
-from ..sources.files import read_csv_by_header
+from ..sources.files import literal_path, read_csv_by_header
 from ..sources.sinks import overwrite_slices
 
 #: Files of one micro-batch (a first backfill then comes in several batches).
 FILES_PER_BATCH = 1000
+#: Buckets of a table's key index, fixed for its life (they are in its name).
+KEY_BUCKETS = 256
 #: Delivery columns that a batch may carry: the later, the better.
 DELIVERY = ("__epoch", "__landed", "__file")
 
@@ -95,42 +100,79 @@ def _in_days(day: str, days: Sequence) -> F.Column:
     return hit | F.col(day).isNull() if len(known) < len(days) else hit
 
 
+def key_index(target: str, buckets: int) -> str:
+    """Folder of the table's key index: (key, day) by bucket of the key's hash."""
+    return f"{target.rstrip('/')}_keys{buckets}"
+
+
+def _bucket(key: str, buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def read_key_index(spark: SparkSession, index: str, columns: str, touched: Sequence[int]) -> DataFrame:
+    """The index rows of some buckets; other buckets' files are not listed."""
+    return spark.read.schema(f"{columns}, bucket int").parquet(index) \
+        .filter(F.col("bucket").isin(list(touched)))
+
+
+def _write_index(rows: DataFrame, index: str) -> None:
+    overwrite_slices(rows, index, "bucket")
+
+
 def merge_into_days(batch: DataFrame, target: str, staging: str,
                     key: str = "unique_key", day: str = "day",
-                    epoch: int = 0) -> None:
+                    epoch: int = 0, buckets: int = KEY_BUCKETS) -> None:
     """Merge one batch into a day-partitioned table, one row per key; a key
     delivered again replaces the stored row, also when its day has changed
     (latest delivery wins).  Rows without a day are a slice of their own.
 
-    The days that the batch touches and the days that hold its keys so far (found
-    by the key column alone) are read back, reduced to the latest row per key and
-    staged with the list of those days; lists of days are bounded by the calendar.
-    Then the staged days replace the stored ones, and a day that has no row left
-    is removed.  If the staged folder of this ``staging`` path is complete, the
-    batch was staged before: only the swap is done again.
+    An index beside the table says which day holds a key.  The days that the
+    batch touches and, from the index buckets of its keys, the days that hold
+    them so far are read back, reduced to the latest row per key and staged
+    together with the list of those days and the new content of those buckets;
+    lists of days and of buckets are bounded by the calendar and ``buckets``.
+    Then the staged days and buckets replace the stored ones, and a day that has
+    no row left is removed.  If the staged folder is complete, the batch was
+    staged before: only the swap is done again; delete it once the batch is done.
+    A table without an index gets one by one scan of its keys.
     """
     spark = batch.sparkSession
-    rows, touched = f"{staging.rstrip('/')}/rows", f"{staging.rstrip('/')}/days"
+    rows, touched, keys = (f"{staging.rstrip('/')}/{x}" for x in ("rows", "days", "keys"))
     columns = [c for c in batch.columns if c not in DELIVERY]
     schema = batch.select(*columns).schema
+    index = key_index(target, buckets)
+    pairs = f"`{key}` {schema[key].dataType.simpleString()}, `{day}` {schema[day].dataType.simpleString()}"
     if not _exists(spark, f"{touched}/_SUCCESS"):
         marked = batch.withColumn("__epoch", F.lit(epoch).cast("bigint"))
         order = [c for c in DELIVERY if c in marked.columns]
         days = {r[0] for r in batch.select(day).distinct().collect()}
         if not days:
             return
+        known = batch.select(key, _bucket(key, buckets).alias("bucket")) \
+            .filter(F.col(key).isNotNull()).distinct()
+        hit = [r[0] for r in known.select("bucket").distinct().collect()]
+        before = spark.createDataFrame([], f"{pairs}, bucket int")
         # The table folder exists once a first non-empty batch was stored (a
         # dynamic partition overwrite leaves no _SUCCESS marker at the root).
         if _exists(spark, target):
             stored = spark.read.schema(schema).parquet(target)
-            days |= {r[0] for r in stored.select(key, day).join(
-                batch.select(key), key, "left_semi").select(day).distinct().collect()}
+            if not _exists(spark, index):
+                _write_index(stored.filter(F.col(key).isNotNull())
+                             .select(key, day, _bucket(key, buckets).alias("bucket")), index)
+            if hit and _exists(spark, index):
+                before = read_key_index(spark, index, pairs, hit)
+            days |= {r[0] for r in before.join(known.select(key), key, "left_semi")
+                     .select(day).distinct().collect()}
             older = stored.filter(_in_days(day, list(days))) \
                 .withColumn("__epoch", F.lit(-1).cast("bigint"))
             marked = marked.select(*columns, *order).unionByName(
                 older, allowMissingColumns=True)
         latest_per_key(marked, key, order).select(*columns) \
             .write.mode("overwrite").parquet(rows)
+        now = spark.read.schema(schema).parquet(rows).select(key, day) \
+            .join(known, key).select(key, day, "bucket")
+        before.join(known.select(key), key, "left_anti").select(key, day, "bucket") \
+            .unionByName(now).write.mode("overwrite").parquet(keys)
         spark.createDataFrame([(d,) for d in days], T.StructType([schema[day]])) \
             .coalesce(1).write.mode("overwrite").parquet(touched)
     staged = spark.read.schema(schema).parquet(rows)
@@ -140,6 +182,12 @@ def merge_into_days(batch: DataFrame, target: str, staging: str,
         if d not in left:
             name = "__HIVE_DEFAULT_PARTITION__" if d is None else d
             delete_path(spark, f"{target.rstrip('/')}/{day}={name}")
+    _write_index(spark.read.schema(f"{pairs}, bucket int").parquet(keys), index)
+
+
+def stream_id(spark: SparkSession, state: str) -> str:
+    """The id that Spark gave the stream of this checkpoint folder."""
+    return json.loads(spark.read.text(f"{state}/metadata").first()[0])["id"]
 
 
 def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
@@ -153,18 +201,33 @@ def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
     so files may order their columns differently or carry more of them.
     Progress (which files were consumed) lives in ``checkpoint``; run it
     again after new files land and only those are read.
+
+    A staged batch is named by its stream, its number and its files (with their
+    times), so it is taken up again by a replay of that batch only, never by
+    another stream that starts over in the same folder: such a stream reads all
+    files again and clears away what it did not stage.
     """
+    base = checkpoint.rstrip("/")
+
     def each_batch(files: DataFrame, epoch_id: int) -> None:
-        staging = f"{checkpoint.rstrip('/')}/staging/epoch={epoch_id}"
-        paths = [r.path for r in files.select("path").collect()]
-        if not paths:
+        session = files.sparkSession
+        # a set: beside a name with glob characters the source lists files twice
+        landed = sorted({(r.path, str(r.modificationTime)) for r in
+                         files.select("path", "modificationTime").collect()})
+        if not landed:
             return
-        raw = read_csv_by_header(files.sparkSession, paths, multiline=True, with_file=True)
+        named = json.dumps([stream_id(session, f"{base}/state"), epoch_id, landed])
+        staging = f"{base}/staging/{hashlib.sha256(named.encode()).hexdigest()[:24]}"
+        if not _exists(session, staging):
+            delete_path(session, f"{base}/staging")
+        raw = read_csv_by_header(session, [literal_path(p) for p, _ in landed],
+                                 multiline=True, with_file=True)
         merge_into_days(landed_complaints(raw, ts), target, staging, key=key, epoch=epoch_id)
+        delete_path(session, staging)
 
     q = (landed_files(spark, src_dir, max_files_per_trigger)
          .writeStream.foreachBatch(each_batch)
-         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/state")
+         .option("checkpointLocation", f"{base}/state")
          .trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()

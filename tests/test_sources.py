@@ -56,6 +56,46 @@ def test_csv_positional_trap_is_avoided(spark, tmp):
     assert got == [("1", "2"), ("10", "20")]
 
 
+ODD_NAMES = ["a b.csv", "c[1].csv", "d%20e.csv", "e{x}.csv", "f?.csv", "g*.csv", "h+,=.csv",
+             "i\\j.csv", "k#é.csv"]
+
+
+def test_csv_files_with_odd_names(spark, tmp):
+    for i, name in enumerate(ODD_NAMES):
+        write(f"{tmp}/in/sub {i % 2}[x]/{name}", "x,y\n1,2\n" if i % 2 else "y,x\n2,1\n")
+        write(f"{tmp}/in/sub {i % 2}[x]/empty {i}.csv", "")
+    df = files.read_csv_by_header(spark, f"{tmp}/in", with_file=True)
+    assert [(r.x, r.y) for r in df.collect()] == [("1", "2")] * len(ODD_NAMES)
+    assert {files.path_of(r["__file"]).rsplit("/", 1)[1] for r in df.collect()} == set(ODD_NAMES)
+
+
+def test_headers_with_quotes_gaps_and_repeats(spark, tmp):
+    write(f"{tmp}/in/a.csv", '\ufeff"a,1",,b,B\n1,2,3,4\n')
+    write(f"{tmp}/in/b.csv", '"two\nlines",b\n5,6\n')
+    df = files.read_csv_by_header(spark, f"{tmp}/in", multiline=True)
+    rows = [{k: v for k, v in r.asDict().items() if v} for r in df.collect()]
+    assert {"a,1": "1", "_c1": "2", "b2": "3", "B3": "4"} in rows
+    assert {"two\nlines": "5", "b": "6"} in rows
+
+
+def bytes_read(spark):
+    return sum(s.getBytesRead() for s in
+               spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_headers_of_large_files_cost_a_buffer_each(spark, tmp):
+    line = "x" * 90 + ",1\n"
+    for i in range(3):
+        write(f"{tmp}/in/{i} [x].csv", "a,b\n" + line * 200_000)  # 18 MB each
+    write(f"{tmp}/in/small.csv", "c\n1\n")
+    before = bytes_read(spark)
+    got = files.file_headers(spark, f"{tmp}/in").collect()
+    assert sorted(r.header for r in got) == ["a,b"] * 3 + ["c"]
+    assert all(r.landed for r in got)
+    assert bytes_read(spark) - before < 3 * 200_000
+    assert files.read_csv_by_header(spark, f"{tmp}/in").count() == 600_001
+
+
 WIDE = (
     "RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName,"
     "1999-12-31,2020-01-31,2020-02-29,20xx-note\n"

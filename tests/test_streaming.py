@@ -170,3 +170,69 @@ def test_rows_without_a_date_are_counted(spark, tmp):
     ingest.daily_counts_available_now(spark, src, f"{tmp}/out", f"{tmp}/c")
     assert {str(r.load_date): r.daily_count for r in spark.read.parquet(f"{tmp}/out").collect()} \
         == {"2024-01-01": 1, "None": 1}
+
+
+def test_a_reset_stream_does_not_use_another_streams_stage(spark, tmp):
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    for k in (1, 2, 3):
+        land(src, f"{k}.csv", [row(k, k)])
+        ingest.ingest_available_now(spark, src, target, ckpt)
+    os.rename(f"{ckpt}/state", f"{ckpt}/lost")
+    land(src, "4.csv", [row(4, 3)])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    assert sorted(r.unique_key for r in spark.read.parquet(target).collect()) == list("1234")
+
+
+def test_stages_go_and_a_foreign_stage_is_cleared(spark, tmp):
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    os.makedirs(f"{ckpt}/staging/epoch=0/rows")
+    for k in range(1, 6):
+        land(src, f"{k}.csv", [row(k, k % 2 + 1)])
+        ingest.ingest_available_now(spark, src, target, ckpt)
+        left = os.listdir(f"{ckpt}/staging") if os.path.exists(f"{ckpt}/staging") else []
+        assert left == []
+    assert spark.read.parquet(target).count() == 5
+    assert os.path.isdir(ingest.key_index(target, ingest.KEY_BUCKETS))
+
+
+def test_batch_reads_the_index_buckets_of_its_keys_only(spark, tmp):
+    make = lambda rows: spark.createDataFrame(
+        rows, "unique_key string, complaint_type string, day string")
+    target = f"{tmp}/t"
+    ingest.merge_into_days(make([(f"k{i}", "a", f"2024-01-{i % 9 + 1:02d}") for i in range(300)]),
+                           target, f"{tmp}/s0", buckets=16)
+    index = ingest.key_index(target, 16)
+    one = ingest.read_key_index(spark, index, "unique_key string, day string", [3])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:60]
+    assert len(one.inputFiles()) and 0 < one.count() < 60
+    # every bucket but those of the moved key is left as it was
+    at = {b: os.listdir(f"{index}/{b}") for b in os.listdir(index) if b.startswith("bucket")}
+    ingest.merge_into_days(make([("k7", "b", "2024-02-01")]), target, f"{tmp}/s1", buckets=16)
+    now = {b: os.listdir(f"{index}/{b}") for b in os.listdir(index) if b.startswith("bucket")}
+    assert sum(at[b] != now[b] for b in at) == 1
+    rows = spark.read.parquet(target).filter("unique_key = 'k7'").collect()
+    assert [(r.complaint_type, str(r.day)) for r in rows] == [("b", "2024-02-01")]
+    got = spark.read.parquet(index).select("unique_key", F.col("day").cast("string"))
+    want = spark.read.parquet(target).select("unique_key", F.col("day").cast("string"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_table_without_an_index_gets_one(spark, tmp):
+    make = lambda rows: spark.createDataFrame(
+        rows, "unique_key string, complaint_type string, day string")
+    target = f"{tmp}/t"
+    make([("1", "a", "2024-01-01"), ("2", "a", "2024-01-02"), (None, "a", "2024-01-02")]) \
+        .write.partitionBy("day").parquet(target)
+    ingest.merge_into_days(make([("2", "b", "2024-01-03")]), target, f"{tmp}/s")
+    got = sorted((r.unique_key or "", r.complaint_type, str(r.day))
+                 for r in spark.read.parquet(target).collect())
+    assert got == [("", "a", "2024-01-02"), ("1", "a", "2024-01-01"), ("2", "b", "2024-01-03")]
+
+
+def test_odd_file_names_are_ingested(spark, tmp):
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    for i, name in enumerate(["a b.csv", "c[1].csv", "d%20e.csv", "e{x}.csv", "f?.csv"]):
+        land(src, name, [row(i, 1)])
+    ingest.ingest_available_now(spark, src, target, ckpt)
+    assert spark.read.parquet(target).count() == 5
