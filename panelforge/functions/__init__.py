@@ -139,6 +139,27 @@ def days_ago(n: int) -> Column:
     return F.date_sub(F.current_date(), n)
 
 
+def run_day(run_date, back: int = 0) -> Column:
+    """The date ``back`` days before a run date, which may be a date, a
+    ``yyyy-MM-dd`` string, a Column (also a scalar subquery) or None for today."""
+    d = F.current_date() if run_date is None else \
+        run_date if isinstance(run_date, Column) else F.lit(run_date)
+    return F.date_sub(d.cast("date"), back)
+
+
+def rolling_days(day: ColumnOrName, run_date=None, back: int = 2, days: int = 1) -> Column:
+    """Rows of ``days`` days ending ``back`` days before the run date.  On a day
+    partition column the bounds prune partitions, at planning time for a literal
+    run date, at run time for a scalar subquery."""
+    x = _c(day)
+    return (x >= run_day(run_date, back + days - 1)) & (x <= run_day(run_date, back))
+
+
+def rolling_year(year: ColumnOrName, run_date=None, back: int = 0) -> Column:
+    """Rows of the year ``back`` years before the run date's."""
+    return _c(year) == F.year(run_day(run_date)) - back
+
+
 def day_bounds(day: str | Column, closed: bool = False):
     """Zone-less timestamp bounds of one calendar day (a ``yyyy-MM-dd``
     string or a date Column): ``[00:00:00, next midnight)``, or on request the

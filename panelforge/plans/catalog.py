@@ -8,6 +8,7 @@ across engines; the library operators themselves never round.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import (half_open_window, in_day, in_year, round_doubles,
-                         safe_cast)
+from ..functions import (half_open_window, in_day, in_year, rolling_days,
+                         round_doubles, safe_cast, utc_date)
 from ..operators import analytics, clean, model, panel, quality, reshape
 from ..session import delete_path, ensure_checkpoint_dir, scratch_path
-from ..sources import files, sinks
+from ..sources import files, loads, periods, sinks
 from . import bindings as B
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,8 @@ DAILY_CAP = 350
 PAGE_SIZE, PAGE_OVERLAP = 1000, 50
 PREVIEW_ROWS = 50
 TOP_K = 20
+PERIOD_FOLDER = r"data_year=(\d{4})"
+YEARS = range(1991, 2013)                  # the periods that documents are expected for
 # model column -> source field name (the fixed values live in clean.py)
 SOCIO_COLUMNS = {"NAME": "NAME",
                  **{v: k for k, v in clean.SOCIO_RENAMES.items()}}
@@ -254,23 +257,42 @@ def prices_clean_q(spark, sf_dir):
     return clean.prices_clean(B.prices_wide(spark, sf_dir), ALLOWED_ZIPS)
 
 
-@query("socio_clean")
-def socio_clean_q(spark, sf_dir):
-    """Socio matrix documents written one file set per year, read back with
-    one glob (the year comes from the file name), renamed and typed."""
+def _write_socio_docs(spark, sf_dir, path):
+    """Socio matrix documents, one folder per year: the per-period file template."""
     raw = B.socio_raw_strings(spark, sf_dir)
     header = ["NAME", *[v for k, v in SOCIO_COLUMNS.items() if k != "NAME"]]
     docs = files.pack_matrix_docs(
         raw, header,
         ["data_year", F.floor(F.col("l_orderkey") / 1000).alias("chunk")])
-    docs = docs.select("data_year", "value")
+    docs.select("data_year", "value").hint("rebalance", "data_year") \
+        .write.mode("overwrite").partitionBy("data_year").text(path)
+    return header
+
+
+@query("period_status")
+def period_status(spark, sf_dir):
+    """Ledger of the socio document set: every expected year with its files,
+    documents, rows and status.  Beside the whole set lie a year whose document is
+    cut off, one with a header only and one with an empty file; others are absent."""
+    path = scratch_path(spark, "socio_ledger")
+    header = _write_socio_docs(spark, sf_dir, path)
+    spoilt = spark.createDataFrame(
+        [(2010, '[["NAME","B19013_001E"],["a",'), (2011, json.dumps([header])), (2012, "")],
+        "data_year int, value string")
+    spoilt.coalesce(1).write.mode("append").partitionBy("data_year").text(path)
+    ledger = periods.period_status(spark, f"{path}/data_year=*", PERIOD_FOLDER, YEARS, header,
+                                   per_line=True)
+    return ledger.select("period", "n_docs", "n_bad_docs", "n_rows", "status")
+
+
+@query("socio_clean")
+def socio_clean_q(spark, sf_dir):
+    """Socio matrix documents written one file set per year, read back with
+    one glob (the year comes from the file name), renamed and typed."""
     path = scratch_path(spark, "socio_docs")
-    # one folder per year: the per-period file template
-    docs.write.mode("overwrite").partitionBy("data_year").text(path)
-    parsed = files.read_json_matrix(spark, f"{path}/data_year=*",
-                                    {h: h for h in header},
-                                    period_pattern=r"data_year=(\d{4})",
-                                    per_line=True)
+    header = _write_socio_docs(spark, sf_dir, path)
+    parsed, _ = periods.load_periods(spark, f"{path}/data_year=*", PERIOD_FOLDER, YEARS,
+                                     {h: h for h in header}, per_line=True)
     return clean.socio_clean(parsed)
 
 
@@ -282,9 +304,8 @@ def population_clean_q(spark, sf_dir):
     path = scratch_path(spark, "population_docs")
     docs.select("data_year", "value").write.mode("overwrite") \
         .partitionBy("data_year").text(path)
-    rows = files.read_json_payload(spark, f"{path}/data_year=*",
-                                   {h: h for h in B.POP_HEADER},
-                                   per_line=True)
+    rows, _ = periods.load_periods(spark, f"{path}/data_year=*", PERIOD_FOLDER, YEARS,
+                                   {h: h for h in B.POP_HEADER}, "payload", per_line=True)
     return clean.population_clean(rows)
 
 
@@ -405,9 +426,10 @@ def _event_feed(spark, sf_dir):
 
 @query("stream_daily_counts")
 def stream_daily_counts(spark, sf_dir):
-    """Streaming tumbling one-day counts (watermarked event time) over the
-    landed feed plus one re-delivered day.  Raw counts, so the re-delivered
-    day counts twice – the streaming form of the daily load check."""
+    """Streaming counts per calendar day, kept complete, over the landed feed plus
+    one re-delivered day.  Raw counts, so the re-delivered day counts twice – the
+    streaming form of the daily load check (``stream_windows`` has event-time
+    windows)."""
     from ..streaming.ingest import daily_counts_available_now
     feed = _event_feed(spark, sf_dir)
     base = scratch_path(spark, "stream_daily")
@@ -582,12 +604,139 @@ def replaced_loads(spark, sf_dir):
     for df in (by_type, late):
         sinks.write_parquet(df, path, files=1)
         sinks.replace_table(df, name)
-    one = spark.read.parquet(path).select(F.lit("file").alias("kind"), "*")
-    table = spark.createDataFrame(spark.table(name).collect(), late.schema) \
-        .select(F.lit("table").alias("kind"), "*")  # as many rows as types
-    sinks.insert_overwrite(by_type.select("n_keys", "complaint_type"), name)
-    return one.unionByName(table).unionByName(
-        spark.table(name).select(F.lit("insert").alias("kind"), "*"))
+        sinks.replace_table(df, name + "_2")
+    sinks.insert_overwrite(by_type.select("n_keys", "complaint_type"), name + "_2")
+    kinds = {"file": spark.read.parquet(path), "table": spark.table(name),
+             "insert": spark.table(name + "_2")}
+    out = reshape.union_all_by_name([df.select(F.lit(kind).alias("kind"), "*")
+                                     for kind, df in kinds.items()])
+    sinks.write_parquet(out, path + "-all")
+    for table in (name, name + "_2"):
+        spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(path + "-all")
+
+
+@query("versioned_replace")
+def versioned_replace(spark, sf_dir):
+    """A table replaced as a whole by fresh folders and a switched view; a third
+    load that fails while it is written changes nothing."""
+    c = B.complaints(spark, sf_dir).groupBy("complaint_type").agg(
+        F.countDistinct("unique_key").alias("n_keys"))
+    base = scratch_path(spark, "versions")
+    view = "versioned_" + base.rsplit("-", 1)[1]
+    for sign in (1, -1):
+        sinks.replace_versioned(c.withColumn("n_keys", F.col("n_keys") * sign), base, view)
+    broken = c.withColumn("n_keys", F.when(
+        F.col("complaint_type").isNotNull(), F.raise_error(F.lit("bad load"))).cast("long"))
+    try:
+        sinks.replace_versioned(broken, base, view)
+    except Exception as e:  # noqa: BLE001 - the failure under test
+        if "bad load" not in str(e):
+            raise
+    return spark.table(view)
+
+
+@query("tolerant_load")
+def tolerant_load(spark, sf_dir):
+    """The event feed in one folder per type, one of them not Parquet and one
+    missing: the rows that load, per type, and what was skipped and why."""
+    base = scratch_path(spark, "tolerant")
+    e = B.table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    sinks.overwrite_slices(e.withColumn("kind", F.col("event_type")), f"{base}/in", "kind")
+    e.filter("event_type = 'error'").select("event_type").write.text(f"{base}/in/kind=spoilt")
+    rows, report = loads.tolerant_load(spark, f"{base}/in", f"{base}/out", e.schema,
+                                       ["kind=absent/part-0.parquet"])
+    loaded = rows.groupBy(F.lit("rows").alias("what"), F.col("event_type").alias("name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("sum_id"))
+    nothing = F.lit(0).cast("long")
+    skipped = report.filter("status <> 'loaded'").select(
+        F.col("status").alias("what"), F.split("file", "/")[0].alias("name"),
+        nothing.alias("n_rows"), nothing.alias("sum_id")).distinct()
+    return loaded.unionByName(skipped)
+
+
+@query("load_mixed_types")
+def load_mixed_types(spark, sf_dir):
+    """Line items written by three writers that disagree on types, spelling, order
+    and columns (one with cells that are no numbers), read into one schema."""
+    li = B.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    base = scratch_path(spark, "mixed")
+    by = F.col("l_returnflag")
+    li.filter(by == "A").drop("l_linestatus").write.parquet(f"{base}/a")
+    li.filter(by == "N").select(
+        F.col("l_linenumber").cast("long").alias("L_LINENUMBER"),
+        F.col("l_quantity").cast("int").alias("L_Quantity"), "l_returnflag",
+        F.col("l_orderkey").cast("string"), "l_linestatus").write.parquet(f"{base}/n")
+    li.filter(by == "R").withColumn("l_quantity", F.when(
+        F.col("l_linenumber") == 1, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string"))) \
+        .withColumn("l_orderkey", F.col("l_orderkey").cast("decimal(20,0)")) \
+        .withColumn("extra", F.lit(1)).write.parquet(f"{base}/r")
+    return loads.load_mixed_types(spark, base, T.StructType([
+        T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_quantity", T.DoubleType()), T.StructField("l_returnflag", T.StringType()),
+        T.StructField("l_linestatus", T.StringType())]))
+
+
+@query("rolling_day_slice")
+def rolling_day_slice(spark, sf_dir):
+    """The two days that end two days before the run date (the day after the last
+    one stored), of a day-partitioned feed; the bound is a scalar subquery."""
+    e = B.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.to_date("ts").alias("day"))
+    path = scratch_path(spark, "rolling")
+    sinks.overwrite_slices(e, path, "day")
+    stored = spark.read.parquet(path)
+    run_date = stored.agg(F.date_add(F.max("day"), 1)).scalar()
+    return (stored.filter(rolling_days("day", run_date, back=2, days=2))
+            .groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _two_landings(spark, sf_dir, name, late):
+    """The event feed landed in two parts; ``late`` marks the rows of the second."""
+    feed = _event_feed(spark, sf_dir)
+    base = scratch_path(spark, name)
+
+    def land(part, rows):
+        rows.write.option("header", "true").csv(f"{base}/landing/{part}")
+
+    return base, [lambda: land("1", feed.filter(~late)), lambda: land("2", feed.filter(late))]
+
+
+@query("stream_windows")
+def stream_windows(spark, sf_dir):
+    """Event-time day windows over two resumed runs: the first run gets all but
+    the sign-ups up to the 19th, the second the rest; sign-ups of days that the
+    first run closed are late and counted on the side."""
+    from ..streaming.stateful import window_counts_available_now
+    late = (F.col("created_date") >= "2024-01-20") | (F.col("complaint_type") == "signup")
+    base, landings = _two_landings(spark, sf_dir, "windows", late)
+    for land in landings:
+        land()
+        report = window_counts_available_now(spark, f"{base}/landing/*", f"{base}/out",
+                                             f"{base}/checkpoint", delay="3 days")
+    return report.select(utc_date(F.col("window_start")).alias("load_date"), "n_rows", "n_late",
+                         "closed")
+
+
+@query("stream_dedup_backfill")
+def stream_dedup_backfill(spark, sf_dir):
+    """De-duplication over two resumed runs: the second run backfills the days
+    before the 15th and delivers clicks of later days once more."""
+    from ..streaming.ingest import landed_complaints
+    from ..streaming.stateful import dedup_available_now, deduplicated
+    late = F.col("created_date") < "2024-01-15"
+    base, landings = _two_landings(spark, sf_dir, "backfill", late)
+    landings.append(lambda: _event_feed(spark, sf_dir).filter("complaint_type = 'click'")
+                    .withColumn("complaint_type", F.lit("again"))
+                    .write.option("header", "true").csv(f"{base}/landing/3"))
+    for k, land in enumerate(landings):
+        land()
+        if k != 1:  # the second run gets the backfill and the repeats
+            dedup_available_now(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint")
+    schema = ("unique_key string, created_date timestamp_ntz, complaint_type string, "
+              "incident_zip string, community_board string, borough string, day date")
+    return deduplicated(spark, f"{base}/table", schema)
 
 
 @query("panel_left_join")

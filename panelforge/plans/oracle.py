@@ -583,5 +583,57 @@ SELECT RegionID, SizeRank, zip_code, regiontype, statename, state, city, metro,
 FROM prices ORDER BY zip_code, date, price, RegionID, countyname LIMIT 1000"""
 
 
+SQL["versioned_replace"] = f"""WITH {COMPLAINTS}
+SELECT complaint_type, -COUNT(DISTINCT unique_key) AS n_keys FROM cmp GROUP BY 1"""
+
+SQL["tolerant_load"] = """
+SELECT 'rows' AS what, event_type AS name, COUNT(*) AS n_rows,
+       CAST(SUM(event_id) AS BIGINT) AS sum_id FROM events GROUP BY ALL
+UNION ALL SELECT 'unreadable', 'kind=spoilt', 0, 0
+UNION ALL SELECT 'missing', 'kind=absent', 0, 0"""
+
+SQL["load_mixed_types"] = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN NULL ELSE l_quantity END
+         AS l_quantity, l_returnflag,
+       CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_linestatus END AS l_linestatus
+FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R')"""
+
+SQL["rolling_day_slice"] = """
+SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n_rows FROM events
+WHERE CAST(ts AS DATE) BETWEEN (SELECT MAX(CAST(ts AS DATE)) FROM events) - 2
+                           AND (SELECT MAX(CAST(ts AS DATE)) FROM events) - 1
+GROUP BY ALL"""
+
+SQL["stream_windows"] = """
+WITH e AS (
+  SELECT CAST(ts AS DATE) AS load_date, ts,
+         ts >= TIMESTAMP '2024-01-20' OR event_type = 'signup' AS late FROM events),
+w AS (SELECT MAX(ts) FILTER (WHERE NOT late) - INTERVAL 3 DAY AS w1,
+             MAX(ts) - INTERVAL 3 DAY AS w2 FROM e),
+d AS (
+  SELECT load_date, COUNT(*) FILTER (WHERE late AND load_date + INTERVAL 1 DAY <= w1) AS n_late,
+         COUNT(*) AS n, load_date + INTERVAL 1 DAY <= ANY_VALUE(w2) AS closed
+  FROM e, w GROUP BY load_date)
+SELECT load_date, CASE WHEN closed THEN n - n_late END AS n_rows, n_late, closed FROM d"""
+
+SQL["stream_dedup_backfill"] = SQL["stream_ingest"]
+
+SQL["period_status"] = """
+WITH want AS (SELECT CAST(unnest(range(1991, 2013)) AS INTEGER) AS period),
+docs AS (
+  SELECT CAST(YEAR(l_shipdate) AS INTEGER) AS period,
+         COUNT(DISTINCT l_orderkey // 1000) AS n_docs, COUNT(*) AS n_rows
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+made AS (SELECT 2010 AS period, 1 AS n_docs, 1 AS n_bad_docs, 0 AS n_rows
+         UNION ALL SELECT 2011, 1, 0, 0 UNION ALL SELECT 2012, 0, 0, 0
+         UNION ALL SELECT period, n_docs, 0, n_rows FROM docs)
+SELECT period, COALESCE(n_docs, 0) AS n_docs, COALESCE(n_bad_docs, 0) AS n_bad_docs,
+       COALESCE(n_rows, 0) AS n_rows,
+       CASE WHEN n_docs IS NULL THEN 'absent' WHEN n_rows > 0 THEN 'loaded'
+            WHEN n_bad_docs > 0 THEN 'corrupt' ELSE 'no rows' END AS status
+FROM want FULL JOIN made USING (period)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -5,10 +5,13 @@ Writes are idempotent: re-running a job replaces exactly what it produced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..session import delete_path
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   files: int | None = None,
@@ -47,6 +50,46 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
+def replace_versioned(df: DataFrame, base: str, view: str, keep: int = 2) -> str:
+    """Replace what ``view`` shows as a whole, without a moment in between.
+
+    The rows go to a fresh folder under ``base``; once it is complete, the catalog
+    view is switched to it.  Readers see the old version or the new one, and a run
+    that fails before the switch changes nothing they see.  The newest ``keep``
+    complete versions stay (a reader may still be on the one before); older ones
+    and unfinished folders are removed after the switch.  One writer at a time.
+    Returns the new version's folder."""
+    spark, root = df.sparkSession, base.rstrip("/")
+    done, others = _versions(spark, root)
+    number = max([0, *(int(v[2:12]) for v in done + others)]) + 1
+    path = f"{root}/v={number:010d}"
+    df.write.mode("overwrite").parquet(path)
+    _switch(spark, view, path)
+    for old in others + done[:max(0, len(done) + 1 - keep)]:
+        delete_path(spark, f"{root}/{old}")
+    return path
+
+
+def _switch(spark, view: str, path: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+
+
+def _versions(spark, root: str) -> tuple[list[str], list[str]]:
+    """Names of the complete versions, oldest first, and of unfinished ones."""
+    p = _path(spark, root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return [], []
+    names = sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p))
+                   if re.fullmatch(r"v=\d{10}", n))
+    done = [n for n in names if fs.exists(_path(spark, f"{root}/{n}/_SUCCESS"))]
+    return done, [n for n in names if n not in done]
+
+
+def _path(spark, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """Create-or-replace a (session) view."""
     df.createOrReplaceTempView(name)

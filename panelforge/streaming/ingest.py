@@ -207,6 +207,19 @@ def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
     another stream that starts over in the same folder: such a stream reads all
     files again and clears away what it did not stage.
     """
+    def each(rows: DataFrame, staging: str, epoch_id: int) -> None:
+        merge_into_days(rows, target, staging, key=key, epoch=epoch_id)
+
+    return staged_batches(spark, src_dir, checkpoint, each, ts, max_files_per_trigger, wait)
+
+
+def staged_batches(spark: SparkSession, src_dir: str, checkpoint: str, each,
+                   ts: str = "created_date",
+                   max_files_per_trigger: int | None = FILES_PER_BATCH,
+                   wait: bool = True) -> StreamingQuery:
+    """Run ``each(clean rows, staging folder, epoch)`` on the files not yet seen.
+    The folder is the batch's own (see ``ingest_available_now``) and goes once
+    ``each`` is done."""
     base = checkpoint.rstrip("/")
 
     def each_batch(files: DataFrame, epoch_id: int) -> None:
@@ -222,7 +235,7 @@ def ingest_available_now(spark: SparkSession, src_dir: str, target: str,
             delete_path(session, f"{base}/staging")
         raw = read_csv_by_header(session, [literal_path(p) for p, _ in landed],
                                  multiline=True, with_file=True)
-        merge_into_days(landed_complaints(raw, ts), target, staging, key=key, epoch=epoch_id)
+        each(landed_complaints(raw, ts), staging, epoch_id)
         delete_path(session, staging)
 
     q = (landed_files(spark, src_dir, max_files_per_trigger)

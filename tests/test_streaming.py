@@ -236,3 +236,69 @@ def test_odd_file_names_are_ingested(spark, tmp):
         land(src, name, [row(i, 1)])
     ingest.ingest_available_now(spark, src, target, ckpt)
     assert spark.read.parquet(target).count() == 5
+
+
+def test_windows_in_append_mode_count_late_rows_on_the_side(spark, tmp):
+    from panelforge.streaming import stateful
+    src = f"{tmp}/landing"
+    nodate = ("x", "?", "Noise", "10001", "B1", "X")
+
+    def run():
+        rows = stateful.window_counts_available_now(spark, src, f"{tmp}/out", f"{tmp}/ckpt",
+                                                    delay="2 days").collect()
+        return {str(r.window_start)[:10]: (r.n_rows, r.n_late, r.closed) for r in rows}
+
+    land(src, "a.csv", [row(1, 1), row(2, 1), row(3, 3), row(4, 10), nodate])
+    assert run() == {"2024-01-01": (2, 0, True), "2024-01-03": (1, 0, True),
+                     "2024-01-10": (None, 0, False), "None": (None, 0, False)}
+    # days 1 and 2 are closed: late; day 9 is open yet
+    land(src, "b.csv", [row(5, 1), row(6, 2), row(7, 9), row(8, 20)])
+    assert run() == {"2024-01-01": (2, 1, True), "2024-01-02": (0, 1, True),
+                     "2024-01-03": (1, 0, True), "2024-01-09": (1, 0, True),
+                     "2024-01-10": (1, 0, True), "2024-01-20": (None, 0, False),
+                     "None": (None, 0, False)}
+    assert run()["2024-01-20"] == (None, 0, False)  # nothing new: nothing changes
+
+
+def test_backfill_is_kept_and_repeats_are_dropped(spark, tmp):
+    from panelforge.streaming import stateful
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    schema = ("unique_key string, created_date timestamp_ntz, complaint_type string, "
+              "incident_zip string, community_board string, borough string, day date")
+
+    def run():
+        stateful.dedup_available_now(spark, src, target, ckpt, buckets=8)
+        return sorted((r.unique_key or "", str(r.day), r.complaint_type)
+                      for r in stateful.deduplicated(spark, target, schema).collect())
+
+    nokey = ("", "2024-01-03T10:00:00.000", "Noise", "10001", "B1", "X")
+    other = ("9", "2024-01-20T10:00:00.000", "Second", "10001", "B1", "X")
+    land(src, "a.csv", [row(9, 20), row(9, 20), row(8, 21), nokey])
+    assert run() == [("", "2024-01-03", "Noise"), ("8", "2024-01-21", "Noise"), ("9", "2024-01-20", "Noise")]
+    land(src, "b.csv", [row(1, 1), other, row(2, 2), nokey])  # a backfill of older days
+    want = [("", "2024-01-03", "Noise")] * 2 + [
+        ("1", "2024-01-01", "Noise"), ("2", "2024-01-02", "Noise"),
+        ("8", "2024-01-21", "Noise"), ("9", "2024-01-20", "Noise")]
+    assert run() == want
+    assert run() == want
+
+
+def test_dedup_batch_that_dies_after_staging_is_taken_up(spark, tmp, monkeypatch):
+    import pytest
+    from panelforge.streaming import stateful
+    src, target, ckpt = f"{tmp}/landing", f"{tmp}/clean", f"{tmp}/ckpt"
+    land(src, "a.csv", [row(1, 1), row(2, 2)])
+    real = stateful.overwrite_slices
+
+    def dies(*_):
+        raise RuntimeError("lost in the swap")
+
+    monkeypatch.setattr(stateful, "overwrite_slices", dies)
+    with pytest.raises(Exception):
+        stateful.dedup_available_now(spark, src, target, ckpt, buckets=4)
+    monkeypatch.setattr(stateful, "overwrite_slices", real)
+    stateful.dedup_available_now(spark, src, target, ckpt, buckets=4)
+    land(src, "b.csv", [row(2, 2), row(3, 3)])
+    stateful.dedup_available_now(spark, src, target, ckpt, buckets=4)
+    rows = stateful.deduplicated(spark, target, "unique_key string, day date").collect()
+    assert sorted(r.unique_key for r in rows) == ["1", "2", "3"]
