@@ -95,6 +95,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch folders there are, for ``drop_scratch_since``."""
+    return len(_SCRATCH.get(spark, []))
+
+
+def drop_scratch_since(spark: SparkSession, mark: int, keep: str) -> int:
+    """Delete the scratch folders made since ``mark`` but ``keep``: the
+    intermediates of a result that was stored in ``keep``."""
+    paths = _SCRATCH.get(spark, [])
+    done = [p for p in paths[mark:] if p != keep]
+    paths[mark:] = [p for p in paths[mark:] if p == keep]
+    return sum(delete_path(spark, p) for p in done)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete every scratch folder this session has made so far.
 

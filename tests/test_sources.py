@@ -272,3 +272,14 @@ def test_scratch_is_dropped(spark):
     spark.range(3).write.parquet(path)
     assert drop_scratch(spark) == 1
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_intermediates_are_dropped_and_the_result_stays(spark):
+    from panelforge.session import drop_scratch_since, scratch_mark, scratch_path
+    first = scratch_path(spark, "before")
+    mark = scratch_mark(spark)
+    made = [scratch_path(spark, n) for n in ("a", "result", "b")]
+    for p in (first, *made):
+        spark.range(3).write.parquet(p)
+    assert drop_scratch_since(spark, mark, made[1]) == 2
+    assert [os.path.exists(p.removeprefix("file:")) for p in (first, *made)] == [True, False, True, False]
