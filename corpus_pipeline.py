@@ -1,8 +1,14 @@
 """Corpus pipeline: quality rules, near-duplicates, repeated spans, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
-as Parquet and read again as the next stage's ``docs``.  All but the last return
-the columns they were given.
+as Parquet and read again as the next stage's ``docs``; what a stage stored on the
+way is deleted then.  All but the last return the columns they were given.
+
+Defined cases, in every stage: a null text is empty (the quality rules reject
+it), texts of any length are worked on whole; a null id takes part like any other
+and is the last choice among near copies; of rows equal in id and text one stays
+where they are near copies of each other, and ties go to the smaller id; an empty
+table gives no rows; further columns are carried along unread.
 """
 
 from __future__ import annotations
@@ -10,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.llm import packing, quality, simhash, suffixes
-from panelforge.llm.common import stored, table
+from panelforge.llm.common import table
 from panelforge.llm.queries import tokenizer
+from panelforge.session import drop_scratch_since, scratch_mark, scratch_path
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -52,5 +59,8 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        mark, path = scratch_mark(spark), scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+        drop_scratch_since(spark, mark, path)
     return STAGES[-1][1](spark, docs, sf_dir)
