@@ -87,38 +87,49 @@ def measures(text: Column) -> Column:
                     .alias("n_symbols"))
 
 
-def measured(docs: DataFrame, into: str, text_col: str = "text",
-             lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``docs`` with the struct ``into``: counts, rates, base verdict, group."""
-    (raw,) = fresh(docs, "__measures")
-    m = F.col(raw)
-    words, lines = m["w"]["n_words"], m["l"]["n_lines"]
-    failed = (words < MIN_WORDS) | \
-        (100 * m["w"]["n_repeat_words"] > MAX_REPEAT_PCT * words)
-
-    def rate(scale, top, bottom):
-        return F.floor(scale * top / F.greatest(bottom, F.lit(1))).cast("long")
-
-    return docs.withColumn(raw, measures(F.col(text_col))).withColumn(into, F.struct(
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-        words.alias("n_words"), m["w"]["word_chars"].alias("word_chars"),
-        m["n_symbols"].alias("n_symbols"), m["l"]["n_dup_lines"].alias("n_dup_lines"),
-        m["w"]["n_repeat_words"].alias("n_repeat_words"),
-        failed.alias("base_failed"),
-        rate(100, m["w"]["word_chars"], words).alias("word_len"),
-        rate(1000, m["n_symbols"], words).alias("symbol_rate"),
-        rate(1000, m["l"]["n_dup_lines"], lines).alias("dup_line_rate"))).drop(raw)
-
-
-def sketches(rates: DataFrame) -> DataFrame:
-    """Quantile sketches per language, source and rate: (value, n) pairs."""
+def counts(text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> Column:
+    """A document's counts, rates, base verdict and group as one struct.
+
+    It is one expression in which the measures are a bound variable: the optimizer
+    copies a plain column's definition to every place that uses a field of it."""
+    def of(m):
+        words, lines = m["w"]["n_words"], m["l"]["n_lines"]
+        failed = (words < MIN_WORDS) | \
+            (100 * m["w"]["n_repeat_words"] > MAX_REPEAT_PCT * words)
+
+        def rate(scale, top, bottom):
+            return F.floor(scale * top / F.greatest(bottom, F.lit(1))).cast("long")
+
+        return F.struct(
+            _group(lang_col).alias("lang"), _group(source_col).alias("source"),
+            words.alias("n_words"), m["w"]["word_chars"].alias("word_chars"),
+            m["n_symbols"].alias("n_symbols"), m["l"]["n_dup_lines"].alias("n_dup_lines"),
+            m["w"]["n_repeat_words"].alias("n_repeat_words"),
+            failed.alias("base_failed"),
+            rate(100, m["w"]["word_chars"], words).alias("word_len"),
+            rate(1000, m["n_symbols"], words).alias("symbol_rate"),
+            rate(1000, m["l"]["n_dup_lines"], lines).alias("dup_line_rate"))
+
+    return let(measures(F.col(text_col)), of)
+
+
+def _group(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def _rates(m) -> Column:
+    """(rate, v) of a document's rates; none if it fails the base rules."""
+    pairs = F.array(*[F.struct(F.lit(r).alias("rate"), m[r].alias("v")) for r in RATES])
+    return F.filter(pairs, lambda _: ~m["base_failed"])
+
+
+def sketches(pairs: DataFrame) -> DataFrame:
+    """Quantile sketches (rate, value, n) per language and source of (lang, source,
+    p), where ``p`` holds the ``_rates`` of a document."""
     low = F.length(F.bin("v")) - 6  # bits beyond six significant ones
     mask = F.when(low > 0, F.expr("shiftleft(1L, length(bin(v)) - 6)")).otherwise(F.lit(1))
-    pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), F.col(r).alias("v"))
-                                for r in RATES]))
-    return (rates.where(~F.col("base_failed"))
-            .select("lang", "source", pairs.alias("p")).select("lang", "source", "p.*")
+    return (pairs.select("lang", "source", F.explode("p").alias("p"))
+            .select("lang", "source", "p.*")
             .withColumn("value", F.col("v") - F.pmod("v", mask))
             .groupBy("lang", "source", "rate", "value").agg(F.count(F.lit(1)).alias("n")))
 
@@ -162,17 +173,15 @@ def _verdict(m, f) -> Column:
     return ~(m("base_failed") | bad)
 
 
-def judged(rates: DataFrame, sketch_of: DataFrame | None = None) -> DataFrame:
-    """``rates`` (flat columns of ``measured``) with ``kept``."""
-    limits = stored(fences(sketches(sketch_of or rates)), "fences")
-    out = rates.join(limits, ["lang", "source"], "left")
-    return out.withColumn("kept", _verdict(F.col, F.col))
-
-
 def score(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, counts, rates, base_failed, kept."""
-    m = measured(docs, "__m").select(F.col(id_col).alias("doc_id"), "__m.*")
-    return judged(stored(m, "measures"))
+    m = docs.select(F.col(id_col).alias("doc_id"), counts().alias("__m")) \
+        .select("doc_id", "__m.*")
+    rates = stored(m, "measures")
+    pairs = rates.select("lang", "source", _rates(F.struct("base_failed", *RATES)).alias("p"))
+    limits = stored(fences(sketches(pairs)), "fences")
+    out = rates.join(limits, ["lang", "source"], "left")
+    return out.withColumn("kept", _verdict(F.col, F.col))
 
 
 def keep(docs: DataFrame) -> DataFrame:
@@ -181,11 +190,11 @@ def keep(docs: DataFrame) -> DataFrame:
     Measures are worked out twice (for the fences, then for the verdicts): that
     costs less than storing every text or shuffling it to its verdict.
     """
-    m, f = fresh(docs, "__m", "__f")
-    have = measured(docs, m)
-    limits = stored(fences(sketches(have.select(f"{m}.*"))), "fences") \
-        .select(F.struct("*").alias(f))
-    out = have.join(limits, (F.col(f"{m}.lang") == F.col(f"{f}.lang"))
-                    & (F.col(f"{m}.source") == F.col(f"{f}.source")), "left")
-    return out.where(_verdict(lambda c: F.col(f"{m}.{c}"), lambda c: F.col(f"{f}.{c}"))) \
-        .select(*same(docs))
+    (f,) = fresh(docs, "__f")
+    pairs = docs.select(_group("lang").alias("lang"), _group("source").alias("source"),
+                        let(counts(), _rates).alias("p"))
+    limits = stored(fences(sketches(pairs)), "fences").select(F.struct("*").alias(f))
+    out = docs.join(limits, (_group("lang") == F.col(f"{f}.lang"))
+                    & (_group("source") == F.col(f"{f}.source")), "left")
+    return out.where(let(counts(), lambda m: _verdict(
+        lambda c: m[c], lambda c: F.col(f"{f}.{c}")))).select(*same(docs))

@@ -213,8 +213,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     (row,) = fresh(docs, "__row")
     key = F.xxhash64(F.col(id_col).cast("long"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    # only rows that repeat a survivor are moved once more
     have = docs.withColumn(row, key)
-    once, more = (have.join(stay.where(c).select(F.col("row").alias(row)), row, "left_semi")
-                  for c in ("n = 1", "n > 1"))
+    # the keys are the hashed side, so texts are moved once and not sorted
+    once = have.join(stay.where("n = 1").select(F.col("row").alias(row)).hint("shuffle_hash"),
+                     row, "left_semi")
+    if stay.where("n > 1").isEmpty():
+        return once.drop(row)
+    # only rows that repeat a survivor are moved once more
+    more = have.join(stay.where("n > 1").select(F.col("row").alias(row)), row, "left_semi")
     return once.unionByName(more.dropDuplicates([row])).drop(row)

@@ -27,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import spans as S
-from .common import fresh, same, stored
+from .common import same, stored
 from .recompress import _BYTE, _LETTER, Rolling
 from .texts import keyed, opened_texts, squeezed
 
@@ -259,19 +259,25 @@ def cut(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
         text_col: str = "text", hot: int = HOT) -> DataFrame:
     """``docs``, all columns, with the repeated spans cut from their texts; bytes
     that no longer make a whole character go with them, a null text stays null."""
-    row, runs = fresh(docs, "__row", "__runs")
+    names = docs.columns
+    row, runs = "row", f"c{len(names)}"  # beside c0, c1 and so on
     spans = removed_windows(keyed(docs, id_col, text_col), window, hot).groupBy(
         F.col("row").alias(row)).agg(F.collect_set(F.struct("lo", "n")).alias(runs))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    both = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), text)) \
-        .join(spans, row, "left").drop(row)
-    at, names = docs.columns.index(text_col), docs.columns
+    at = names.index(text_col)
+    # texts travel to their spans compressed
+    plain = [c.cast("binary") if i == at else c for i, c in enumerate(same(docs))]
+    sent = docs.select(*plain, F.xxhash64(F.col(id_col).cast("long"), text)) \
+        .toDF(*(f"c{i}" for i in range(len(names))), row)
+    both = squeezed(sent, f"c{at}").join(spans.hint("shuffle_hash"), row, "left").drop(row)
+    kept = StructType([StructField(f.name, StringType()) if i == at else f
+                       for i, f in enumerate(both.schema.fields[:-1])])
 
     def run(batches):
         for whole in batches:
             for s in range(0, whole.num_rows, 256):
                 b = whole.slice(s, 256)
-                texts = b.column(at).cast(pa.binary()).to_pylist()
+                texts = opened_texts(b.column(at))
                 lists = b.column(b.num_columns - 1).to_pylist()
                 out = []
                 for t, found in zip(texts, lists):
@@ -283,5 +289,4 @@ def cut(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                 cols[at] = pa.array(out, pa.string())
                 yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
 
-    plain = both.select(*same(docs), runs).toDF(*(f"c{i}" for i in range(len(names) + 1)))
-    return plain.mapInArrow(run, StructType(plain.schema.fields[:-1])).toDF(*names)
+    return both.mapInArrow(run, kept).toDF(*names)

@@ -16,18 +16,19 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
-def squeezed(rows: DataFrame) -> DataFrame:
-    """Texts compressed for the way to their spans."""
+def squeezed(rows: DataFrame, column: str = "text") -> DataFrame:
+    """Texts (binary) compressed for the way to their spans; a null stays null."""
     def run(batches):
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            at = b.schema.get_field_index("text")
-            small = pa.array([z.compress(t) for t in b.column("text").to_pylist()], pa.binary())
-            yield b.set_column(at, "text", small)
+            at = b.schema.get_field_index(column)
+            small = pa.array([None if t is None else z.compress(t)
+                              for t in b.column(column).to_pylist()], pa.binary())
+            yield b.set_column(at, column, small)
 
     return rows.mapInArrow(run, rows.schema)
 
 
-def opened_texts(column: pa.Array) -> list[bytes]:
+def opened_texts(column: pa.Array) -> list[bytes | None]:
     z = zstandard.ZstdDecompressor()
-    return [z.decompress(t) for t in column.to_pylist()]
+    return [None if t is None else z.decompress(t) for t in column.to_pylist()]
