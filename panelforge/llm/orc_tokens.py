@@ -34,10 +34,15 @@ SCHEMA = "doc_id long, block int, place long, ids array<int>"
 
 def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """Rows of ``SCHEMA`` in ascending id order."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    """Rows of ``SCHEMA`` in ascending id order; rows of one id, of which there may
+    be any number (null ids, repeated rows), are dealt by their texts' hashes and
+    their places in the input."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    order = ("doc_id", "hash", "place")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                       F.xxhash64(text).alias("hash"),
+                       F.monotonically_increasing_id().alias("place"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches):
         block, place = TaskContext.get().partitionId(), 0

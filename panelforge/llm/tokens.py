@@ -3,6 +3,11 @@
 The library spends most of its time on words it has met before.  Here a text is
 brought into the vocabulary's normal form and cut by its word pattern, words not
 met before go through the library together, and the others come from memory.
+
+Python and the library have Unicode tables of their own.  Only texts of plain
+characters are cut here: those that all tables treat alike and that never change
+beside others (see ``plain_characters``).  Any other text goes through the library
+whole.
 """
 
 from __future__ import annotations
@@ -18,6 +23,29 @@ import regex
 REMEMBERED = 1_000_000
 
 
+def plain_characters() -> str:
+    """The plain characters beyond ASCII, as ranges of a character class.
+
+    Plain are letters, numbers, signs and blanks of the first plane that were
+    assigned by Unicode 3.2 and have kept their category, are their own NFC form,
+    have one lower-case character of the same kind, and do not combine with
+    neighbours (no marks, no single Hangul jamo)."""
+    old, good = unicodedata.ucd_3_2_0, bytearray(0x10000)
+
+    def steady(c):
+        kind = unicodedata.category(c)
+        return kind == old.category(c) and kind[0] in "LNPSZ" \
+            and unicodedata.normalize("NFC", c) == c == unicodedata.normalize("NFC", c + "a")[0] \
+            and not unicodedata.combining(c) and not 0x1100 <= ord(c) <= 0x11FF
+
+    for cp in range(0x80, 0x10000):
+        c = chr(cp)
+        low = c.lower()
+        good[cp] = len(low) == 1 and steady(c) and steady(low) and low.lower() == low
+    edges = np.flatnonzero(np.diff(np.frombuffer(bytes(good) + b"\0", np.uint8).astype(np.int8)))
+    return "".join(f"\\u{a + 1:04x}-\\u{b:04x}" for a, b in zip(edges[::2], edges[1::2]))
+
+
 class WordTokenizer:
     """A vocabulary whose last token of a word is marked (``end_of_word_suffix``)."""
 
@@ -42,6 +70,7 @@ class WordTokenizer:
         ends = model["end_of_word_suffix"]
         self.is_end = np.zeros(max(model["vocab"].values()) + 1 + len(self.special), bool)
         self.is_end[[i for t, i in model["vocab"].items() if t.endswith(ends)]] = True
+        self.rare = regex.compile(r"[^\x00-\x7f" + plain_characters() + "]")
         self.known: dict[str, bytes] = {}
 
     def _cut(self, text: str) -> list[str]:
@@ -75,6 +104,19 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
+        rare = [i for i, t in enumerate(texts) if not t.isascii() and self.rare.search(t)]
+        if not rare:
+            return self._by_words(texts)
+        self.library.encode_special_tokens = False
+        whole = self.library.encode_batch_fast([texts[i] for i in rare], add_special_tokens=False)
+        self.library.encode_special_tokens = True
+        at = set(rare)
+        out = iter(self._by_words([t for i, t in enumerate(texts) if i not in at]))
+        found = dict(zip(rare, whole))
+        return [np.array(found[i].ids, "<u4") if i in at else next(out)
+                for i in range(len(texts))]
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._cut(t) for t in texts]
         new = {w for ws in cut for w in ws if w not in self.known}
         if len(self.known) + len(new) > REMEMBERED:

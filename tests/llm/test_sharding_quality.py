@@ -25,6 +25,55 @@ def test_repeated_rows_and_empty(make_docs, no_rows):
     assert sharding.shard(no_rows, 3).count() == 0
 
 
+def test_a_third_of_equal_rows_stays_near_equal(spark, make_docs):
+    rows = [(5, "hot " * 20)] * 900 + [(None, None)] * 300 + [(i, f"t{i}" * 9) for i in range(1500)]
+    out = sharding.shard(make_docs(rows).repartition(9), 8).collect()
+    assert sorted((-1 if r.id is None else r.id, r["size"], r.text_crc32) for r in out) == sorted(
+        (-1 if i is None else i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+        for i, t in rows)
+    load = [sum(r["size"] for r in out if r.shard == s) for s in range(8)]
+    assert max(load) - min(load) <= 100
+    for s in range(8):
+        at = sorted(r.position for r in out if r.shard == s)
+        assert at == list(range(len(at)))
+
+
+def test_versions_of_a_stored_map(spark, make_docs, tmp):
+    docs = make_docs(["x" * (i * 37 % 900) for i in range(900)]).selectExpr(
+        "*", "1 as vslot", "2 as size", "3 as number", "4 as part", "5 as rid")
+    where = tmp + "/map"
+
+    def run(n):
+        return {r.id: r.shard for r in sharding.shard(docs, n, n_slots=512, map_path=where).collect()}
+
+    first, again = run(4), run(4)
+    assert again == first  # nothing to move
+    grown = run(5)
+    assert {grown[i] for i in grown if grown[i] != first[i]} == {4}  # only to the added shard
+    shrunk = run(3)
+    assert set(shrunk.values()) == {0, 1, 2}
+    maps = {v: {r.vslot: r.shard for r in sharding.load_map(spark, where, v).collect()}
+            for v in range(5)}
+    assert [len(m) for m in maps.values()] == [512] * 5
+    assert maps[1] == maps[2] and max(maps[3].values()) == 4
+    newest = sharding.load_map(spark, where)
+    assert {r.version for r in newest.collect()} == {4}
+    assert sharding.load_map(spark, tmp + "/none") is None
+
+
+def test_the_query_against_brute_force(spark):
+    from panelforge.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = QUERIES["op7_slot_sharding"](spark, sf).collect()
+    want = {r.doc_id: (len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode()))
+            for r in docs}
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in got} == want and len(got) == len(want)
+    load = [sum(r["size"] for r in got if r.shard == s) for s in range(40)]
+    total, largest = sum(load), max(n for n, _ in want.values())
+    assert max(load) <= max(largest, total / 40 + largest) and sum(x > 0 for x in load) == 40
+
+
 def test_a_version_moves_only_what_it_must():
     weight = np.full(64, 10)
     first = sharding.first_map(64, 4)

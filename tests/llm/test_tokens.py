@@ -155,3 +155,38 @@ def test_digests(make_docs):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         tokens.WordTokenizer.__init__(object.__new__(tokens.WordTokenizer), BYTES)
+
+
+def test_ids_equal_the_library_beside_any_character():
+    """Every code point alone, between signs, beside combining marks and twice."""
+    from tokenizers import Tokenizer
+    path = tokenizer("word_bpe_49k.json")
+    ours, lib = tokens.WordTokenizer(path), Tokenizer.from_file(path)
+    points = [*range(0xD800), *range(0xE000, 0x33500), *range(0xE0000, 0xE0200)]
+    for form in ("{0}", "!{0}!", "a{0}\u0327b", "{0}\u0301 {0}\u03a3", "A{0}{0}'s x{0}"):
+        texts = [form.format(chr(c)) for c in points]
+        want = lib.encode_batch_fast(texts, add_special_tokens=False)
+        bad = [c for c, x, y in zip(points, ours.encode(texts), want) if x.tolist() != y.ids]
+        assert not bad, (form, [hex(c) for c in bad[:5]])
+    for text in ("!\u088f!", "!\ua7dd!", "\u0130\u0327", "a\u08d3\u0327",
+                 "<|endoftext|>\u088f<|endoftext|> x", "plain <|endoftext|>"):
+        assert ours.encode([text, "x"])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+    latin = "éèêçüßäöóñíÉÈÑÇÜÖÄÊÓÍ«»“”–—…€ Ελληνικά русский 日本語 한국어"
+    assert not ours.rare.search(latin)  # the languages of the tables take the quick way
+
+
+def test_many_rows_of_one_id_are_dealt_over_tasks(spark, make_docs):
+    rows = [(None, f"null {i}") for i in range(300)] + [(7, "same")] * 300 + \
+        [(i, f"own {i}") for i in range(300)]
+    docs = make_docs(rows).repartition(4)
+    path = tokenizer("word_bpe_49k.json")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = orc_tokens.tokenised(docs, path, 2).select("doc_id", "block").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(out) == 900
+    assert len({r.block for r in out if r.doc_id is None}) > 1
+    assert len({r.block for r in out if r.doc_id == 7}) > 1
+    ids = [r.doc_id for r in sorted(out, key=lambda r: r.block)]
+    assert [i for i in ids if i is not None] == sorted(i for i in ids if i is not None)
