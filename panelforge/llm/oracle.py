@@ -75,6 +75,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 
 def chat_sql() -> str:
     marks, ann = r"^(?: ?>)+ ?", r"wrote:\s*$"
+    key = "lpad(({}::hugeint + 9223372036854775808)::varchar, 20, '0')"
     norm = r"trim(regexp_replace(lower({}), '\s+', ' ', 'g'))"
     return rf"""with recursive
 m as (select conv_id, turn, role, coalesce(text, '') as text,
@@ -110,13 +111,16 @@ found as (select a.conv_id, a.turn, a.level, o.first_turn, sum(length(a.u)) as w
 link as (select conv_id, turn, first_turn as parent_turn from found
     qualify row_number() over (partition by conv_id, turn
                                order by level, weight desc, first_turn desc) = 1),
-walk as (select conv_id, turn, parent_turn, parent_turn as root_turn, 1::bigint as depth from link
-    union all select w.conv_id, w.turn, w.parent_turn, k.parent_turn, w.depth + 1
+walk as (select conv_id, turn, parent_turn, parent_turn as root_turn, 1::bigint as depth,
+        {key.format("parent_turn")} as above from link
+    union all select w.conv_id, w.turn, w.parent_turn, k.parent_turn, w.depth + 1,
+        {key.format("k.parent_turn")} || '/' || w.above
     from walk w join link k on k.conv_id = w.conv_id and k.turn = w.root_turn),
 tree as (select * from walk qualify row_number() over (
     partition by conv_id, turn order by depth desc) = 1)
 select b.conv_id, b.turn, b.role, t.parent_turn, coalesce(t.root_turn, b.turn) as root_turn,
-    coalesce(t.depth, 0)::bigint as depth, b.n_quoted::bigint as n_quoted, b.body,
+    coalesce(t.depth, 0)::bigint as depth, b.n_quoted::bigint as n_quoted,
+    coalesce(t.above || '/', '') || {key.format("b.turn")} as path, b.body,
     '<|' || coalesce(b.role, '') || '|>' || chr(10) || b.body as chat
 from b left join tree t on t.conv_id = b.conv_id and t.turn = b.turn"""
 

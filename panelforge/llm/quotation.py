@@ -21,6 +21,8 @@ gives no rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -105,23 +107,36 @@ def links(messages: DataFrame) -> DataFrame:
         .alias("parent_turn"))
 
 
+def _key(turn: str) -> Column:
+    """A turn as text that sorts like the number."""
+    return F.lpad((F.col(turn).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))).cast("string"),
+                  20, "0")
+
+
 def threads(link: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent_turn, root_turn, depth) by pointer doubling."""
+    """(conv_id, turn, parent_turn, root_turn, depth, above) by pointer doubling;
+    ``above`` are the message's ancestors, root first."""
     now = stored(link.withColumn("root_turn", F.col("parent_turn"))
-                 .withColumn("depth", F.lit(1).cast("long")), "threads")
+                 .withColumn("depth", F.lit(1).cast("long"))
+                 .withColumn("above", _key("parent_turn")), "threads")
     while True:
-        up = now.select("conv_id", F.col("turn").alias("root_turn"),
-                        F.col("root_turn").alias("up"), F.col("depth").alias("more"))
+        up = now.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("up"),
+                        F.col("depth").alias("more"), F.col("above").alias("beyond"))
         if now.join(up, ["conv_id", "root_turn"], "left_semi").isEmpty():
             return now
         now = stored(now.join(up, ["conv_id", "root_turn"], "left").select(
             "conv_id", "turn", "parent_turn",
             F.coalesce("up", "root_turn").alias("root_turn"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "threads")
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.concat_ws("/", "beyond", "above").alias("above")), "threads")
 
 
 def format_chat(conversations: DataFrame) -> DataFrame:
-    """One row per message in reply order: parent, root, depth, body, chat."""
+    """One row per message in reply order: parent, root, depth, path, body, chat.
+
+    ``path`` are the keys of a message's ancestors and its own: sorted by it, every
+    message stands behind what it answers and before the next answer to that.  It
+    is as long as the thread is deep."""
     msgs = parsed(conversations.select("conv_id", "turn", "role", "text"))
     tree = threads(links(msgs))
     out = msgs.drop("lines", "text").join(tree, ["conv_id", "turn"], "left")
@@ -130,6 +145,7 @@ def format_chat(conversations: DataFrame) -> DataFrame:
         "conv_id", "turn", "role", "parent_turn",
         F.coalesce("root_turn", "turn").alias("root_turn"),
         F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
-        F.col("n_quoted").cast("long").alias("n_quoted"), "body",
-        F.concat(F.lit("<|"), role, F.lit("|>\n"), F.col("body")).alias("chat")) \
-        .orderBy("conv_id", "root_turn", "turn", "body")
+        F.col("n_quoted").cast("long").alias("n_quoted"),
+        F.when(F.col("turn").isNotNull(), F.concat_ws("/", "above", _key("turn"))).alias("path"),
+        "body", F.concat(F.lit("<|"), role, F.lit("|>\n"), F.col("body")).alias("chat")) \
+        .orderBy("conv_id", "path", "body")

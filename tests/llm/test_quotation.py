@@ -45,3 +45,39 @@ def test_hot_conversation_line(spark):
     rows = [(1, t, "user", "ok" if t % 2 == 0 else "> ok\nfine") for t in range(400)]
     got = quotation.format_chat(spark.createDataFrame(rows, SCHEMA))
     assert got.where("parent_turn = 0").count() == 200
+
+
+def test_reply_order(spark):
+    """Messages stand behind what they answer; a generated tree of replies."""
+    import random
+    rng = random.Random(5)
+    rows, parent = [], {}
+    for conv in range(40):
+        said = []
+        for t in range(rng.randint(2, 14)):
+            text = f"message {conv} number {t} says {rng.random()}"
+            if said and rng.random() < 0.8:
+                p = rng.randrange(len(said))
+                parent[conv, t] = p
+                rows.append((conv, t, "user", f"Ann wrote:\n> {said[p]}\n{text}"))
+            else:
+                rows.append((conv, t, "user", text))
+            said.append(text)
+    rng.shuffle(rows)
+    got = quotation.format_chat(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.conv_id, r.turn): r.parent_turn for r in got if r.parent_turn is not None} == parent
+
+    def walk(conv, t):
+        yield conv, t
+        for c in sorted(c for (k, c), p in parent.items() if k == conv and p == t):
+            yield from walk(conv, c)
+
+    turns = sorted((c, t) for c, t, *_ in rows)
+    want = [x for c, t in turns if (c, t) not in parent for x in walk(c, t)]
+    assert [(r.conv_id, r.turn) for r in got] == want
+    con = duckdb.connect()
+    con.register("frame", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    con.sql("create view conversations as select * from frame")
+    path = {(r.conv_id, r.turn): r.path for r in got}
+    assert {(c, t): p for c, t, p in con.sql(
+        f"select conv_id, turn, path from ({oracle.chat_sql()})").fetchall()} == path
