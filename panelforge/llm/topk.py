@@ -1,16 +1,22 @@
 """Exact top-k inner products by KD-trees per shard.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` rows by a hash of their id.
-Each shard is one stored tree: median splits on the widest dimension, a tight
-bounding box for every node.  Queries travel in blocks.  First a block visits one
-shard to learn a kth score; then it visits every shard with that bound, and a
-best-first walk opens boxes by their largest possible product with the query
-until none can reach the kth score.  Nothing is approximated.
+The space is cut into cells by median splits on the widest dimension of a bounded
+sample, and every row goes to its cell; a cell with more than ``SHARD_ROWS`` rows
+(many copies of one vector, say) is dealt over several shards.  Each shard is one
+stored tree: median splits on the widest dimension, a tight bounding box for every
+node.  Queries travel in blocks of neighbours.  First a block visits a shard of its
+own cell to learn a kth score; then each of its queries visits the shards of those
+cells whose tight box can reach that score, and there a best-first walk opens boxes
+by their largest possible product with the query until none can reach the kth
+score.  Nothing is approximated: the sample decides where cells end, not what is
+searched.
 
 Defined cases: vectors that are null or hold null or non-finite components, and
 rows without an id, take no part; only vectors of a query's own length are
-scored; a score beyond 64 bits is given as the nearest 64-bit number; repeated query rows are answered each; every candidate row counts, also
-one that repeats another; an empty table gives no rows.
+scored; a score beyond 64 bits is given as the nearest 64-bit number; ties go to
+the smaller id; repeated query rows are answered each; every candidate row counts,
+also one that repeats another; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -27,6 +33,9 @@ from pyspark.sql import window as W
 from .common import stored
 
 SCALE, SHARD_ROWS, QUERY_ROWS, LEAF = 1024, 8192, 256, 64
+#: Numbers in the sample that places the cells; cells of one vector length, at most
+#: (their boxes are all that the driver and every task hold of the table).
+SAMPLE, CELLS = 1 << 22, 2048
 #: Largest sum of products that float64 holds exactly.
 EXACT = float(1 << 53)
 
@@ -123,8 +132,140 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                           F.size(vec_col).alias("dim"), F.col(vec_col).alias("vec"))
 
 
-def _grouped(rows: DataFrame, groups: int, name: str, make) -> DataFrame:
-    """One stored blob for each (dim, group); groups are hashes of the id."""
+def split(vecs: np.ndarray, cells: int) -> dict:
+    """Median splits on the widest dimension: arrays dim, at, kids per node; a leaf
+    has the number of its cell in ``kids``, and neighbours have near numbers."""
+    dims, ats, kids, leaves = [], [], [], [0]
+
+    def node(part: np.ndarray, want: int) -> int:
+        n = len(dims)
+        dims.append(-1), ats.append(0.0), kids.append((leaves[0], -1))
+        if want > 1 and part.size:
+            wide = np.ptp(part, axis=0)
+            d = int(wide.argmax())
+            if wide[d] > 0:
+                at = np.median(part[:, d])
+                at = at if (part[:, d] < at).any() else part[part[:, d] > at, d].min()
+                right = part[:, d] >= at
+                dims[n], ats[n] = d, at
+                kids[n] = (node(part[~right], want // 2), node(part[right], want - want // 2))
+                return n
+        leaves[0] += 1
+        return n
+
+    node(vecs, cells)
+    return {"dim": np.array(dims), "at": np.array(ats), "kids": np.array(kids),
+            "cells": leaves[0]}
+
+
+def cells_of(tree: dict | None, vecs: np.ndarray) -> np.ndarray:
+    """The cell of every vector (0 for lengths that the sample has not met)."""
+    if tree is None:
+        return np.zeros(len(vecs), np.int64)
+    at = np.zeros(len(vecs), np.int64)
+    while True:
+        d = tree["dim"][at]
+        inner = np.flatnonzero(d >= 0)
+        if not len(inner):
+            return tree["kids"][at, 0]
+        right = vecs[inner, d[inner]] >= tree["at"][at[inner]]
+        at[inner] = tree["kids"][at[inner], right.astype(int)]
+
+
+def _by_dim(b: pa.RecordBatch):
+    """(dim, rows of the batch, their whole vectors) of every vector length."""
+    dims, vec = b.column("dim").to_numpy(), b.column("vec")
+    for dim in np.unique(dims).tolist():
+        at = np.flatnonzero(dims == dim)
+        part = vec.take(pa.array(at))
+        yield dim, at, whole(part, dim) if dim else np.zeros((len(at), 0))
+
+
+def split_trees(rows: DataFrame, n: int) -> dict[int, dict]:
+    """dim -> split of the space, from a sample of at most ``SAMPLE`` numbers."""
+    size = rows.agg(F.max("dim")).first()[0] or 1
+    most = max(1, SAMPLE // size)
+    some = rows.sample(min(1.0, 1.2 * most / max(n, 1)), seed=7).limit(most).toArrow()
+    trees = {}
+    for b in some.combine_chunks().to_batches(max_chunksize=most):
+        for dim, at, vecs in _by_dim(b):
+            share = -(-n * len(at) // max(b.num_rows, 1))
+            trees[dim] = split(vecs, min(CELLS, max(1, -(-share // SHARD_ROWS))))
+    return trees
+
+
+def cell_boxes(rows: DataFrame, trees: dict[int, dict]) -> dict[int, dict]:
+    """dim -> rows and tight box (lo, hi) of every cell."""
+    def run(batches):
+        seen: dict = {}
+        for b in batches:
+            for dim, _, vecs in _by_dim(b):
+                if dim not in trees:
+                    continue
+                cell = cells_of(trees[dim], vecs)
+                for c in np.unique(cell).tolist():
+                    part = vecs[cell == c]
+                    n, lo, hi = seen.get((dim, c), (0, np.inf, -np.inf))
+                    seen[dim, c] = (n + len(part), np.minimum(lo, part.min(axis=0)),
+                                    np.maximum(hi, part.max(axis=0)))
+        for (dim, c), (n, lo, hi) in seen.items():
+            k = max(dim, 1)  # an empty vector has a row for its count
+            lo, hi = (np.broadcast_to(x, dim) if dim else np.zeros(1) for x in (lo, hi))
+            yield pa.record_batch(
+                [pa.array(np.full(k, x, np.int32)) for x in (dim, c)]
+                + [pa.array(np.arange(k, dtype=np.int32)), pa.array(np.full(k, n)),
+                   pa.array(lo), pa.array(hi)], names=["dim", "cell", "d", "n", "lo", "hi"])
+
+    parts = rows.select("dim", "vec").mapInArrow(
+        run, "dim int, cell int, d int, n long, lo double, hi double")
+    found = parts.groupBy("dim", "cell", "d").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).toPandas()
+    boxes = {}
+    for dim, t in found.groupby("dim"):
+        cells = trees[dim]["cells"]
+        n, lo, hi = np.zeros(cells, np.int64), np.full((cells, dim), np.inf), np.full((cells, dim), -np.inf)
+        n[t["cell"]] = t["n"]
+        if dim:
+            lo[t["cell"], t["d"]], hi[t["cell"], t["d"]] = t["lo"], t["hi"]
+        boxes[int(dim)] = {"n": n, "lo": lo, "hi": hi}
+    return boxes
+
+
+def _dealt(rows: DataFrame, trees: dict, per_cell: dict[int, np.ndarray], rows_per: int,
+           join_cells: bool) -> tuple[DataFrame, dict[int, dict]]:
+    """(id, dim, vec, part): rows dealt by cell.  A cell of many rows has several
+    parts; with ``join_cells`` neighbouring cells of few rows share one.  Also, per
+    dim, the first part and number of parts of every cell."""
+    plan = {}
+    for dim, n in per_cell.items():
+        parts = np.maximum(1, -(-n // rows_per))
+        if join_cells:
+            first = (np.cumsum(n) - n) // rows_per
+            parts = np.where(n > rows_per, parts, 1)
+        else:
+            first = np.cumsum(parts) - parts
+        plan[dim] = {"first": first, "parts": parts}
+
+    def run(batches):
+        for b in batches:
+            out = np.zeros(b.num_rows, np.int32)
+            deal = b.column("deal").to_numpy()
+            for dim, at, vecs in _by_dim(b):
+                if dim in plan:
+                    cell = cells_of(trees[dim], vecs)
+                    p = plan[dim]
+                    out[at] = p["first"][cell] + deal[at] % p["parts"][cell]
+            yield pa.record_batch([b.column("id"), b.column("dim"), b.column("vec"), pa.array(out)],
+                                  names=["id", "dim", "vec", "part"])
+
+    # by row, not by id: rows may repeat
+    deal = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(1 << 40))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.withColumn("deal", deal).mapInArrow(run, f"{kinds}, part int"), plan
+
+
+def _grouped(dealt: DataFrame, name: str, make) -> DataFrame:
+    """One stored blob for each (dim, part)."""
     def run(key, t):
         dim = key[0].as_py()
         t = t.combine_chunks()
@@ -135,22 +276,73 @@ def _grouped(rows: DataFrame, groups: int, name: str, make) -> DataFrame:
                          "part": pa.array([key[1].as_py()], pa.int32()),
                          "blob": pa.array([blob], pa.binary())})
 
-    at = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")
-    made = rows.withColumn("part", at).groupBy("dim", "part") \
-        .applyInArrow(run, "dim int, part int, blob binary")
+    made = dealt.groupBy("dim", "part").applyInArrow(run, "dim int, part int, blob binary")
     return stored(made, name)
 
 
+_QUERY = pa.schema([("dim", pa.int32()), ("block", pa.int32()), ("part", pa.int32()),
+                    ("q", pa.binary())])
+
+
+def _bounds(q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Largest product of every query with every box; rounding never closes one."""
+    lo, hi = np.where(np.isfinite(lo), lo, 0), np.where(np.isfinite(hi), hi, 0)
+    out = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+    return out + np.abs(out) * 1e-9
+
+
+def visits(bounded: DataFrame, boxes: dict[int, dict], plan: dict[int, dict]) -> DataFrame:
+    """(dim, block, part, q): every shard that some query of a block must visit,
+    with those queries only."""
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                block, box = _load(r["q"]), boxes.get(r["dim"])
+                if box is None:  # a length that the sample has not met: one shard
+                    wants = [(0, 1, np.ones(len(block["ids"]), bool))]
+                else:
+                    near = _bounds(block["vecs"], box["lo"], box["hi"]) >= block["kth"][:, None]
+                    p = plan[r["dim"]]
+                    wants = [(int(p["first"][c]), int(p["parts"][c]), near[:, c])
+                             for c in np.flatnonzero(near.any(axis=0) & (box["n"] > 0))]
+                for first, parts, mine in wants:
+                    part = _pack(**{k: v[mine] for k, v in block.items()})
+                    yield pa.RecordBatch.from_pylist(
+                        [{"dim": r["dim"], "block": r["block"], "part": first + k, "q": part}
+                         for k in range(parts)], schema=_QUERY)
+
+    return bounded.mapInArrow(run, "dim int, block int, part int, q binary")
+
+
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id",
           vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows whose id ``every`` divides."""
+    return search_index(*prepare(vectors, k, every, id_col, vec_col), k)
+
+
+def prepare(vectors: DataFrame, k: int, every: int, id_col: str, vec_col: str):
+    """(index, bounded query blocks, cell boxes, plan of shards), stored."""
     rows = usable(vectors, id_col, vec_col)
     asked = rows.where(F.pmod("id", F.lit(every)) == 0)
-    n, m = rows.count(), asked.count()
-    shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-m // QUERY_ROWS))
-    index = _grouped(rows, shards, "kd-trees", lambda i, v: _pack(**build(i, v)))
-    start = _grouped(asked, blocks, "queries", lambda i, v: _pack(
-        ids=i, vecs=v, kth=np.full(len(i), -np.inf))).withColumnRenamed("part", "block")
+    trees = split_trees(rows, rows.count())
+    boxes = cell_boxes(rows, trees)
+    dealt, plan = _dealt(rows, trees, {d: b["n"] for d, b in boxes.items()}, SHARD_ROWS, False)
+    index = _grouped(dealt, "kd-trees", lambda i, v: _pack(**build(i, v)))
+    per_cell = {d: b["n"] for d, b in cell_boxes(asked, trees).items()}
+    blocks, _ = _dealt(asked, trees, per_cell, QUERY_ROWS, True)
+    start = _grouped(blocks, "queries", lambda i, v: _pack(
+        ids=i, vecs=v, pos=np.arange(len(i)), kth=np.full(len(i), -np.inf)))
+
+    def settle(batches):  # the shard that a block learns from: its middle query's
+        for b in batches:
+            for r in b.to_pylist():
+                block, part = _load(r["blob"]), 0
+                if r["dim"] in plan:
+                    mid = block["vecs"][len(block["ids"]) // 2:][:1]
+                    part = int(plan[r["dim"]]["first"][cells_of(trees[r["dim"]], mid)[0]])
+                yield pa.RecordBatch.from_pylist(
+                    [{"dim": r["dim"], "block": r["part"], "part": part, "q": r["blob"]}],
+                    schema=_QUERY)
 
     def learn(batches):  # the kth score in one shard bounds the rest
         for b in batches:
@@ -162,15 +354,17 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
                             block["kth"][p] = min(hits)[0]
                 yield pa.RecordBatch.from_pylist(
                     [{"dim": r["dim"], "block": r["block"], "q": _pack(**block)}],
-                    schema=pa.schema([("dim", pa.int32()), ("block", pa.int32()),
-                                      ("q", pa.binary())]))
+                    schema=pa.schema([_QUERY.field(f) for f in ("dim", "block", "q")]))
 
-    home = start.select("dim", "block", F.col("blob").alias("q"),
-                        F.pmod("block", F.lit(shards)).alias("part"))
+    home = start.mapInArrow(settle, "dim int, block int, part int, q binary")
     bounded = stored(home.join(index, ["dim", "part"], "left")
                      .select("dim", "block", "q", "blob")
                      .mapInArrow(learn, "dim int, block int, q binary"), "bounded-queries")
+    return index, bounded, boxes, plan
+
 
+def search_index(index: DataFrame, bounded: DataFrame, boxes: dict, plan: dict,
+                 k: int) -> DataFrame:
     def answer(batches):
         last, tree = None, None
         for b in batches:
@@ -178,7 +372,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
                 if (r["dim"], r["part"]) != last:
                     last, tree = (r["dim"], r["part"]), _load(r["blob"])
                 block = _load(r["q"])
-                out = [(r["dim"], r["block"], p, int(block["ids"][p]), i,
+                out = [(r["dim"], r["block"], int(block["pos"][p]), int(block["ids"][p]), i,
                         min(max(s, -(1 << 63)), (1 << 63) - 1))
                        for p, hits in search_block(tree, block, k) for s, i in hits]
                 yield pa.record_batch(
@@ -187,8 +381,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
                         (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                     names=["dim", "block", "pos", "query_id", "vec_id", "score"])
 
-    visits = bounded.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    hits = visits.join(index, ["dim", "part"]).select("dim", "part", "block", "q", "blob") \
+    hits = visits(bounded, boxes, plan).join(index, ["dim", "part"]) \
+        .select("dim", "part", "block", "q", "blob") \
         .mapInArrow(answer, "dim int, block int, pos int, query_id long, vec_id long, score long")
     best = W.Window.partitionBy("dim", "block", "pos").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \

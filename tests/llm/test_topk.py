@@ -47,3 +47,32 @@ def test_large_numbers_stay_exact(spark):
 
 def test_empty(spark):
     assert topk.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_visits_are_pruned_by_cell_boxes(spark, monkeypatch):
+    """Clustered vectors: a block of queries visits few of the shards."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 10)
+    rng = random.Random(9)
+    axes = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(20)]
+    rows = [(i, [a + rng.gauss(0, .05) for a in axes[i % 20]], 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    index, bounded, boxes, plan = topk.prepare(df, 10, 7, "vec_id", "embedding")
+    shards, blocks = index.count(), bounded.count()
+    made = topk.visits(bounded, boxes, plan)
+    assert shards >= 40 and blocks >= 40
+    assert made.count() < 0.4 * shards * blocks
+    check(spark, rows, every=7)
+
+
+def test_copies_of_one_vector_or_id_are_dealt_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    rng = random.Random(2)
+    rows = [(i, [1.0, 2.0, 3.0], 0) for i in range(400)]
+    rows += [(700, [rng.random(), 0.5, 0.25], 0) for _ in range(400)]  # one id
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as id", "2 as dim", "3 as part", "4 as vec")
+    index, _, boxes, plan = topk.prepare(df, 3, 100, "vec_id", "embedding")
+    sizes = [len(topk._load(r.blob)["ids"]) for r in index.collect()]
+    assert sum(sizes) == 800 and max(sizes) < 150
+    got = topk.top_k(spark.createDataFrame(rows[:400], SCHEMA), k=3).collect()
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got if r.query_id == 0} == {(0, 1, 1), (0, 2, 2), (0, 3, 3)}
