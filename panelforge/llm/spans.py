@@ -64,56 +64,71 @@ def blocks(data: bytes, size: np.ndarray, window: int):
             np.where(run, 1, count), np.where(run, count, 1), place - lo)
 
 
+def by_value(values: np.ndarray) -> np.ndarray:
+    """Stable ascending order of whole numbers >= 0, 16 bits a turn: linear."""
+    order, shift = np.arange(len(values)), 0
+    top = int(values.max()) if len(values) else 0
+    while top >> shift:
+        low = (values[order] >> values.dtype.type(shift)).astype(np.uint16)
+        order = order[np.argsort(low, kind="stable")]  # radix sort for 16 bits
+        shift += 16
+    return order
+
+
 def suffix_array(text) -> list[int]:
     """Start positions of all suffixes in ascending order, in linear steps.
 
-    ``text``: a sequence of comparable symbols.
+    ``text``: whole numbers >= 0, or characters.
     """
+    text = np.asarray([ord(c) for c in text] if isinstance(text, str) else text, np.int64)
     n = len(text)
-    order = sorted(range(n), key=text.__getitem__)  # groups by first letter
-    place, group, stop = [0] * n, [0] * n, [0] * n
-    begin = 0
-    for k, i in enumerate(order):
-        place[i] = k
-        if text[i] != text[order[begin]]:
-            stop[begin] = k
-            begin = k
-        group[i] = begin
-    if n:
-        stop[begin] = n
-    before = [-1] * n  # nearest earlier suffix of a smaller group
+    order = by_value(text)  # groups by first letter
+    first = np.flatnonzero(np.r_[True, np.diff(text[order]) != 0]) if n else order
+    place, group, stop = np.empty(n, int), np.empty(n, int), np.zeros(n, int)
+    place[order] = np.arange(n)
+    group[order] = np.repeat(first, np.diff(np.r_[first, n]))
+    stop[first] = np.r_[first[1:], n]
+    order, place, group, stop = (x.tolist() for x in (order, place, group, stop))
+    before = [-2] * n  # nearest earlier suffix of a smaller group (-2: not known yet)
     high = n
     while high:
         low = group[order[high - 1]]
         parents: dict[int, int] = {}
-        members = order[low:high]
-        if len(members) > 1:
-            members.sort()
-        for i in members:
-            p = i - 1
-            while p >= 0 and group[p] >= low:
-                p = before[p]
-            before[i] = p
-            if p >= 0:
-                parents[p] = parents.get(p, 0) + 1
+        for i in order[low:high]:
+            todo = [i] if before[i] == -2 else []
+            while todo:
+                i = todo[-1]
+                p = i - 1
+                while p >= 0 and group[p] >= low:
+                    if before[p] == -2:  # an earlier one of the same group comes first
+                        todo.append(p)
+                        break
+                    p = before[p]
+                else:
+                    before[i] = p
+                    todo.pop()
+                    if p >= 0:
+                        parents[p] = parents.get(p, 0) + 1
         # the prefix of a parent grows by this group's, once for each member that
         # points to it; the longer it grows, the later it comes in its own group
-        by: dict[tuple[int, int], list[int]] = {}
+        most = max(parents.values(), default=0)
+        by: list[dict[int, list[int]]] = [{} for _ in range(most)]
         for p, times in parents.items():
-            by.setdefault((-times, group[p]), []).append(p)
-        for (_, old), some in sorted(by.items()) if len(by) > 1 else by.items():
-            end = stop[old]
-            if len(some) == end - old:
-                continue
-            new = end - len(some)
-            for p in some:
-                end -= 1
-                q, other = place[p], order[end]
-                order[q], place[other] = other, q
-                order[end], place[p] = p, end
-            for p in some:
-                group[p] = new
-            stop[new], stop[old] = stop[old], new
+            by[most - times].setdefault(group[p], []).append(p)
+        for some_of in by:
+            for old, some in some_of.items():
+                end = stop[old]
+                if len(some) == end - old:
+                    continue
+                new = end - len(some)
+                for p in some:
+                    end -= 1
+                    q, other = place[p], order[end]
+                    order[q], place[other] = other, q
+                    order[end], place[p] = p, end
+                for p in some:
+                    group[p] = new
+                stop[new], stop[old] = stop[old], new
         high = low
     # a suffix follows in its group's order once the one after its prefix is out
     free, done = list(range(n)), [False] * n
@@ -152,13 +167,15 @@ def repeated(contexts: list[bytes], place: np.ndarray, width: np.ndarray,
     for b in range(cell):
         value = value << U(8) | raw[at + b].astype(U)
     # text of the suffix array: a mark (0) after each context's cells
-    _, rank = np.unique(value, return_inverse=True)
+    up = by_value(value)
+    rank = np.empty(len(at), np.int64)
+    rank[up] = np.cumsum(np.r_[False, np.diff(value[up]) != 0]) if len(at) else 0
     where = np.arange(len(at)) + of
     text = np.zeros(len(at) + len(contexts), np.int64)
     text[where] = rank + 1
     to_cell = np.full(len(text), -1)
     to_cell[where] = np.arange(len(at))
-    order = to_cell[np.array(suffix_array(text.tolist()), np.int64)]
+    order = to_cell[np.array(suffix_array(text), np.int64)]
     order = order[order >= 0]
     order = order[nth[order] + full <= cells[of[order]]]  # a window's whole cells
     same = np.ones(max(len(order) - 1, 0), bool)

@@ -16,9 +16,18 @@ Counts are pre-aggregated, joins are left to the adaptive skew split, and the
 strings of a place with more than ``HOT`` unlike ones are dealt window by window
 under the window's own hash, so no task holds a whole hot group.
 
-Defined cases: a null text is empty; matches never cross documents; rows that
-share an id are documents of their own; equal rows are copies of each other; an
-empty table gives no rows; other columns are not read.
+What is settled by the suffix array, then, are all places with 2 to ``HOT`` unlike
+strings: wherever copies differ in what surrounds them.  Not settled by it are
+places at which all copies are equal (point 2: their count says that every window
+is repeated; there is nothing to compare) and places above ``HOT`` (their windows
+are compared by 64-bit hashes).  The array is built in linear steps: letters and
+first groups by radix passes of 16 bits, members of a group by the pointers
+themselves, parents by buckets of their counts; no comparison sort is left in it.
+
+Defined cases: a null text is empty; texts of any length are taken in stretches;
+matches never cross documents; rows that share an id are documents of their own;
+equal rows are copies of each other; an empty table gives no rows; other columns
+are not read.
 """
 
 from __future__ import annotations
