@@ -8,6 +8,8 @@ prefix from the greatest group down, then every group's order is emitted.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 from .recompress import _LETTER, _M1, _M2, Rolling, U, _BYTE, mix
@@ -88,8 +90,10 @@ def suffix_array(text) -> list[int]:
     place[order] = np.arange(n)
     group[order] = np.repeat(first, np.diff(np.r_[first, n]))
     stop[first] = np.r_[first[1:], n]
-    order, place, group, stop = (x.tolist() for x in (order, place, group, stop))
-    before = [-2] * n  # nearest earlier suffix of a smaller group (-2: not known yet)
+    # flat 32-bit arrays: a list holds ten times as much
+    order, place, group, stop = (array("i", x.astype(np.int32).tobytes())
+                                 for x in (order, place, group, stop))
+    before = array("i", [-2]) * n  # nearest earlier suffix of a smaller group (-2: not known yet)
     high = n
     while high:
         low = group[order[high - 1]]
@@ -131,16 +135,16 @@ def suffix_array(text) -> list[int]:
                 stop[new], stop[old] = stop[old], new
         high = low
     # a suffix follows in its group's order once the one after its prefix is out
-    free, done = list(range(n)), [False] * n
+    free, done = array("i", range(n)), bytearray(n)
     for k in range(-1, n):
         j = (order[k] if k >= 0 else n) - 1
         while j >= 0 and not done[j]:
-            done[j] = True
+            done[j] = 1
             at = free[group[j]]
             free[group[j]] = at + 1
             order[at] = j
             j = before[j]
-    return order
+    return order.tolist()
 
 
 def repeated(contexts: list[bytes], place: np.ndarray, width: np.ndarray,

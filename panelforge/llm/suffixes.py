@@ -52,7 +52,7 @@ ARRAY = 1 << 18
 #: a task's memory: a string has under 2 * WINDOW bytes, so a group has 3.3 MB of
 #: them at most and some 400,000 cells, whatever the size of the input.  Places
 #: above it are dealt window by window, rows in proportion to their strings.
-HOT = 8192
+HOT = 4096
 
 
 def block_rows(texts: list[bytes], window: int):

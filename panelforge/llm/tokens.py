@@ -19,8 +19,9 @@ import unicodedata
 import numpy as np
 import regex
 
-#: Words that a task remembers; beyond that it starts afresh.
-REMEMBERED = 1_000_000
+#: Words that a task remembers, about 0.2 KB each.  Once half of them are new, those
+#: not met since the last time that happened are forgotten.
+REMEMBERED = 600_000
 
 
 def plain_characters() -> str:
@@ -72,6 +73,7 @@ class WordTokenizer:
         self.is_end[[i for t, i in model["vocab"].items() if t.endswith(ends)]] = True
         self.rare = regex.compile(r"[^\x00-\x7f" + plain_characters() + "]")
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _cut(self, text: str) -> list[str]:
         if "<" in text and self.cut.search(text):
@@ -118,17 +120,19 @@ class WordTokenizer:
 
     def _by_words(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._cut(t) for t in texts]
-        new = {w for ws in cut for w in ws if w not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = {w for ws in cut for w in ws}
-        if not self.known:
-            self.known.update({t: np.array([i], "<u4").tobytes()
-                               for t, i in self.special.items()})
-            new -= set(self.special)
+        if len(self.known) > REMEMBERED // 2:
+            self.before, self.known = self.known, {}
+        known, before, new = self.known, self.before, []
+        for w in set().union(*cut).difference(known):
+            if w in before:
+                known[w] = before[w]
+            elif w in self.special:
+                known[w] = np.array([self.special[w]], "<u4").tobytes()
+            else:
+                new.append(w)
         if new:
             self._learn(sorted(new))
-        get = self.known.__getitem__
+        get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in cut]
 
 
