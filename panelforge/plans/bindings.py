@@ -109,11 +109,11 @@ def prices_wide(spark: SparkSession, sf_dir: str,
                 months: Sequence[str] | None = None) -> DataFrame:
     """Wide raw price file: identity columns plus one string column per
     month end, by default for every month from the first order to the last (one
-    aggregate row).  A cell holds the month's average order total, ``n/a`` when
+    aggregate row of the orders alone).  A cell holds the month's average order total, ``n/a`` when
     the month has a single order, NULL when it has none."""
     g = _orders_geo(spark, sf_dir)
     if months is None:
-        lo, hi = g.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM"),
+        lo, hi = table(spark, sf_dir, "orders").agg(F.date_format(F.min("o_orderdate"), "yyyy-MM"),
                        F.date_format(F.max("o_orderdate"), "yyyy-MM")).first()
         months = month_ends(lo, hi) if lo else []
     ids = [F.col("n_nationkey").cast("string").alias("RegionID"),

@@ -201,10 +201,14 @@ def read_json_matrix(spark: SparkSession, path: str,
                      columns: Mapping[str, str],
                      period_pattern: str | None = None,
                      period_name: str = "data_year",
-                     per_line: bool = False) -> DataFrame:
+                     per_line: bool = False, keep_others: bool = False) -> DataFrame:
     """Folder/glob of matrix documents: one document per file (may be
     pretty-printed), or one per line with ``per_line=True``.
 
+    ``keep_others`` adds the columns that documents have beside ``columns``, under
+    their own names (a first pass over the documents gathers the distinct ones;
+    NULL where a document lacks one).
+
     ``period_pattern`` is a regex with one group that takes the period out of
     the file path (per-period file template); a period without a file simply
     contributes no rows.  A whole-file document is one record (a JSON array
@@ -212,6 +216,12 @@ def read_json_matrix(spark: SparkSession, path: str,
     """
     raw = _read_docs(spark, path, per_line)
     keep = ["__file"]
+    if keep_others:
+        names = raw.select(F.explode(F.from_json("value", MATRIX_TYPE)[0]).alias("name")) \
+            .where("name IS NOT NULL").distinct().orderBy("name").collect()
+        taken = {c.lower() for c in (*columns, *columns.values(), period_name, *keep)}
+        columns = {**columns, **{r["name"]: r["name"] for r in names
+                                 if r["name"].lower() not in taken}}
     rows = parse_matrix_text(raw, "value", columns, keep)
     if period_pattern:
         rows = rows.withColumn(

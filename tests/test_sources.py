@@ -283,3 +283,13 @@ def test_intermediates_are_dropped_and_the_result_stays(spark):
         spark.range(3).write.parquet(p)
     assert drop_scratch_since(spark, mark, made[1]) == 2
     assert [os.path.exists(p.removeprefix("file:")) for p in (first, *made)] == [True, False, True, False]
+
+
+def test_other_columns_of_matrix_documents_are_kept_on_request(spark, tmp):
+    write(f"{tmp}/in/socio_2020.json", '[["a","extra 1","b"],["1","x","2"]]')
+    write(f"{tmp}/in/socio_2021.json", '[["b","a","state","A"],["4","3","NY","dup"]]')
+    out = files.read_json_matrix(spark, f"{tmp}/in/socio_*.json", {"one": "a", "b": "b"},
+                                 period_pattern=r"socio_(\d{4})", keep_others=True)
+    assert out.columns == ["one", "b", "extra 1", "state", "data_year"]
+    assert sorted(tuple(r) for r in out.collect()) == [
+        ("1", "2", "x", None, 2020), ("3", "4", None, "NY", 2021)]
