@@ -8,7 +8,8 @@ again for all words at once.  A word is accepted if each of its tokens encodes
 itself and each adjacent pair is compatible; only the other words are merged
 exactly, all together, one rank a step.
 
-Defined cases: a null text is the empty text and has no tokens; the strings of
+Defined cases: a null text is the empty text and has no tokens; texts of any length
+are encoded whole; the strings of
 special tokens in a text become those tokens; repeated rows each come out; an
 empty table gives no rows; other columns pass through ``encode`` unread.
 """

@@ -7,9 +7,10 @@ stripes in parallel and skip those that cannot hold an id.  Each row also names
 its block (the writing partition) and place in it, from which running positions
 follow by a sum per block and a sum over the blocks' totals.
 
-Defined cases: a null text has only the end id; null ids come first; rows that
-share an id come out each, in one order; an empty table gives no rows; other
-columns are not read.
+Defined cases: a null text has only the end id; texts of any length are one row of
+ids; null ids come first; rows that share an id come out each, by the hash of their
+text, then by reading order; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations

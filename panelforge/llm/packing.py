@@ -16,7 +16,8 @@ turn, to consecutive sequences at one offset.  It is bounded by the capacity, no
 by the corpus, and so may be broadcast.  Pieces are ranked within their length by
 counts per stored part, so a common length is never sorted in one task.
 
-Defined cases: a null text is one piece of the end id alone; repeated rows and
+Defined cases: a null text is one piece of the end id alone; texts of any length are
+encoded whole and cut into as many pieces as they need; ties go by reading order; repeated rows and
 ids are packed each; an empty table gives no rows; other columns are not read.
 """
 

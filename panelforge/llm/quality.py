@@ -8,8 +8,9 @@ bits (relative error under 1/32), so that sketches of parts add up by ``sum``
 and a hot source is pre-aggregated before any shuffle.  A group with fewer than
 ``MIN_GROUP`` documents takes the merged sketch of its language.
 
-Only DataFrame functions are used.  Defined cases: a null text has no words and
-fails the base rules; a null language or source counts as the empty string and
+Only DataFrame functions are used.  Five-word windows of a text are compared by
+64-bit hashes.  Defined cases: a null text has no words and fails the base rules;
+texts of any length are measured whole; a null language or source counts as the empty string and
 shares its group; ties and repeated rows get one verdict each; an empty table
 gives no rows.
 """

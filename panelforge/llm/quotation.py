@@ -13,7 +13,7 @@ Only DataFrame functions are used.  An original is the *first* saying of a
 passage, found by a pre-aggregated minimum, so a line that a third of a
 conversation repeats costs one row and no pairs.
 
-Defined cases: a null text has an empty body; a null conversation, turn or role
+Defined cases: a null text has an empty body; texts of any length are read whole; a null conversation, turn or role
 is kept and never linked; messages that share conversation and turn are read as
 one message and share its parent; repeated rows each come out; an empty table
 gives no rows.

@@ -17,7 +17,8 @@ split, so a passage that a third of all documents share is no task's burden; the
 single windows of a symbol with more than ``HOT`` unlike surroundings are dealt
 by their own hash.  Texts are moved compressed, by a key of row content.
 
-Defined cases: a null text has no words; a null id neither removes nor is
+Defined cases: a null text has no words; texts of any length are taken whole, in
+stretches; a null id neither removes nor is
 removed; rows that share an id are judged each and never by one another; equal
 rows have equal results; an empty table gives no rows; other columns are unread.
 """
