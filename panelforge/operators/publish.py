@@ -74,10 +74,10 @@ def publish_model(prices: DataFrame, socio: DataFrame, complaints: DataFrame,
                   base: str, view: str = "signals_yearly",
                   how: str = "inner", lag_mode: str = "row",
                   buckets: int = BUCKETS) -> Published:
-    """Write dim_entity, dim_category, dim_period, the four facts and the
-    signals panel under ``base`` (one Parquet folder each, replaced whole; the
-    facts are bucketed catalog tables), then (re)create ``view`` over the written
-    panel."""
+    """Write the staged sources, dim_entity, dim_category, dim_period, the four
+    facts and the signals panel under ``base`` (one Parquet folder each, replaced
+    whole; the facts are bucketed catalog tables), then (re)create ``view`` over
+    the written panel."""
     spark = prices.sparkSession
     root = base.rstrip("/")
     paths = {}
@@ -87,6 +87,9 @@ def publish_model(prices: DataFrame, socio: DataFrame, complaints: DataFrame,
         sinks.write_parquet(df, paths[name])
         return spark.read.parquet(paths[name])
 
+    # each source is worked out once: its rows are needed for dimensions and facts
+    prices, socio, complaints = (put(name, df) for name, df in (
+        ("stg_prices", prices), ("stg_socio", socio), ("stg_complaints", complaints)))
     put("dim_entity", model.dim_entity(prices))
     put("dim_category", model.dim_category(complaints))
     put("dim_period", model.dim_period((prices, "year"), (socio, "data_year"),
