@@ -129,8 +129,10 @@ def sketches(pairs: DataFrame) -> DataFrame:
     p), where ``p`` holds the ``_rates`` of a document."""
     low = F.length(F.bin("v")) - 6  # bits beyond six significant ones
     mask = F.when(low > 0, F.expr("shiftleft(1L, length(bin(v)) - 6)")).otherwise(F.lit(1))
-    return (pairs.select("lang", "source", F.explode("p").alias("p"))
-            .select("lang", "source", "p.*")
+    # before a plain explode the optimizer puts a filter on the array's size, which
+    # would work out the measures once more
+    return (pairs.select("lang", "source", F.explode_outer("p").alias("p"))
+            .select("lang", "source", "p.*").where("rate IS NOT NULL")
             .withColumn("value", F.col("v") - F.pmod("v", mask))
             .groupBy("lang", "source", "rate", "value").agg(F.count(F.lit(1)).alias("n")))
 
