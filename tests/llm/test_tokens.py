@@ -190,3 +190,20 @@ def test_many_rows_of_one_id_are_dealt_over_tasks(spark, make_docs):
     assert len({r.block for r in out if r.doc_id == 7}) > 1
     ids = [r.doc_id for r in sorted(out, key=lambda r: r.block)]
     assert [i for i in ids if i is not None] == sorted(i for i in ids if i is not None)
+
+
+def test_find_skips_what_cannot_hold_an_id(spark, tmp):
+    """Statistics, row indexes and Bloom filters spare the scan most rows."""
+    docs = spark.range(0, 60_000, 2).selectExpr("id as doc_id", "sha2(string(id), 256) as text")
+    orc_tokens.write(docs, tmp + "/orc", tokenizer("word_bpe_49k.json"), end_id=2)
+
+    def scanned(doc_id):
+        df = orc_tokens.find(spark, tmp + "/orc", [doc_id])
+        ids = [r.doc_id for r in df.collect()]
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return ids, scan.metrics().apply("numOutputRows").value()
+
+    ids, rows = scanned(37_776)
+    assert ids == [37_776] and 0 < rows <= 2 * orc_tokens.ROW_INDEX
+    ids, rows = scanned(37_777)  # inside the range of its row group: the Bloom filter
+    assert ids == [] and rows == 0
