@@ -14,24 +14,24 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 
 import numpy as np
-import regex
 
 #: Words that a task remembers, about 0.2 KB each.  Once half of them are new, those
 #: not met since the last time that happened are forgotten.
 REMEMBERED = 600_000
 
 
-def plain_characters() -> str:
-    """The plain characters beyond ASCII, as ranges of a character class.
+def plain_characters() -> list[int]:
+    """The plain characters, ASCII included, as code points.
 
-    Plain are letters, numbers, signs and blanks of the first plane that were
-    assigned by Unicode 3.2 and have kept their category, are their own NFC form,
-    have one lower-case character of the same kind, and do not combine with
-    neighbours (no marks, no single Hangul jamo)."""
-    old, good = unicodedata.ucd_3_2_0, bytearray(0x10000)
+    Plain beyond ASCII are letters, numbers, signs and blanks of the first plane
+    that were assigned by Unicode 3.2 and have kept their category, are their own
+    NFC form, have one lower-case character of the same kind, and do not combine
+    with neighbours (no marks, no single Hangul jamo)."""
+    old = unicodedata.ucd_3_2_0
 
     def steady(c):
         kind = unicodedata.category(c)
@@ -39,12 +39,31 @@ def plain_characters() -> str:
             and unicodedata.normalize("NFC", c) == c == unicodedata.normalize("NFC", c + "a")[0] \
             and not unicodedata.combining(c) and not 0x1100 <= ord(c) <= 0x11FF
 
-    for cp in range(0x80, 0x10000):
-        c = chr(cp)
+    def plain(c):
         low = c.lower()
-        good[cp] = len(low) == 1 and steady(c) and steady(low) and low.lower() == low
-    edges = np.flatnonzero(np.diff(np.frombuffer(bytes(good) + b"\0", np.uint8).astype(np.int8)))
-    return "".join(f"\\u{a + 1:04x}-\\u{b:04x}" for a, b in zip(edges[::2], edges[1::2]))
+        return len(low) == 1 and steady(c) and steady(low) and low.lower() == low
+
+    return [*range(0x80), *(p for p in range(0x80, 0x10000) if plain(chr(p)))]
+
+
+def char_class(points: list[int]) -> str:
+    """Code points as the inside of a character class."""
+    at = np.array(points)
+    first = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+    last = np.r_[first[1:], len(at)] - 1
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(at[first], at[last]))
+
+
+def plain_pattern(pattern: str, plain: list[int]) -> str:
+    """A word pattern for texts of plain characters, with its classes of letters,
+    numbers and white space written out."""
+    kind = {p: unicodedata.category(chr(p))[0] for p in plain}
+    blank = {9, 10, 11, 12, 13, *(p for p in plain if kind[p] == "Z")}
+    for name, some in ((r"\p{L}", [p for p in plain if kind[p] == "L"]),
+                       (r"\p{N}", [p for p in plain if kind[p] == "N"]),
+                       (r"\s", sorted(blank))):
+        pattern = pattern.replace(name, char_class(some))
+    return pattern
 
 
 class WordTokenizer:
@@ -65,13 +84,14 @@ class WordTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.library.encode_special_tokens = True  # words never hold them whole
-        self.words = regex.compile(pre["pattern"]["Regex"])
+        plain = plain_characters()
+        self.words = re.compile(plain_pattern(pre["pattern"]["Regex"], plain))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         ends = model["end_of_word_suffix"]
         self.is_end = np.zeros(max(model["vocab"].values()) + 1 + len(self.special), bool)
         self.is_end[[i for t, i in model["vocab"].items() if t.endswith(ends)]] = True
-        self.rare = regex.compile(r"[^\x00-\x7f" + plain_characters() + "]")
+        self.rare = re.compile(f"[^{char_class(plain)}]")
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
