@@ -817,24 +817,22 @@ def grain_check(spark, sf_dir):
 
 @query("table_counts")
 def table_counts(spark, sf_dir):
-    # Counting a fact needs only its keys, so each lazy count branch would be
-    # pruned into its own aggregate and rescan the raw tables.  Materialise
-    # every fact once (reliable checkpoint: small aggregated tables in the
-    # shared checkpoint folder), count those, build the panel from them.
-    # The four materialisations are independent jobs, submitted together.
+    # Counting a fact needs its keys only, and so does the panel (its later steps
+    # add columns, never rows): the keys of the three facts it joins are
+    # materialised once (reliable checkpoints, submitted together), the other
+    # aggregates are pruned away.
     ensure_checkpoint_dir(spark)
+    keys = ["zip_code", "year"]
     cmp = B.complaints(spark, sf_dir)   # one source frame for both facts
     facts = [model.fct_price(B.prices_long(spark, sf_dir)),
              model.fct_socio(B.socio(spark, sf_dir)),
-             model.fct_complaints_total(cmp),
-             model.fct_complaints_by_type(cmp)]
+             model.fct_complaints_total(cmp)]
     with ThreadPoolExecutor(max_workers=len(facts)) as pool:
-        p, s, c, by_type = pool.map(lambda f: f.checkpoint(), facts)
+        p, s, c = pool.map(lambda f: f.select(*keys).checkpoint(), facts)
     return quality.table_counts({
         "fct_price": p, "fct_socio": s, "fct_complaints_total": c,
-        "fct_complaints_by_type": by_type,
-        # the later steps add columns, never rows
-        "signals_panel": panel.signals_panel(p, s, c, upto="join")})
+        "fct_complaints_by_type": model.fct_complaints_by_type(cmp),
+        "signals_panel": p.join(s, keys).join(c, keys)})
 
 
 @query("missingness")
