@@ -87,9 +87,13 @@ def publish_model(prices: DataFrame, socio: DataFrame, complaints: DataFrame,
         sinks.write_parquet(df, paths[name])
         return spark.read.parquet(paths[name])
 
+    def staged(name: str, df: DataFrame) -> DataFrame:
+        sinks.write_parquet(df, f"{root}/staging/{name}")
+        return spark.read.parquet(f"{root}/staging/{name}")
+
     # each source is worked out once: its rows are needed for dimensions and facts
-    prices, socio, complaints = (put(name, df) for name, df in (
-        ("stg_prices", prices), ("stg_socio", socio), ("stg_complaints", complaints)))
+    prices, socio, complaints = (staged(name, df) for name, df in (
+        ("prices", prices), ("socio", socio), ("complaints", complaints)))
     put("dim_entity", model.dim_entity(prices))
     put("dim_category", model.dim_category(complaints))
     put("dim_period", model.dim_period((prices, "year"), (socio, "data_year"),
