@@ -103,8 +103,9 @@ class WordTokenizer:
 
     def _plain(self, text: str) -> list[str]:
         if not text.isascii():
-            # one character at a time: a final sigma is a sigma like any other
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            # plain characters are in normal form; lower case goes one character at
+            # a time: a final sigma is a sigma like any other
+            text = text.replace("Σ", "σ")
         return self.words.findall(text.lower())
 
     def _learn(self, words: list[str]) -> None:
