@@ -26,10 +26,10 @@ from pyspark.sql import window as W
 
 from panelforge.session import scratch_path
 
-from .tokens import word_tokenizer
+from .tokens import steps, word_tokenizer
 
-#: Rows between entries of the row index; texts of one step inside a task.
-ROW_INDEX, STEP = 1000, 256
+#: Rows between entries of the row index.
+ROW_INDEX = 1000
 SCHEMA = "doc_id long, block int, place long, ids array<int>"
 
 
@@ -49,8 +49,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
         block, place = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4")
         for b in batches:
-            for s in range(0, b.num_rows, STEP):
-                part = b.slice(s, STEP)
+            for part in steps(b):
                 ids = word_tokenizer(path).encode(part.column("text").to_pylist())
                 sizes = np.array([len(x) + 1 for x in ids])
                 flat = np.concatenate([y for x in ids for y in (x, end)]).astype(np.int32)

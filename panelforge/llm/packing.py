@@ -34,9 +34,9 @@ from pyspark.sql import window as W
 
 from .common import stored
 from .orc_tokens import ids_crc
-from .tokens import word_tokenizer
+from .tokens import steps, word_tokenizer
 
-CAPACITY, STEP = 2048, 256
+CAPACITY = 2048
 
 
 def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY,
@@ -55,8 +55,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY,
         part, at = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4")
         for b in batches:
-            for s in range(0, b.num_rows, STEP):
-                step = b.slice(s, STEP)
+            for step in steps(b):
                 out = []
                 for doc, ids in zip(step.column("doc_id").to_pylist(), word_tokenizer(path)
                                     .encode(step.column("text").to_pylist())):

@@ -1,8 +1,10 @@
 """Token ids by the tokenizers library, a word at a time.
 
-The library spends most of its time on words it has met before.  Here a text is
-brought into the vocabulary's normal form and cut by its word pattern, words not
-met before go through the library together, and the others come from memory.
+The library spends most of its time on words it has met before.  Here Arrow splits
+texts at white space, which no word holds, and finds the different chunks of some
+texts together.  Each of these is brought into the vocabulary's normal form and cut
+by its word pattern, words not met before go through the library together, and the
+others come from memory.  Arrow then puts the chunks' ids in the texts' order.
 
 Python and the library have Unicode tables of their own.  Only texts of plain
 characters are cut here: those that all tables treat alike and that never change
@@ -14,18 +16,28 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words that a task remembers, about 0.2 KB each.  Once half of them are new, those
 #: not met since the last time that happened are forgotten.
 REMEMBERED = 600_000
 
+#: Bytes of text that are split together; a longer text is split alone.
+TOGETHER = 4_000_000
+
+#: White space to Arrow or Python that is none to word patterns.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+
 
 def plain_characters() -> list[int]:
-    """The plain characters, ASCII included, as code points.
+    """The plain characters, ASCII but ``SEPARATORS`` included, as code points.
 
     Plain beyond ASCII are letters, numbers, signs and blanks of the first plane
     that were assigned by Unicode 3.2 and have kept their category, are their own
@@ -43,7 +55,8 @@ def plain_characters() -> list[int]:
         low = c.lower()
         return len(low) == 1 and steady(c) and steady(low) and low.lower() == low
 
-    return [*range(0x80), *(p for p in range(0x80, 0x10000) if plain(chr(p)))]
+    return [*(p for p in range(0x80) if chr(p) not in SEPARATORS),
+            *(p for p in range(0x80, 0x10000) if plain(chr(p)))]
 
 
 def char_class(points: list[int]) -> str:
@@ -95,56 +108,80 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
-    def _cut(self, text: str) -> list[str]:
-        if "<" in text and self.cut.search(text):
-            return [w for p in self.cut.split(text)
-                    for w in ([p] if p in self.special else self._plain(p))]
-        return self._plain(text)
+    def _cut(self, chunks: list[str]) -> tuple[list[str], list[int]]:
+        """Words of all chunks in turn, and where those of each chunk end."""
+        # plain characters are in normal form; lower case goes one character at
+        # a time: a final sigma is a sigma like any other
+        low = "\n".join(chunks).replace("Σ", "σ").lower().split("\n") if chunks else []
+        words, ends = [], []
+        for c, x in zip(chunks, low):
+            if x.isalpha():
+                words.append(x)
+            elif "<" in c and self.cut.search(c):  # specials are cut before lower case
+                for p in self.cut.split(c):
+                    words += [p] if p in self.special else self._cut([p])[0]
+            else:
+                words += self.words.findall(x)
+            ends.append(len(words))
+        return words, ends
 
-    def _plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            # plain characters are in normal form; lower case goes one character at
-            # a time: a final sigma is a sigma like any other
-            text = text.replace("Σ", "σ")
-        return self.words.findall(text.lower())
+    def _whole(self, text: str) -> np.ndarray:
+        """The library's ids; one text a call, as its encodings are large."""
+        return np.array(self.library.encode_batch_fast(
+            [text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
         """Through the library in lines of words; the marked tokens end words."""
-        lines = [words[i:i + 500] for i in range(0, len(words), 500)]
-        for line, e in zip(lines, self.library.encode_batch_fast(
-                [" ".join(x) for x in lines], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
+        for line in (words[i:i + 500] for i in range(0, len(words), 500)):
+            ids = self._whole(" ".join(line))
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) != len(line):  # a word that the library cuts once more
                 for w in line:
-                    self.known[w] = np.array(self.library.encode(
-                        w, add_special_tokens=False).ids, "<u4").tobytes()
+                    self.known[w] = self._whole(w).tobytes()
                 continue
             raw, start = ids.tobytes(), 0
             for w, end in zip(line, (4 * ends).tolist()):
                 self.known[w] = raw[start:end]
                 start = end
 
+    def _is_rare(self, text: str) -> bool:
+        if text.isascii():
+            return any(c in text for c in SEPARATORS)
+        return self.rare.search(text) is not None
+
+    def _is_rare(self, text: str) -> bool:
+        if text.isascii():
+            return any(c in text for c in SEPARATORS)
+        return self.rare.search(text) is not None
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
-        rare = [i for i, t in enumerate(texts) if not t.isascii() and self.rare.search(t)]
+        rare = [i for i, t in enumerate(texts) if self._is_rare(t)]
         if not rare:
-            return self._by_words(texts)
+            return self._by_chunks(texts)
         self.library.encode_special_tokens = False
-        whole = self.library.encode_batch_fast([texts[i] for i in rare], add_special_tokens=False)
+        whole = {i: self._whole(texts[i]) for i in rare}
         self.library.encode_special_tokens = True
-        at = set(rare)
-        out = iter(self._by_words([t for i, t in enumerate(texts) if i not in at]))
-        found = dict(zip(rare, whole))
-        return [np.array(found[i].ids, "<u4") if i in at else next(out)
-                for i in range(len(texts))]
-
-    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._cut(t) for t in texts]
+        out = iter(self._by_chunks([t for i, t in enumerate(texts) if i not in whole]))
+        return [whole[i] if i in whole else next(out) for i in range(len(texts))]
+
+    def _by_chunks(self, texts: list[str]) -> list[np.ndarray]:
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+        chunks = split.flatten().dictionary_encode()
+        words, ends = self._cut(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
+        raw = self._by_words(words)
+        sizes = np.cumsum([0, *map(len, raw)]) // 4
+        ids = pa.LargeListArray.from_arrays(sizes[[0, *ends]], np.frombuffer(b"".join(raw), "<u4"))
+        ids = ids.take(chunks.indices)
+        at = ids.offsets.to_numpy()[split.offsets.to_numpy()].tolist()
+        flat = ids.values.to_numpy()
+        return [flat[s:e] for s, e in zip(at[:-1], at[1:])]
+
+    def _by_words(self, words: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED // 2:
             self.before, self.known = self.known, {}
         known, before, new = self.known, self.before, []
-        for w in set().union(*cut).difference(known):
+        for w in set(words).difference(known):
             if w in before:
                 known[w] = before[w]
             elif w in self.special:
@@ -153,11 +190,21 @@ class WordTokenizer:
                 new.append(w)
         if new:
             self._learn(sorted(new))
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in cut]
+        return [known[w] for w in words]
+
+
+def steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``TOGETHER`` bytes of text."""
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))
+    starts = np.flatnonzero(np.diff(ends // TOGETHER, prepend=-1)).tolist()
+    for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(s, e - s)
 
 
 @functools.lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One copy a worker process."""
+    """One copy a worker process, whose task has one core."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return WordTokenizer(path)

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -207,3 +208,32 @@ def test_find_skips_what_cannot_hold_an_id(spark, tmp):
     assert ids == [37_776] and 0 < rows <= 2 * orc_tokens.ROW_INDEX
     ids, rows = scanned(37_777)  # inside the range of its row group: the Bloom filter
     assert ids == [] and rows == 0
+
+
+def test_chunks_are_cut_once_however_often_they_occur():
+    """The word pattern sees each different chunk of a call, not all text."""
+    seen = []
+
+    class Pattern:
+        def findall(self, text):
+            seen.append(text)
+            return words.findall(text)
+
+    w = tokens.WordTokenizer(WORDS)
+    words, w.words = w.words, Pattern()
+    passage = "It's one, two　three ΟΔΟΣ, <|endoftext|>x! a b"
+    texts = [f"{passage} {i}" for i in range(500)]
+    got = w.encode(texts)
+    assert all(g.tolist() == library(WORDS, t) for g, t in zip(got[::50], texts[::50]))
+    assert len(seen) < 520
+
+
+def test_steps_hold_every_row_in_order(monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER", 10)
+    texts = ["", "abc", "é" * 40, "", "x" * 9, "y", "z" * 10, ""]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(tokens.steps(batch))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts
+    assert len(parts) > 3 and all(p.num_rows for p in parts)
+    assert list(tokens.steps(batch.slice(0, 0))) == []
+    assert [p.num_rows for p in tokens.steps(batch.slice(3, 2))] == [2]
