@@ -13,6 +13,8 @@ from __future__ import annotations
 import numpy as np
 
 ROUNDS = 3
+#: Symbols of so many words or more are alike to ``anchors`` (four bits of its key).
+LONGEST = 15
 U = np.uint64
 # Odd multipliers of a 64-bit finaliser and of the polynomials.
 _M1, _M2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -91,13 +93,13 @@ class Symbols:
         u = np.flatnonzero(np.r_[True, ~same])
         v = np.r_[u[1:], len(self.name)] - 1
         # a run is known by the symbols beside it; beyond a text nothing is known
+        # (stretches begin and end in the order of their symbols)
         before, after = np.maximum(u - 1, 0), np.minimum(v + 1, len(self.name) - 1)
         lo = np.where((u > 0) & (self.text[before] == self.text[u]),
-                      self.lo[before], self.begin[u] - 1)
+                      self.lo[before], np.minimum(self.lo[u], self.begin[u] - 1))
         hi = np.where((v + 1 < len(self.name)) & (self.text[after] == self.text[u]),
-                      self.hi[after], self.end[v] + 1)
-        self.lo = np.minimum(np.minimum.reduceat(self.lo, u), lo)
-        self.hi = np.maximum(np.maximum.reduceat(self.hi, u), hi)
+                      self.hi[after], np.maximum(self.hi[v], self.end[v] + 1))
+        self.lo, self.hi = lo, hi
         k = (v - u + 1).astype(U)
         self.name = np.where(k > U(1), mix(self.name[u] + k * _M2), self.name[u])
         self.text, self.begin, self.end = self.text[u], self.begin[u], self.end[v]
@@ -108,22 +110,26 @@ class Symbols:
             return
         right = (mix(self.name + U((turn + 1) * _WORD & (1 << 64) - 1)) & U(1)).astype(bool)
         mine = self._next_is_mine()
-        joins = np.r_[~right[:-1] & right[1:] & mine, False]
-        joined = np.r_[False, joins[:-1]]
+        joins = np.zeros(n, bool)
+        np.logical_and(~right[:-1] & right[1:], mine, out=joins[:-1])
+        joined = np.zeros(n, bool)
+        joined[1:] = joins[:-1]
+        keep = np.flatnonzero(~joined)
+        right, joins = right[keep], joins[keep]
         # a single left symbol is decided by the next one, a right one by the last
-        nxt = np.where(np.r_[mine, False], np.r_[self.hi[1:], 0], self.end + 1)
-        prv = np.where(np.r_[False, mine], np.r_[0, self.lo[:-1]], self.begin - 1)
-        nxt_lo = np.where(np.r_[mine, False], np.r_[self.lo[1:], 0], self.lo)
-        prv_hi = np.where(np.r_[False, mine], np.r_[0, self.hi[:-1]], self.hi)
-        lo = np.minimum(self.lo, np.where(right & ~joined, prv, nxt_lo))
-        hi = np.maximum(self.hi, np.where(right & ~joined, prv_hi, nxt))
-        other = np.r_[self.name[1:], U(0)]
-        self.name = np.where(joins, mix(self.name * _M1 + other * U(_BYTE)), self.name)
-        self.end = np.where(joins, np.r_[self.end[1:], 0], self.end)
-        keep = ~joined
-        self.name, self.text = self.name[keep], self.text[keep]
-        self.begin, self.end, self.lo, self.hi = \
-            self.begin[keep], self.end[keep], lo[keep], hi[keep]
+        # (stretches begin and end in the order of their symbols)
+        lo = np.minimum(self.lo, self.begin - 1)
+        lo[1:][mine] = self.lo[:-1][mine]
+        hi = np.maximum(self.hi, self.end + 1)
+        hi[:-1][mine] = self.hi[1:][mine]
+        self.lo = np.where(right, lo[keep], self.lo[keep])
+        self.hi = np.where(right, self.hi[keep], hi[keep])
+        left = keep[joins]
+        name, end = self.name[keep], self.end[keep]
+        name[joins] = mix(self.name[left] * _M1 + self.name[left + 1] * U(_BYTE))
+        end[joins] = self.end[left + 1]
+        self.name, self.end = name, end
+        self.text, self.begin = self.text[keep], self.begin[keep]
 
 
 def recompress(names: np.ndarray, text: np.ndarray, rounds: int = ROUNDS) -> Symbols:
@@ -136,17 +142,19 @@ def recompress(names: np.ndarray, text: np.ndarray, rounds: int = ROUNDS) -> Sym
 
 def anchors(s: Symbols, first: np.ndarray, last: np.ndarray, n: int,
             window: int) -> np.ndarray:
-    """For every window start the symbol with the least key among those decided
-    inside the window (the leftmost of equals), or -1.
+    """For every window start the symbol of most words, and of those the one with
+    the least key, among those decided inside the window (the leftmost of equals),
+    or -1.
 
     ``first``/``last``: first and last window start of each symbol's text.
     """
     l, r = np.maximum(s.hi - window, first), np.minimum(s.lo, last)
     ok = np.flatnonzero(l <= r)
     l, r = l[ok], r[ok]
-    # longer symbols first: they are rarer, so fewer windows share one by chance
-    many = ((s.end - s.begin)[ok] > 1).astype(U)
-    key = (mix(s.name[ok] ^ _M1) >> U(26)) - (many << U(37)) + (U(1) << U(37))
+    # longer symbols first: the more words one stands for, the fewer unlike
+    # documents share it by chance, however many there are
+    words = np.minimum((s.end - s.begin)[ok], LONGEST).astype(U)
+    key = (mix(s.name[ok] ^ _M1) >> U(30)) + ((U(LONGEST) - words) << U(34))
     key = key << U(25) | ok.astype(U)
     none = ~U(0)
     width = (r - l + 1)

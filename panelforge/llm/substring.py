@@ -138,7 +138,7 @@ def window_hashes(asked: DataFrame, window: int) -> DataFrame:
 
 def removed_windows(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(row, lo, n): runs of removed window starts of every row key."""
-    found = blocks(rows, window)
+    found = stored(blocks(rows, window), "blocks")  # read twice
     # aggregates are stored before they are joined: only a join of two plain
     # exchanges is split where a key is hot
     names = stored(found.groupBy("name").agg(

@@ -128,3 +128,32 @@ def test_repeated_rows_are_fetched_and_cut_once(make_docs, spark, monkeypatch):
     cut = [d for d in seen if "spans" in d.columns]
     assert [d.count() - d.select("row").distinct().count() for d in asked] == [0]
     assert [d.where("size(spans) > size(array_distinct(spans))").count() for d in cut] == [0]
+
+
+def test_unlike_documents_share_few_symbols():
+    """Common words stand side by side in many documents; no window hangs on them
+    if a longer symbol is decided in it."""
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(300)]
+    weight = [1 / (i + 1) for i in range(300)]
+    texts = [" ".join(rng.choices(vocab, weight, k=300)).encode() for _ in range(300)]
+    name, _, t, _, _ = substring.block_rows(texts, 50)
+    docs = {}
+    for x, d in zip(name.tolist(), t.tolist()):
+        docs.setdefault(x, set()).add(d)
+    shared = sum(len(docs[x]) > 1 for x in name.tolist())
+    assert shared < 0.25 * len(name)
+
+
+def test_texts_are_cut_into_blocks_once(make_docs, monkeypatch):
+    plans, real = {}, substring.stored
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(substring, "stored", noted)
+    rows = corpus(6, 50)
+    got = substring.dedup(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 50)
+    assert [n for n in ("blocks", "shared-names", "shared-blocks") if "MapInArrow" in plans[n]] == ["blocks"]
