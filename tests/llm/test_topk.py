@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+
 from panelforge.llm import topk
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -76,3 +78,35 @@ def test_copies_of_one_vector_or_id_are_dealt_over_shards(spark, monkeypatch):
     assert sum(sizes) == 800 and max(sizes) < 150
     got = topk.top_k(spark.createDataFrame(rows[:400], SCHEMA), k=3).collect()
     assert {(r.query_id, r["rank"], r.vec_id) for r in got if r.query_id == 0} == {(0, 1, 1), (0, 2, 2), (0, 3, 3)}
+
+
+def test_driver_and_joins_hold_no_vectors(spark, monkeypatch):
+    """No join repeats or broadcasts the index or the queries, whatever the sizes say,
+    and the driver gets no sampled vectors."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 20)
+    monkeypatch.setattr(topk, "LOT", 8 * 40)  # two blocks meet a shard at once
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)], 0) for i in range(1000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got, real = [], type(df).toArrow
+    monkeypatch.setattr(type(df), "toArrow",
+                        lambda self: (got.append(real(self)), got[-1])[1])
+    out = topk.top_k(df, every=10)
+    assert got and not any(str(f.type).startswith("list") for t in got for f in t.schema)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+    check(spark, rows, every=10)
+
+
+def test_equal_vectors_are_split_by_id(spark, monkeypatch):
+    """Of many copies few are looked at: a leaf of larger ids is not opened."""
+    ids = np.random.default_rng(1).permutation(5000)
+    tree = topk.opened(topk._pack(**topk.build(ids, np.full((5000, 3), 700.0))))
+    assert len(tree["leaves"]) > 8 and (np.sort(ids)[:len(tree["ids"])] == tree["ids"]).all()
+    block = {"ids": ids[:4], "vecs": np.full((4, 3), 700.0), "pos": np.arange(4),
+             "kth": np.full(4, -np.inf), "kid": np.full(4, topk._LAST)}
+    n, score, found = topk.search_block(tree, block, 10)
+    for q in range(4):
+        assert found[n == q].tolist() == [i for i in range(11) if i != ids[q]][:10]
+    assert (score == 3 * 700 ** 2).all()
