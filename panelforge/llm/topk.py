@@ -212,6 +212,8 @@ def search_block(tree: dict, block: dict, k: int) -> tuple[np.ndarray, np.ndarra
     rough, dim = q.astype(np.float32), q.shape[1]
     slack = (dim + 8) * 2.0 ** -23 * np.sqrt(np.square(q).sum(axis=1)) * tree["size"]
     best = Best(block["kth"], block["kid"], k)
+    wide = int((tree["leaves"][:, 1] - tree["leaves"][:, 0]).max(initial=0))
+    room, hit = np.empty(len(q) * wide, np.float32), np.empty(len(q) * wide, bool)
     for leaf in np.argsort(-bounds.max(axis=0, initial=-np.inf), kind="stable").tolist():
         reach = bounds[:, leaf]
         mine = np.flatnonzero((reach > best.kth) | (reach == best.kth)
@@ -222,7 +224,11 @@ def search_block(tree: dict, block: dict, k: int) -> tuple[np.ndarray, np.ndarra
         kth = best.kth[mine]
         if np.isfinite(kth).all():
             least = (kth - slack[mine]).astype(np.float32)
-            r, c = np.nonzero(rough[mine] @ tree["rough"][a:b].T >= least[:, None])
+            size = len(mine) * (b - a)
+            near = np.matmul(rough if len(mine) == len(q) else rough[mine], tree["rough"][a:b].T,
+                             out=room[:size].reshape(len(mine), b - a))
+            over = np.greater_equal(near, least[:, None], out=hit[:size].reshape(near.shape))
+            r, c = np.divmod(np.flatnonzero(over), b - a)
             got = np.einsum("ij,ij->i", q[mine[r]], tree["vecs"][a + c].astype(np.float64))
         else:
             all_got = q[mine] @ tree["vecs"][a:b].astype(np.float64).T
